@@ -1,0 +1 @@
+"""Every load here is a full batch replace; there is no streaming operator to offer."""
