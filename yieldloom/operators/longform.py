@@ -46,4 +46,4 @@ def feature_name(features: Sequence[str], ordinal: str = "ordinal") -> Column:
 def feature_rows(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """(feature_ordinal, feature_name): the table's own column list as rows."""
     names = F.array(*[F.lit(c) for c in features])
-    return df.sparkSession.range(1).select(F.posexplode(names).alias("feature_ordinal", "feature_name"))
+    return df.sparkSession.range(0, 1, 1, 1).select(F.posexplode(names).alias("feature_ordinal", "feature_name"))

@@ -108,27 +108,31 @@ def quantiles_of_counts(
     return chosen.select(*keys, *out)
 
 
-def first_by_hash(df: DataFrame, keys: Sequence[str], digest: str, take: Column, carry: Sequence[str] = ()) -> DataFrame:
-    """Of each group, the cut digest below which exactly `take` rows lie, and sums of `carry` over them.
+def first_by_hash(
+    df: DataFrame, keys: Sequence[str], digest: str, wanted: DataFrame, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Where the first `take` rows of a group end in digest order, for every row (keys, take) of `wanted`.
 
-    `digest` is a hex hash, so its first three characters cut any group into 4096 ranges of nearly equal
-    size: one counting pass finds the range that holds the take-th row, a second pass sorts that range
-    only. Returns (keys, cut, <c>_taken...); rows with digest <= cut are the first `take`.
+    Returns (keys, take, cut, <c>_taken): rows with digest <= cut are the first `take`, and <c>_taken is
+    the sum of c over them. `digest` is a hex hash, so its first three characters cut any group into 4096
+    ranges of nearly equal size: one counting pass finds the range a cut lies in, a second pass sorts the
+    rows of that range only.
     """
     keys = list(keys)
-    head = df.withColumn("__head", F.substring(digest, 1, 3)).withColumn("__one", F.lit(1).cast("long"))
-    head = head.withColumn("__take", take.cast("long"))
-    sums = ["__one", *carry]
-    totals = head.groupBy(*keys, "__head").agg(F.max("__take").alias("__take"), *[F.sum(s).alias(f"r_{s}") for s in sums])
-    earlier = Window.partitionBy(*keys).orderBy("__head").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("*", *[F.coalesce(F.sum(f"r_{s}").over(earlier), F.lit(0)).alias(f"b_{s}") for s in sums])
-    crossing = totals.where(
-        (F.col("b___one") < F.col("__take")) & (F.col("__take") <= F.col("b___one") + F.col("r___one"))
-    ).select(*keys, "__head", *[f"b_{s}" for s in sums])
-    inside = Window.partitionBy(*keys).orderBy(digest).rowsBetween(Window.unboundedPreceding, 0)
-    rows = head.join(crossing, [*keys, "__head"]).select(
-        *keys, digest, "__take", *[(F.col(f"b_{s}") + F.sum(s).over(inside)).alias(f"u_{s}") for s in sums]
+    headed = df.withColumn("head", F.substring(digest, 1, 3)).withColumn("one", F.lit(1).cast("long"))
+    sums = ["one", *carry]
+    totals = headed.groupBy(*keys, "head").agg(*[F.sum(s).alias(f"head_{s}") for s in sums])
+    earlier = Window.partitionBy(*keys).orderBy("head").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("*", *[F.coalesce(F.sum(f"head_{s}").over(earlier), F.lit(0)).alias(f"before_{s}") for s in sums])
+    hits = (
+        offsets.join(wanted.select(*keys, "take"), keys)
+        .where((F.col("before_one") < F.col("take")) & (F.col("take") <= F.col("before_one") + F.col("head_one")))
+        .select(*keys, "head", "take", *[f"before_{s}" for s in sums])
+    )
+    inside = Window.partitionBy(*keys, "take").orderBy(digest).rowsBetween(Window.unboundedPreceding, 0)
+    rows = headed.join(hits, [*keys, "head"]).select(
+        *keys, "take", digest, *[(F.col(f"before_{s}") + F.sum(s).over(inside)).alias(f"upto_{s}") for s in sums]
     )
-    return rows.where(F.col("u___one") == F.col("__take")).select(
-        *keys, F.col(digest).alias("cut"), *[F.col(f"u_{c}").alias(f"{c}_taken") for c in carry]
+    return rows.where(F.col("upto_one") == F.col("take")).select(
+        *keys, "take", F.col(digest).alias("cut"), *[F.col(f"upto_{c}").alias(f"{c}_taken") for c in carry]
     )
