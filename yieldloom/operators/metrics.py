@@ -241,11 +241,12 @@ def inspection(
         .select(*keys, "rate", "take", "risk", "n", "pos", "pos_before")
     )
     shared = crossing.where(F.col("take") < F.col("n")).select(*keys, "risk", "take").distinct()
-    # a cut score per group and rate; the tied entities join on it
+    # one cut score per group and rate: without keys that is len(rates) rows, with keys AQE sees its size
+    cut_scores = shared.select(*keys, "risk").distinct()
     tied = (
         with_score(scored)
         .select(*keys, "risk", "y_true", unit_hash(F.col(entity), seed).alias("digest"))
-        .join(shared.select(*keys, "risk").distinct(), [*keys, "risk"], "left_semi")
+        .join(cut_scores if keys else F.broadcast(cut_scores), [*keys, "risk"], "left_semi")
     )
     partial = first_by_hash(tied, [*keys, "risk"], "digest", shared, ["y_true"]).drop("cut")
     caught = crossing.join(partial, [*keys, "risk", "take"], "left").select(
