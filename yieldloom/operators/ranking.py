@@ -13,12 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGES = 64
-
-
-def range_count(df: DataFrame, groups: int = 1) -> int:
-    """Value ranges per group so that all groups together fill the cluster's shuffle partitions."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(8, min(1024, -(-4 * partitions // max(1, groups))))
+SAMPLE_PER_RANGE = 16
 
 
 def prefix_sums(
@@ -28,51 +23,70 @@ def prefix_sums(
     sums: Sequence[str],
     ranges: int = RANGES,
     at: Column | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """`df` plus `<s>_before`, the sum of s over rows of the same group with a smaller `order` value, and
     `<s>_total`, the group's sum.
 
     `df` must hold one row per (keys, order), i.e. be aggregated by value already, so a value shared by a
-    third of the input is one row here. Range bounds come from a mergeable quantile sketch; they only
-    balance the ranges, the sums are exact whatever the bounds. `at`, a condition on the columns
-    `range_<s>`, `range_before_<s>` and `<s>_total`, keeps only the ranges a caller needs rows of, and so
-    spares the others the sort.
+    third of the input is one row here; the columns in `sums` are counts. Range bounds are a hash sample
+    of the values, so they depend on the values alone: a task that runs again, or a plan that reads `df`
+    twice, cuts at the same places. (A quantile sketch depends on merge order and would not.) `at`, a
+    condition on the columns `range_<s>`, `range_before_<s>` and `<s>_total`, keeps only the ranges a
+    caller needs rows of, and so spares the others the sort. `few_groups` says that the groups are bounded
+    by the columns, folds or model configurations at hand, so that their bounds can be broadcast.
     """
     keys = list(keys)
-    steps = [i / ranges for i in range(1, ranges)]
-    bounds = df.groupBy(*keys).agg(F.percentile_approx(order, steps, 100 * ranges).alias("__bounds"))
-    located = _join(df, bounds, keys).withColumn(
-        "__range", F.size(F.filter("__bounds", lambda b: b < F.col(order)))
-    ).drop("__bounds")
+    bounded = few_groups or not keys
 
-    totals = located.groupBy(*keys, "__range").agg(*[F.sum(s).alias(f"range_{s}") for s in sums])
+    def join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+        right = F.broadcast(right) if bounded else right
+        return left.join(right, on, how) if on else left.join(right, how=how)
+
+    # always true; with it every branch below reads the same columns, so the shuffle under `df` runs once
+    counts = df
+    for s in sums:
+        counts = counts.where(F.col(s) >= 0)
+
+    sizes = counts.groupBy(*keys).agg(F.count(order).alias("__size"))
+    every = F.greatest(F.lit(1).cast("long"), F.floor(F.col("__size") / (SAMPLE_PER_RANGE * ranges)))
+    sample = join(counts, sizes, keys).where(F.pmod(F.xxhash64(order), every) == 0)
+    drawn = sample.groupBy(*keys).agg(F.array_sort(F.collect_set(order)).alias("__drawn"))
+    steps = F.sequence(F.lit(1), F.lit(ranges - 1))
+    cuts = F.transform(steps, lambda i: F.get("__drawn", F.floor(i * F.size("__drawn") / ranges).cast("int")))
+    bounds = drawn.select(*keys, F.array_distinct(cuts).alias("__bounds"))
+
+    place = F.coalesce(F.size(F.filter("__bounds", lambda b: b < F.col(order))), F.lit(0))
+    located = join(counts, bounds, keys, "left").withColumn("__range", place).drop("__bounds")
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "*",
-        *[F.coalesce(F.sum(f"range_{s}").over(earlier), F.lit(0)).alias(f"range_before_{s}") for s in sums],
-        *[F.sum(f"range_{s}").over(group).alias(f"{s}_total") for s in sums],
+    offsets = (
+        located.groupBy(*keys, "__range")
+        .agg(*[F.sum(s).alias(f"range_{s}") for s in sums])
+        .select(
+            "*",
+            *[F.coalesce(F.sum(f"range_{s}").over(earlier), F.lit(0)).alias(f"range_before_{s}") for s in sums],
+            *[F.sum(f"range_{s}").over(group).alias(f"{s}_total") for s in sums],
+        )
     )
     if at is not None:
         offsets = offsets.where(at)
-
+    offsets = offsets.drop(*[f"range_{s}" for s in sums])
     inside = Window.partitionBy(*keys, "__range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    joined = located.join(offsets, [*keys, "__range"])
+    joined = join(located, offsets, [*keys, "__range"])
     for s in sums:
         before = F.col(f"range_before_{s}") + F.coalesce(F.sum(s).over(inside), F.lit(0))
         joined = joined.withColumn(f"{s}_before", before)
-    return joined.drop("__range", *[f"range_{s}" for s in sums], *[f"range_before_{s}" for s in sums])
-
-
-def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    if keys:
-        return left.join(right, keys)
-    # no key: `right` is the one row of a global aggregate
-    return left.join(F.broadcast(right))
+    return joined.drop("__range", *[f"range_before_{s}" for s in sums])
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], ranges: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: Mapping[str, float],
+    ranges: int = RANGES,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, one column per entry of `probs`, missing values ignored.
 
@@ -80,11 +94,16 @@ def exact_quantiles(
     """
     keys = list(keys)
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
-    return quantiles_of_counts(counts, keys, value, probs, ranges or RANGES)
+    return quantiles_of_counts(counts, keys, value, probs, ranges, few_groups)
 
 
 def quantiles_of_counts(
-    counts: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], ranges: int = RANGES
+    counts: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: Mapping[str, float],
+    ranges: int = RANGES,
+    few_groups: bool = False,
 ) -> DataFrame:
     """`exact_quantiles` on rows (keys, value, n)."""
     keys = list(keys)
@@ -94,7 +113,7 @@ def quantiles_of_counts(
         wanted |= (F.col("range_before_n") <= F.ceil(spot)) & (
             F.floor(spot) < F.col("range_before_n") + F.col("range_n")
         )
-    placed = prefix_sums(counts, keys, value, ["n"], ranges, at=wanted)
+    placed = prefix_sums(counts, keys, value, ["n"], ranges, wanted, few_groups)
     picks = []
     for name, spot in spots.items():
         for side, rank in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):

@@ -128,7 +128,7 @@ def signal_profiles(df: DataFrame, ranking: DataFrame, top_n: int = 20, spec: En
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = exact_quantiles(long, keys, "value", {"p25": 0.25, "median": 0.5, "p75": 0.75})
+    quartiles = exact_quantiles(long, keys, "value", {"p25": 0.25, "median": 0.5, "p75": 0.75}, few_groups=True)
     grid = feature_rows(df, names).select(
         F.col("feature_ordinal").alias("ordinal"),
         "feature_name",

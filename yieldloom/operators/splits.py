@@ -40,10 +40,14 @@ def test_start(df: DataFrame, spec: EntitySpec = DEFAULT_SPEC, test_size: float
 
 
 def split_dev_test(df: DataFrame, spec: EntitySpec = DEFAULT_SPEC, test_size: float = 0.15) -> DataFrame:
-    """`df` plus `split`: dev for the oldest dates, test for the newest. No date is in both."""
-    start = test_start(df, spec, test_size).scalar()
+    """`df` plus `split`: dev for the oldest dates, test for the newest. No date is in both.
+
+    The one boundary date is read here and becomes a literal, so later filters on the split are plain date
+    filters that a scan can use.
+    """
+    start = test_start(df, spec, test_size).first().test_start
     return df.where(F.col(spec.ts).isNotNull()).withColumn(
-        "split", F.when(spec.date() >= start, "test").otherwise("dev")
+        "split", F.when(spec.date() >= F.lit(start), "test").otherwise("dev")
     )
 
 
