@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yieldloom.functions import unit_hash
+from yieldloom.sources.workspace import settled
 
 TREES = 200
 SAMPLE = 256
@@ -135,3 +136,8 @@ def score_forest(queries: DataFrame, nodes: DataFrame, sample: int, entity: str
     plain = queries.select(F.col(entity).alias("id"), vector_to_array("features").alias("v"))
     scored = plain.mapInPandas(walk, f"id {id_type}, risk double")
     return scored.withColumnRenamed("id", entity)
+
+
+def settled_forest(points: DataFrame, n_points: int, trees: int, sample: int, seed: int, entity: str) -> DataFrame:
+    """`grow_forest` written down once, so that scoring and saving read the same trees."""
+    return settled(grow_forest(points, n_points, trees, sample, seed, entity))

@@ -29,10 +29,10 @@ def score_counts(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return with_score(scored).groupBy(*keys, "risk").agg(F.count("*").alias("n"), F.sum("y_true").alias("pos"))
 
 
-def ranked_scores(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def ranked_scores(scored: DataFrame, keys: Sequence[str] = (), few_groups: bool = False) -> DataFrame:
     """`score_counts` with the entities and fails at higher scores, and the group totals."""
     counts = score_counts(scored, keys).withColumn("down", -F.col("risk"))
-    return prefix_sums(counts, keys, "down", ["n", "pos"])
+    return prefix_sums(counts, keys, "down", ["n", "pos"], few_groups=few_groups)
 
 
 def cumulative_hits(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -45,9 +45,9 @@ def cumulative_hits(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def discrimination(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def discrimination(scored: DataFrame, keys: Sequence[str] = (), few_groups: bool = False) -> DataFrame:
     """Average precision, ROC AUC and median score per group, ties handled exactly; one class gives NULL."""
-    return discrimination_of(ranked_scores(scored, keys), keys)
+    return discrimination_of(ranked_scores(scored, keys, few_groups), keys)
 
 
 def discrimination_of(ranked: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -106,11 +106,13 @@ def with_rates(cells: DataFrame) -> DataFrame:
     )
 
 
-def median_cut_rates(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def median_cut_rates(scored: DataFrame, keys: Sequence[str] = (), few_groups: bool = False) -> DataFrame:
     """Ranking metrics plus the classification rates when the upper half of the scores is called a fail."""
-    ranked = ranked_scores(scored, keys)
-    cut = discrimination_of(ranked, keys)
-    joined = ranked.join(cut, list(keys)) if keys else ranked.join(F.broadcast(cut))
+    cut = discrimination(scored, keys, few_groups)
+    # the cells only need the counts per score, not their order
+    counts = score_counts(scored, keys)
+    small = F.broadcast(cut) if few_groups or not keys else cut
+    joined = counts.join(small, list(keys)) if keys else counts.join(small)
     hit = F.col("risk") >= F.col("median_risk")
     cells = joined.groupBy(*keys).agg(
         *[F.max(c).alias(c) for c in ("n_scored", "n_fails", "pr_auc", "roc_auc", "median_risk")],
@@ -216,6 +218,7 @@ def inspection(
     rates: Sequence[float] = INSPECTION_RATES,
     entity: str = "entity_id",
     seed: int = 0,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Fails caught when the riskiest share of the entities is inspected, one row per group and rate.
 
@@ -224,7 +227,7 @@ def inspection(
     entities of a cut are looked at again, and only a 4096th of them is sorted.
     """
     keys = list(keys)
-    ranked = ranked_scores(scored, keys)
+    ranked = ranked_scores(scored, keys, few_groups)
 
     def inspected(n: Column, rate: float) -> Column:
         return F.greatest(F.lit(1).cast("long"), F.rint(n * F.lit(float(rate))).cast("long"))
@@ -241,12 +244,13 @@ def inspection(
         .select(*keys, "rate", "take", "risk", "n", "pos", "pos_before")
     )
     shared = crossing.where(F.col("take") < F.col("n")).select(*keys, "risk", "take").distinct()
-    # one cut score per group and rate: without keys that is len(rates) rows, with keys AQE sees its size
+    # one cut score per group and rate: bounded for few groups, for many AQE sees the size
     cut_scores = shared.select(*keys, "risk").distinct()
+    bounded = few_groups or not keys
     tied = (
         with_score(scored)
         .select(*keys, "risk", "y_true", unit_hash(F.col(entity), seed).alias("digest"))
-        .join(cut_scores if keys else F.broadcast(cut_scores), [*keys, "risk"], "left_semi")
+        .join(F.broadcast(cut_scores) if bounded else cut_scores, [*keys, "risk"], "left_semi")
     )
     partial = first_by_hash(tied, [*keys, "risk"], "digest", shared, ["y_true"]).drop("cut")
     caught = crossing.join(partial, [*keys, "risk", "take"], "left").select(

@@ -25,6 +25,7 @@ class Input:
     median: float | None
     mean: float
     std: float
+    null_share: float = 0.0
 
 
 @dataclass(frozen=True)
@@ -72,6 +73,7 @@ def input_statistics(resolved: DataFrame, scores: DataFrame) -> DataFrame:
             F.when(~F.col("indicator"), F.col("median")).alias("median"),
             F.when(F.col("indicator"), share).otherwise(F.col("fill_mean")).alias("mean"),
             F.when(F.col("indicator"), F.sqrt(share * (1 - share))).otherwise(F.col("fill_std")).alias("std"),
+            share.alias("null_share"),
         )
     )
 
@@ -85,23 +87,24 @@ def read_inputs(statistics: DataFrame) -> dict[tuple[str, int], FoldInputs]:
     for (feature_set, fold), group in rows.items():
         group.sort(key=lambda r: r.position)
         used = tuple(
-            Input(r.feature_name, r.source, r.indicator, r.median, r.mean, r.std) for r in group if not r.all_missing
+            Input(r.feature_name, r.source, r.indicator, r.median, r.mean, r.std, r.null_share)
+            for r in group
+            if not r.all_missing
         )
         dropped = tuple(sorted(r.feature_name for r in group if r.all_missing))
         out[feature_set, fold] = FoldInputs(feature_set, fold, tuple(r.feature_name for r in group), dropped, used)
     return out
 
 
-def with_missing_flags(inputs: Sequence[Input], scores: dict[str, tuple[int, int]]) -> list[Input]:
+def with_missing_flags(inputs: Sequence[Input]) -> list[Input]:
     """`inputs` plus a missing indicator for each incomplete feature among them, for learners that cannot
-    split on a missing value. `scores` maps a feature to its (null count, rows) in training."""
+    split on a missing value."""
     have = {i.name for i in inputs}
     extra = []
     for i in inputs:
-        nulls, rows = scores.get(i.source, (0, 0))
-        if not i.indicator and nulls > 0 and i.name + SUFFIX not in have:
-            share = nulls / rows
-            extra.append(Input(i.name + SUFFIX, i.source, True, None, share, (share * (1 - share)) ** 0.5))
+        if not i.indicator and i.null_share > 0 and i.name + SUFFIX not in have:
+            std = (i.null_share * (1 - i.null_share)) ** 0.5
+            extra.append(Input(i.name + SUFFIX, i.source, True, None, i.null_share, std, i.null_share))
     return [*inputs, *extra]
 
 
