@@ -211,8 +211,10 @@ def feature_scores(
     )
     facts = facts.join(of_feature, keys, "left")
     won = F.col("own_pairs") + F.col("over_filler") + F.col("null_fails") * (F.col("under_filler") + null_negs / 2)
-    auc = F.try_divide(won, F.col("fail_rows") * (F.col("rows") - F.col("fail_rows")))
-    auc_gap = F.coalesce(F.when(F.col("values") > 1, F.abs(auc - F.lit(0.5))), F.lit(0.0))
+    all_pairs = F.col("fail_rows") * (F.col("rows") - F.col("fail_rows"))
+    # |AUC - 0.5| from whole and half pairs, so mirrored rankings get the very same number
+    gap = F.try_divide(F.abs(2 * won - all_pairs), (2 * all_pairs).cast("double"))
+    auc_gap = F.coalesce(F.when(F.col("values") > 1, gap), F.lit(0.0))
 
     filled_bin = bin_of(F.col("below_median"))
     here = F.filter("cells", lambda c: c["bin"] == filled_bin)
@@ -377,8 +379,8 @@ def correlation_pruned(pairs: DataFrame, features: Sequence[str], threshold: flo
 
 
 def top_by_score(scores: DataFrame, score: str, n: int) -> DataFrame:
-    """The n best features of each fold; equal scores keep column order."""
-    best = Window.partitionBy("fold").orderBy(F.col(score).desc(), "feature_ordinal")
+    """The n best features of each fold; equal scores (to 12 digits) keep column order."""
+    best = Window.partitionBy("fold").orderBy(F.round(score, 12).desc(), "feature_ordinal")
     return (
         scores.withColumn("position", F.row_number().over(best))
         .where(F.col("position") <= n)

@@ -65,7 +65,7 @@ def parse_labels(lines: DataFrame, spec: EntitySpec = DEFAULT_SPEC) -> DataFrame
     words = F.split(line, r"\s+")
     regular = line.rlike(LABEL_LINE)
     label = F.when(regular, F.regexp_extract(line, LABEL_LINE, 1)).otherwise(F.get(words, F.lit(0)))
-    rest = F.trim(F.lit('"'), F.concat_ws(" ", F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(1)))))
+    rest = F.trim(F.concat_ws(" ", F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(1)))), F.lit('"'))
     stamp = F.when(regular, F.regexp_extract(line, LABEL_LINE, 2)).otherwise(rest)
     labels = lines.select(
         F.col("row_number").alias(spec.id),
