@@ -89,8 +89,9 @@ def fit_and_score(
         model, inputs, train, test, sizes = job
         start = time.perf_counter()
         fitted = fit(model, train, list(inputs.inputs), sizes, spec, (options.overrides or {}).get(model.model_id), options.seed)
-        out = fitted.score(test).withColumnRenamed(spec.id, "entity_id")
-        path = f"{folder}/model={model.model_id}/feature_set={inputs.feature_set}/fold={inputs.fold}"
+        config = [F.lit(v).alias(c) for c, v in zip(CONFIG, (model.model_id, inputs.feature_set, inputs.fold))]
+        out = fitted.score(test).select(F.col(spec.id).alias("entity_id"), "y_true", "risk", *config)
+        path = f"{folder}/{model.model_id}/{inputs.feature_set}/{inputs.fold}"
         out.write.mode("overwrite").parquet(path)
         return model.model_id, inputs.feature_set, inputs.fold, time.perf_counter() - start
 
@@ -99,7 +100,9 @@ def fit_and_score(
             times = list(pool.map(inheritable_thread_target(spark)(one), jobs))
     else:
         times = [one(job) for job in jobs]
-    return spark.read.option("basePath", folder).parquet(f"{folder}/*/*/*"), times
+    # the configuration is in the files, not in the folder names: joins on partition columns would add a
+    # dynamic-pruning subquery to every scan of this small-keyed table
+    return spark.read.option("recursiveFileLookup", "true").parquet(folder), times
 
 
 def config_metrics(scores: DataFrame) -> DataFrame:
