@@ -56,8 +56,14 @@ def prefix_sums(
     cuts = F.transform(steps, lambda i: F.get("__drawn", F.floor(i * F.size("__drawn") / ranges).cast("int")))
     bounds = drawn.select(*keys, F.array_distinct(cuts).alias("__bounds"))
 
-    place = F.coalesce(F.size(F.filter("__bounds", lambda b: b < F.col(order))), F.lit(0))
-    located = join(counts, bounds, keys, "left").withColumn("__range", place).drop("__bounds")
+    located = join(counts, bounds, keys, "left").withColumn("__range", F.lit(0))
+    # binary search for the number of bounds below the value, one generated-code step per power of two
+    step = 1 << max(0, (ranges - 1).bit_length() - 1)
+    while step:
+        below = F.get("__bounds", F.col("__range") + (step - 1)) < F.col(order)
+        located = located.withColumn("__range", F.when(below, F.col("__range") + step).otherwise(F.col("__range")))
+        step //= 2
+    located = located.drop("__bounds")
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
