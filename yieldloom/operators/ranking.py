@@ -9,19 +9,26 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 RANGES = 64
+MOST_RANGES = 4096
 SAMPLE_PER_RANGE = 16
 
 
+def ranges_for(spark: SparkSession, groups: int = 1) -> int:
+    """Value ranges per group so that all groups together keep the cluster's shuffle partitions busy."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(RANGES, min(MOST_RANGES, -(-2 * partitions // max(1, groups))))
+
+
 def prefix_sums(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
     sums: Sequence[str],
-    ranges: int = RANGES,
+    ranges: int | None = None,
     at: Column | None = None,
     few_groups: bool = False,
 ) -> DataFrame:
@@ -38,6 +45,8 @@ def prefix_sums(
     """
     keys = list(keys)
     bounded = few_groups or not keys
+    # a single group alone has to fill the cluster; an unknown number of groups does so together
+    ranges = ranges or (RANGES if keys else ranges_for(df.sparkSession))
 
     def join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
         right = F.broadcast(right) if bounded else right
@@ -91,7 +100,7 @@ def exact_quantiles(
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, float],
-    ranges: int = RANGES,
+    ranges: int | None = None,
     few_groups: bool = False,
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, one column per entry of `probs`, missing values ignored.
@@ -108,7 +117,7 @@ def quantiles_of_counts(
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, float],
-    ranges: int = RANGES,
+    ranges: int | None = None,
     few_groups: bool = False,
 ) -> DataFrame:
     """`exact_quantiles` on rows (keys, value, n)."""

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from yieldloom.operators.longform import feature_name, values
-from yieldloom.operators.ranking import RANGES, prefix_sums
+from yieldloom.operators.ranking import prefix_sums, ranges_for
 from yieldloom.sources.workspace import settled
 from yieldloom.spec import DEFAULT_SPEC, EntitySpec
 
@@ -124,7 +124,7 @@ def value_counts(rows: DataFrame, features: Sequence[str], n_folds: int) -> Data
     return present.groupBy("ordinal", "value").agg(*counters)
 
 
-def value_ranks(counts: DataFrame, n_folds: int, ranges: int = RANGES, at: Column | None = None) -> DataFrame:
+def value_ranks(counts: DataFrame, n_folds: int, ranges: int | None = None, at: Column | None = None) -> DataFrame:
     """(fold, ordinal, value) with its entities and fails, and those at smaller values of the same fold."""
     sums = [f"{kind}_{k}" for k in range(n_folds) for kind in ("n", "pos")]
     ranked = prefix_sums(counts, ["ordinal"], "value", sums, ranges, at, few_groups=True)
@@ -144,7 +144,7 @@ def value_ranks(counts: DataFrame, n_folds: int, ranges: int = RANGES, at: Colum
     return ranked.select("ordinal", "value", F.inline(per_fold)).where(F.col("n") > 0)
 
 
-def fold_medians(counts: DataFrame, n_folds: int) -> DataFrame:
+def fold_medians(counts: DataFrame, n_folds: int, ranges: int | None = None) -> DataFrame:
     """Exact median per (fold, feature). Only value ranges that hold a middle rank are sorted."""
     middle = F.lit(False)
     for k in range(n_folds):
@@ -156,7 +156,7 @@ def fold_medians(counts: DataFrame, n_folds: int) -> DataFrame:
         here = (F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n"))
         return F.max(F.when(here, F.col("value")))
 
-    ranks = value_ranks(counts, n_folds, at=middle)
+    ranks = value_ranks(counts, n_folds, ranges, middle)
     return ranks.groupBy("fold", "ordinal").agg(((value_at(low) + value_at(high)) / 2).alias("median"))
 
 
@@ -173,7 +173,8 @@ def feature_scores(
     keys = ["fold", "ordinal"]
     rows = train_blocks(df, in_train, spec)
     counts = value_counts(rows, features, n_folds)
-    facts = fold_moments(rows, features, n_folds).join(fold_medians(counts, n_folds), keys, "left")
+    ranges = ranges_for(df.sparkSession, len(features))
+    facts = fold_moments(rows, features, n_folds).join(fold_medians(counts, n_folds, ranges), keys, "left")
     facts = facts.withColumn("null_count", F.col("rows") - F.col("pass_n") - F.col("fail_n")).withColumn(
         "null_fails", F.col("fail_rows") - F.col("fail_n")
     )
@@ -182,7 +183,7 @@ def feature_scores(
 
     # one pass over the ranked values, reduced to at most `bins` rows per feature and fold
     filler = facts.select(*keys, "median", "rows", "null_count", "null_fails")
-    placed = value_ranks(counts, n_folds).join(F.broadcast(filler), keys)
+    placed = value_ranks(counts, n_folds, ranges).join(F.broadcast(filler), keys)
     n, pos = F.col("n"), F.col("pos")
     neg, neg_before = n - pos, F.col("n_before") - F.col("pos_before")
     null_negs = F.col("null_count") - F.col("null_fails")

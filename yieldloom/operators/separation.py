@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yieldloom.operators.longform import feature_name, feature_rows, values
-from yieldloom.operators.ranking import exact_quantiles
+from yieldloom.operators.ranking import exact_quantiles, ranges_for
 from yieldloom.spec import DEFAULT_SPEC, EntitySpec
 
 
@@ -128,7 +128,9 @@ def signal_profiles(df: DataFrame, ranking: DataFrame, top_n: int = 20, spec: En
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = exact_quantiles(long, keys, "value", {"p25": 0.25, "median": 0.5, "p75": 0.75}, few_groups=True)
+    probs = {"p25": 0.25, "median": 0.5, "p75": 0.75}
+    ranges = ranges_for(df.sparkSession, 2 * len(names))
+    quartiles = exact_quantiles(long, keys, "value", probs, ranges, few_groups=True)
     grid = feature_rows(df, names).select(
         F.col("feature_ordinal").alias("ordinal"),
         "feature_name",

@@ -201,18 +201,21 @@ def _(spark, sf_dir):
 @query(
     "feature_selection_summary",
     """WITH s AS (SELECT l_linestatus AS model, 'ship_' || l_linenumber AS feature_set, CAST(year(l_shipdate) AS INTEGER) AS fold,
-          list(DISTINCT l_suppkey ORDER BY l_suppkey) AS f FROM lineitem GROUP BY ALL)
+          list(DISTINCT 'quantity_' || lpad(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), 2, '0')
+            ORDER BY 'quantity_' || lpad(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), 2, '0')) AS f FROM lineitem GROUP BY ALL)
        SELECT model, feature_set, avg(len(f)) AS mean_n_selected, CAST(min(len(f)) AS INTEGER) AS min_n_selected, CAST(max(len(f)) AS INTEGER) AS max_n_selected,
               array_to_string(min_by(f, fold)[1:10], ',') AS example_features FROM s GROUP BY ALL""",
     "mean_n_selected",
 )
 def _(spark, sf_dir):
     item = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    # quantities run from 1 to 50, so a list has at most fifty names
+    name = F.concat(F.lit("quantity_"), F.lpad(F.col("l_quantity").cast("int").cast("string"), 2, "0"))
     selected = item.groupBy(
         F.col("l_linestatus").alias("model"),
         F.concat(F.lit("ship_"), F.col("l_linenumber")).alias("feature_set"),
         F.year("l_shipdate").alias("fold"),
-    ).agg(F.array_sort(F.collect_set("l_suppkey")).cast("array<string>").alias("selected_features"))
+    ).agg(F.array_sort(F.collect_set(name)).alias("selected_features"))
     summary = modeling.feature_selection_summary(
         selected.withColumn("n_features_selected", F.size("selected_features"))
     )
