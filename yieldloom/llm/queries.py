@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yieldloom.llm import divergence_rules
+from yieldloom.llm import divergence_rules, merkle
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compared_with_edits(_table(spark, sf_dir, "documents"))
+
+
 def op8_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_rules.judged(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_merkle": op2_merkle,
     "op8_divergence_rules": op8_divergence_rules,
 }
 ORACLES: dict[str, str] = {}
