@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yieldloom.llm import divergence_rules, merkle
+from yieldloom.llm import block_mixing, divergence_rules, merkle
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,12 +15,17 @@ def op2_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compared_with_edits(_table(spark, sf_dir, "documents"))
 
 
+def op7_block_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_mixing.taken_words(_table(spark, sf_dir, "documents")).drop("source")
+
+
 def op8_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_rules.judged(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op2_merkle": op2_merkle,
+    "op7_block_mixing": op7_block_mixing,
     "op8_divergence_rules": op8_divergence_rules,
 }
 ORACLES: dict[str, str] = {}
