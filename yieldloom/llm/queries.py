@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yieldloom.llm import block_mixing, divergence_rules, merkle
+from yieldloom.llm import block_mixing, divergence_rules, merkle, offset_tokens, ordinal_quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op2_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compared_with_edits(_table(spark, sf_dir, "documents"))
 
 
+def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordinal_quality.selected(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_block_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_mixing.taken_words(_table(spark, sf_dir, "documents")).drop("source")
 
@@ -23,9 +27,15 @@ def op8_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_rules.judged(_table(spark, sf_dir, "documents"))
 
 
+def op9_offset_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return offset_tokens.attributed(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_merkle": op2_merkle,
+    "op5_ordinal_quality": op5_ordinal_quality,
     "op7_block_mixing": op7_block_mixing,
     "op8_divergence_rules": op8_divergence_rules,
+    "op9_offset_tokens": op9_offset_tokens,
 }
 ORACLES: dict[str, str] = {}
