@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yieldloom.llm import block_mixing, divergence_rules, merkle, offset_tokens, ordinal_quality
+from yieldloom.llm import block_mixing, divergence_rules, merge_dropout, merkle, offset_tokens, ordinal_quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_dropout.encoded(_table(spark, sf_dir, "documents"))
+
+
 def op2_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compared_with_edits(_table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op9_offset_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_merge_dropout": op1_merge_dropout,
     "op2_merkle": op2_merkle,
     "op5_ordinal_quality": op5_ordinal_quality,
     "op7_block_mixing": op7_block_mixing,
