@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yieldloom.llm import block_mixing, divergence_rules, merge_dropout, merkle, offset_tokens, ordinal_quality
+from yieldloom.llm import block_mixing, circulant_minhash, divergence_rules, merge_dropout, merkle, offset_tokens, ordinal_quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compared_with_edits(_table(spark, sf_dir, "documents"))
 
 
+def op3_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.selected(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -38,6 +42,7 @@ def op9_offset_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_merge_dropout": op1_merge_dropout,
     "op2_merkle": op2_merkle,
+    "op3_circulant_minhash": op3_circulant_minhash,
     "op5_ordinal_quality": op5_ordinal_quality,
     "op7_block_mixing": op7_block_mixing,
     "op8_divergence_rules": op8_divergence_rules,
