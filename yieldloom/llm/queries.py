@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yieldloom.llm import block_mixing, circulant_minhash, divergence_rules, merge_dropout, merkle, offset_tokens, ordinal_quality
+from yieldloom.llm import block_mixing, circulant_minhash, divergence_rules, merge_dropout, merkle, offset_tokens, ordinal_quality, phrase_automata
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_automata.removals(_table(spark, sf_dir, "documents"))
+
+
 def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.selected(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -43,6 +47,7 @@ QUERIES = {
     "op1_merge_dropout": op1_merge_dropout,
     "op2_merkle": op2_merkle,
     "op3_circulant_minhash": op3_circulant_minhash,
+    "op4_phrase_automata": op4_phrase_automata,
     "op5_ordinal_quality": op5_ordinal_quality,
     "op7_block_mixing": op7_block_mixing,
     "op8_divergence_rules": op8_divergence_rules,
