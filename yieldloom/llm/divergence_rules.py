@@ -31,6 +31,7 @@ CLASSES: Sequence[tuple[str, str]] = (
     ("symbol", "[#*$%&|<>]+"),
     ("wide", r"[^\x00-\x7F]+"),
 )
+BINS = [*[name for name, _ in CLASSES], "rest"]
 COMMON_WORDS = 32
 LEAST_REFERENCE_WORDS = 500
 LEAST_WORDS = 50
@@ -43,47 +44,51 @@ BROADCAST_LANGUAGES = 2_000
 def counted(docs: DataFrame) -> DataFrame:
     """Per row the base measures, the words, and `chars`, the character class counts."""
     df = documents(docs, "lang")
-    size = F.length("text")
-    for name, pattern in CLASSES:
-        df = df.withColumn(f"n_{name}", (size - F.length(without(F.col("text"), pattern))).cast("long"))
-    known = [F.col(f"n_{name}") for name, _ in CLASSES]
-    rest = size - sum(known[1:], known[0])
+    df = class_counts(df, "text")
     return df.select(
         "doc_id", "lang", "text",
-        F.array(*known, rest.cast("long")).alias("chars"),
-        (size - F.col("n_space")).cast("long").alias("word_chars"),
+        F.array(*[F.col(f"n_{name}") for name in BINS]).alias("chars"),
+        (F.length("text") - F.col("n_space")).cast("long").alias("word_chars"),
         F.col("n_symbol").alias("n_symbols"),
     )
 
 
+def class_counts(df: DataFrame, column: str) -> DataFrame:
+    """`df` plus n_<class> for each of BINS; a class is looked for only in what earlier ones left over."""
+    left = F.col(column)
+    for name, pattern in CLASSES:
+        df = df.withColumn("__left", without(left, pattern)).withColumn(f"n_{name}", (F.length(left) - F.length("__left")).cast("long"))
+        df, left = df.withColumnRenamed("__left", f"__left_{name}"), F.col(f"__left_{name}")
+    return df.withColumn("n_rest", F.length(left).cast("long")).drop(*[f"__left_{name}" for name, _ in CLASSES])
+
+
 def language_references(docs: DataFrame, common_words: int = COMMON_WORDS, least_reference_words: int = LEAST_REFERENCE_WORDS) -> DataFrame:
     """One row per language: ref_chars, the class shares; ref_words and ref_shares, its common words; ref_total, their sum."""
-    bins = range(len(CLASSES) + 1)
+    known = docs.where(F.col("lang").isNotNull())
+    lengths = known.groupBy(F.col("lang").alias("key")).agg(F.sum(F.length("text")).alias("n_chars"))
+    spoken = documents(known, "lang").select(F.col("lang").alias("key"), F.explode(words(F.col("text"))).alias("word")).groupBy("key", "word").agg(F.count("*").alias("n"))
+    # the classes of all characters follow from the distinct words; what no word holds is white space
+    sums = [F.sum(F.col(f"n_{name}") * F.col("n")).alias(f"n_{name}") for name in BINS if name != "space"]
+    spelled = class_counts(spoken, "word").groupBy("key").agg(F.sum("n").alias("total"), *sums)
+    in_words = sum((F.col(f"n_{name}") for name in BINS if name != "space"), F.lit(0))
     chars = (
-        counted(docs)
-        .groupBy(F.coalesce("lang", F.lit("")).alias("key"), F.col("lang").isNull().alias("unknown"))
-        .agg(*[F.sum(F.get("chars", F.lit(i))).alias(f"c{i}") for i in bins])
-    )
-    total = sum((F.col(f"c{i}") for i in bins[1:]), F.col("c0"))
-    chars = chars.where(~F.col("unknown")).select("key", F.array(*[F.try_divide(F.col(f"c{i}").cast("double"), total) for i in bins]).alias("ref_chars"))
-    spoken = (
-        documents(docs, "lang")
-        .where(F.col("lang").isNotNull())
-        .select(F.col("lang").alias("key"), F.explode(words(F.lower("text"))).alias("word"))
-        .groupBy("key", "word")
-        .agg(F.count("*").alias("n"))
-    )
-    sizes = spoken.groupBy("key").agg(F.sum("n").alias("total")).where(F.col("total") >= least_reference_words)
-    # the limit on the rank is applied before the shuffle too, so a language's vocabulary never meets in one task
-    best = Window.partitionBy("key").orderBy(F.desc("n"), "word")
+        spelled.where(F.col("total") >= least_reference_words).join(lengths, "key")
+        .withColumn("n_space", F.col("n_chars") - in_words)
+        .select("key", "total", F.array(*[F.col(f"n_{name}") / F.col("n_chars") for name in BINS]).alias("ref_chars"))
+    )
+    # Ranks are limited before the shuffle too, so a language's vocabulary never meets in one task. What has
+    # no letter or digit comes last, by its place in the order and not by a filter, so that both uses of
+    # `spoken` read one shuffle.
+    best = Window.partitionBy("key").orderBy(F.col("wordlike").desc(), F.desc("n"), "word")
     common = (
-        spoken.where(F.col("word").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]"))
+        spoken.groupBy("key", F.lower("word").alias("word")).agg(F.sum("n").alias("n"))
+        .withColumn("wordlike", F.col("word").rlike(r"[0-9a-z]|[^\x00-\x7F]"))
         .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= common_words)
         .groupBy("key")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "word", "n"))).alias("common"))
-    )
-    return chars.join(sizes, "key").join(common, "key").select(
+        .agg(F.array_sort(F.collect_list(F.when(F.col("wordlike"), F.struct("rank", "word", "n")))).alias("common"))
+    )
+    return chars.join(common, "key").select(
         "key", "ref_chars",
         F.col("common.word").alias("ref_words"),
         F.transform("common", lambda x: x.n / F.col("total")).alias("ref_shares"),
@@ -114,14 +119,11 @@ def class_distance(chars: Column, reference: Column) -> Column:
     return _distance(_sum(F.zip_with(F.transform(chars, lambda c: c / total), reference, _part)))
 
 
-def repeated_triples(tokens: Column) -> Column:
-    """Number of words that lie in a three-word window whose words occur in another window too."""
+def triples(tokens: Column) -> Column:
+    """64-bit hashes of the three-word windows; two different windows of a text share one with a chance below 1e-10."""
     starts = F.sequence(F.lit(0), F.size(tokens) - 3)
-    # 64-bit hashes of the three words: windows of one text that differ share one with probability below 1e-10
-    windows = F.sort_array(
-        F.transform(starts, lambda i: F.struct(F.xxhash64(F.get(tokens, i), F.get(tokens, i + 1), F.get(tokens, i + 2)).alias("h"), i.alias("i")))
-    )
-    return F.when(F.size(tokens) < 4, F.lit(None)).otherwise(windows)
+    hashes = F.transform(starts, lambda i: F.xxhash64(F.get(tokens, i), F.get(tokens, i + 1), F.get(tokens, i + 2)))
+    return F.when(F.size(tokens) >= 4, hashes)
 
 
 def judged(
@@ -142,18 +144,21 @@ def judged(
         "doc_id", "lang", "text", "chars", "word_chars", "n_symbols", "words",
         F.size("words").cast("long").alias("n_words"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        repeated_triples(F.col("words")).alias("windows"),
+        triples(F.col("words")).alias("hashes"),
     )
+    # only a text with an equal pair of windows needs them in order
+    placed = F.sort_array(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    df = df.withColumn("windows", F.when(F.size(F.array_distinct("hashes")) < F.size("hashes"), placed)).drop("hashes")
     same = F.filter(
         "windows",
         lambda x, j: (x.h == F.get("windows", j + 1)["h"]) | (x.h == F.get("windows", F.greatest(j - 1, F.lit(0)))["h"]) & (j > 0),
     )
     covered = F.size(F.array_distinct(F.flatten(F.transform(same, lambda x: F.array(x.i, x.i + 1, x.i + 2)))))
-    df = df.withColumn("n_repeat_words", F.coalesce(F.when(F.col("n_words") >= 4, covered), F.lit(0)).cast("long")).drop("windows")
+    df = df.withColumn("n_repeat_words", F.when(F.col("windows").isNull(), 0).otherwise(covered).cast("long")).drop("windows")
 
     df = df.join(refs, df.lang == refs.key, "left")
     # places of the document's words among the reference words, sorted, so that equal ones form runs
-    spots = F.transform(words(F.lower("text")), lambda w: F.array_position("ref_words", w))
+    spots = F.transform("words", lambda w: F.array_position("ref_words", F.lower(w)))
     df = df.withColumn("spots", F.sort_array(F.filter(spots, lambda s: s > 0)))
     ends = F.filter(F.sequence(F.lit(1), F.size("spots")), lambda e: F.coalesce(F.get("spots", e - 1) != F.get("spots", e), F.lit(True)))
     df = df.withColumn("ends", F.when(F.size("spots") > 0, ends).otherwise(F.array().cast("array<int>")))
