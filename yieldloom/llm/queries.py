@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yieldloom.llm import block_mixing, circulant_minhash, divergence_rules, merge_dropout, merkle, offset_tokens, ordinal_quality, phrase_automata
+from yieldloom.llm import block_mixing, circulant_minhash, divergence_rules, merge_dropout, merkle, offset_tokens, ordinal_quality, phrase_automata, recurrent_lm
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.selected(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.scored(_table(spark, sf_dir, "documents"))
+
+
 def op7_block_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_mixing.taken_words(_table(spark, sf_dir, "documents")).drop("source")
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op3_circulant_minhash": op3_circulant_minhash,
     "op4_phrase_automata": op4_phrase_automata,
     "op5_ordinal_quality": op5_ordinal_quality,
+    "op6_recurrent_lm": op6_recurrent_lm,
     "op7_block_mixing": op7_block_mixing,
     "op8_divergence_rules": op8_divergence_rules,
     "op9_offset_tokens": op9_offset_tokens,
