@@ -28,11 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yieldloom.llm.word_hashes import mixed, word_hashes
+from yieldloom.llm.word_hashes import mixed, stretches, word_hashes
 from yieldloom.sources.workspace import settled
 
 SHINGLE = 5
@@ -40,22 +39,9 @@ BANDS = 32
 ROWS = 4
 LEAST_SHARE = 75
 LEAST_AGREEMENT = 0.58
-# Characters worked on at a time: bounds a task's memory.
-STRETCH = 1 << 20
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407], dtype=np.uint64)
 
 
-def stretches(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of about STRETCH bytes, a row at least."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    lo = 0
-    while lo < len(column):
-        before = sizes[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(sizes, before + STRETCH)))
-        yield lo, hi
-        lo = hi
-
-
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
     """For each text the sorted hashes of its distinct shingles."""
     w = word_hashes(column, lower=True)

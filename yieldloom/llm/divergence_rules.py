@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from yieldloom.llm.wording import SPACE, documents, without, words
+from yieldloom.llm.wording import SPACE, computed, documents, without, words
 from yieldloom.sources.workspace import settled
 
 # Character classes; what none of them holds (ASCII punctuation, controls) is the last bin.
@@ -179,4 +179,12 @@ def judged(
     )
     far = (F.col("class_distance") > most_class_distance) | (F.col("word_distance") > most_word_distance)
     strange = (F.col("n_words") >= least_words) & F.coalesce(far, F.lit(False))
-    return df.withColumn("kept", ~F.col("base_failed") & ~strange)
+    return computed(df.withColumn("kept", ~F.col("base_failed") & ~strange))
+
+
+def passing(docs: DataFrame, **options) -> DataFrame:
+    """The rows of `docs` that are kept. Rows that share a doc_id are told apart by their texts."""
+    rejected = judged(docs.withColumn("doc_id", F.struct("doc_id", F.xxhash64("text").alias("h"), F.col("lang"))), **options)
+    rejected = rejected.where(~F.col("kept")).select(F.col("doc_id").alias("__key")).distinct()
+    key = F.struct("doc_id", F.xxhash64("text").alias("h"), F.col("lang"))
+    return docs.join(rejected, key.eqNullSafe(F.col("__key")), "left_anti")

@@ -31,8 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yieldloom.llm.circulant_minhash import stretches
-from yieldloom.llm.word_hashes import Words, mixed, word_hashes
+from yieldloom.llm.word_hashes import Words, mixed, stretches, word_hashes
 from yieldloom.sources.workspace import new_folder
 
 WINDOW = 35

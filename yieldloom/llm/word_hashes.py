@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 MULTIPLIER = 0x9E3779B97F4A7C15
+# Bytes of text worked on at a time: bounds a task's memory.
+STRETCH = 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -77,3 +81,14 @@ def word_hashes(column: pa.Array, lower: bool = False, seed: int = 0) -> Words:
     place = np.arange(int(lengths.sum())) - np.repeat(packed, lengths)
     hashes = np.add.reduceat(keys[data[solid]] * powers[place], packed)
     return Words(data, start, end, first, mixed(hashes + lengths.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)))
+
+
+def stretches(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Row ranges of about STRETCH bytes, a row at least."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(column):
+        before = sizes[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(sizes, before + STRETCH)))
+        yield lo, hi
+        lo = hi

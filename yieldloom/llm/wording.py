@@ -28,3 +28,9 @@ def n_words(text: Column) -> Column:
     """How many words `text` has, without building them: one more than its inner gaps."""
     bare = F.btrim(text, F.lit(SPACE_CHARS))
     return F.when(bare == "", F.lit(0)).otherwise(F.regexp_count(bare, F.lit(SPACE + "+")) + 1).cast("long")
+
+
+def computed(df: DataFrame) -> DataFrame:
+    """`df` behind a generator of one row, so that a filter on its columns isn't moved below and its expressions
+    are not copied into the filter, where each use would compute them anew."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
