@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yieldloom.llm import block_mixing, circulant_minhash, divergence_rules, merge_dropout, merkle, offset_tokens, ordinal_quality, phrase_automata, recurrent_lm
+from yieldloom.llm import block_mixing, circulant_minhash, divergence_rules, id_coder, merge_dropout, merkle, offset_tokens, ordinal_quality, phrase_automata, recurrent_lm
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,10 @@ def op9_offset_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offset_tokens.attributed(_table(spark, sf_dir, "documents"))
 
 
+def op10_id_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_coder.encoded_ids(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_merge_dropout": op1_merge_dropout,
     "op2_merkle": op2_merkle,
@@ -57,5 +61,6 @@ QUERIES = {
     "op7_block_mixing": op7_block_mixing,
     "op8_divergence_rules": op8_divergence_rules,
     "op9_offset_tokens": op9_offset_tokens,
+    "op10_id_coder": op10_id_coder,
 }
 ORACLES: dict[str, str] = {}
