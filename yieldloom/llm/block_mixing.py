@@ -219,10 +219,11 @@ def mixed_blocks(docs: DataFrame, **options) -> DataFrame:
     """The mix itself, one row per slot and document part: shard, source, pass, block, doc_id, from_word and the words."""
     mix = mixed(docs, **options)
     hits = mix.covered().join(mix.drawn, ["source_no", "block"]).withColumn("source", mix.values(lambda s: s.source, "string"))
-    own = docs.groupBy("doc_id", "source").agg(F.max_by("text", n_words(F.coalesce("text", F.lit("")))).alias("text"))
-    same = hits.doc_id.eqNullSafe(own.doc_id) & hits.source.eqNullSafe(own.source)
-    part = F.slice(words(own.text), (F.col("from_word") + 1).cast("int"), (F.col("upto_word") - F.col("from_word")).cast("int"))
-    return hits.join(own, same).select("shard", hits.source, "pass", "block", hits.doc_id, "from_word", part.alias("words"))
+    own = docs.select(F.col("doc_id").alias("own_id"), F.col("source").alias("own_source"), F.coalesce("text", F.lit("")).alias("text"))
+    own = own.groupBy("own_id", "own_source").agg(F.max_by("text", n_words(F.col("text"))).alias("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("own_id")) & F.col("source").eqNullSafe(F.col("own_source"))
+    part = F.slice(words(F.col("text")), (F.col("from_word") + 1).cast("int"), (F.col("upto_word") - F.col("from_word")).cast("int"))
+    return hits.join(own, same).select("shard", "source", "pass", "block", "doc_id", "from_word", part.alias("words"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
@@ -234,13 +235,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     mix = mixed(docs, **options)
     takes = mix.passes().select(
-        F.col("doc_id").alias("__id"), mix.values(lambda s: s.source, "string").alias("__source"), "parts", "size"
+        F.col("doc_id").alias("__id"), mix.values(lambda s: s.source, "string").alias("__source"), F.col("parts").alias("__parts"), F.col("size").alias("__size")
     )
     joined = docs.join(takes, docs.doc_id.eqNullSafe(takes["__id"]) & docs.source.eqNullSafe(takes["__source"]))
-    total = F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p.upto_word - p.from_word)
+    total = F.aggregate("__parts", F.lit(0).cast("long"), lambda a, p: a + p.upto_word - p.from_word)
     joined = joined.withColumn("__words", words(F.coalesce("text", F.lit(""))))
-    pieces = F.flatten(F.transform("parts", lambda p: F.slice("__words", (p.from_word + 1).cast("int"), (p.upto_word - p.from_word).cast("int"))))
-    out = joined.withColumn("text", F.when(total == F.col("size"), F.col("text")).otherwise(F.array_join(pieces, " ")))
+    pieces = F.flatten(F.transform("__parts", lambda p: F.slice("__words", (p.from_word + 1).cast("int"), (p.upto_word - p.from_word).cast("int"))))
+    out = joined.withColumn("text", F.when(total == F.col("__size"), F.col("text")).otherwise(F.array_join(pieces, " ")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
     return out.select(*docs.columns)
