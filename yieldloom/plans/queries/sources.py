@@ -35,8 +35,11 @@ def _(spark, sf_dir):
 @query("measurement_file", f"SELECT vec_id + 1 AS entity_id, {CELLS} FROM embeddings", " ".join(FEATURES))
 def _(spark, sf_dir):
     folder = new_folder(spark, "measurements")
-    lines = measurement_lines(sensor_entities(spark, sf_dir)).orderBy("row_number").select("value")
-    lines.write.text(folder)
+    lines = measurement_lines(sensor_entities(spark, sf_dir)).orderBy("row_number")
+    # tabs around some lines, and blank lines of tabs between others
+    edge = F.when(F.col("row_number") % 3 == 0, "\t ").otherwise("")
+    after = F.when(F.col("row_number") % 7 == 0, " \t\n\t").otherwise("")
+    lines.select(F.concat(edge, "value", edge, after).alias("value")).write.text(folder)
     return read_measurements(spark, folder)
 
 
@@ -68,6 +71,7 @@ def _(spark, sf_dir):
     quoted = F.concat(F.col("yield_label").cast("string"), F.lit(' "'), stamp, F.lit('"'))
     bare = F.concat_ws(" ", F.col("yield_label").cast("string"), stamp)
     line = F.when(F.col("entity_id") % 3 == 0, bare).otherwise(quoted)
+    line = F.when(F.col("entity_id") % 4 == 0, F.concat(F.lit("\t"), line, F.lit(" \t"))).otherwise(line)
     return parse_labels(sensors.select(F.col("entity_id").alias("row_number"), line.alias("value")))
 
 
