@@ -5,44 +5,37 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from yieldloom.functions import unit_hash
 from yieldloom.sources.workspace import settled
 
 TREES = 200
 SAMPLE = 256
+OVERSAMPLE = 2.0
 NODES = "tree int, node int, feature int, cut double, below int, above int, size int"
 
 
 def tree_samples(points: DataFrame, n_points: int, trees: int, sample: int, seed: int, entity: str) -> DataFrame:
-    """(tree, features): for every tree its own `sample` points, chosen by hashes of the id.
+    """(tree, entity, v): for every tree its own `sample` points, chosen by digests of tree and id, alike at every table size.
 
-    With far more points than the forest needs, one hash first thins the table and assigns each survivor
-    to one tree; otherwise every tree hashes every point. Either way a tree keeps its `sample` lowest
-    hashes among slightly more candidates.
+    Every tree digests every point and keeps those below a bound that leaves about `OVERSAMPLE` times as many
+    as it needs (all of them in a small table); of these it takes the `sample` lowest digests.
     """
-    oversample = 2.0
-    share = min(1.0, oversample * sample / max(1, n_points))
-    span = float(2**31)
-
-    def uniform(*parts):
-        return F.pmod(F.xxhash64(entity, *parts), F.lit(2**31)) / F.lit(span)
-
-    if n_points > 4 * trees * sample:
-        drawn = points.where(uniform(F.lit(seed)) < F.lit(share * trees)).withColumn(
-            "tree", F.pmod(F.xxhash64(entity, F.lit(seed + 1)), F.lit(trees)).cast("int")
-        )
-    else:
-        every = F.sequence(F.lit(0), F.lit(trees - 1))
-        chosen = F.filter(every, lambda t: uniform(F.lit(seed), t) < F.lit(share))
-        drawn = points.select("*", F.explode(chosen).alias("tree"))
-    lowest = Window.partitionBy("tree").orderBy(unit_hash(F.concat_ws(":", "tree", entity), seed))
+    share = min(1.0, OVERSAMPLE * sample / max(1, n_points))
+    bound = "g" if share == 1.0 else f"{int(share * 16**8):08x}"
+
+    def digest(tree: Column) -> Column:
+        return F.md5(F.concat_ws(":", F.lit(str(seed)), tree.cast("string"), F.col(entity).cast("string")))
+
+    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring(digest(t), 1, 8) < F.lit(bound))
+    lowest = Window.partitionBy("tree").orderBy("digest", entity)
     return (
-        drawn.withColumn("place", F.row_number().over(lowest))
+        points.select("*", F.explode(chosen).alias("tree"))
+        .withColumn("digest", digest(F.col("tree")))
+        .withColumn("place", F.row_number().over(lowest))
         .where(F.col("place") <= sample)
-        .select("tree", vector_to_array("features").alias("v"))
+        .select("tree", entity, vector_to_array("features").alias("v"))
     )
 
 
@@ -85,7 +78,7 @@ def grow_forest(
         return pd.DataFrame(nodes, columns=["tree", "node", "feature", "cut", "below", "above", "size"])
 
     samples = tree_samples(points, n_points, trees, sample, seed, entity)
-    return samples.groupBy("tree").applyInPandas(grow, NODES)
+    return samples.select("tree", "v").groupBy("tree").applyInPandas(grow, NODES)
 
 
 def score_forest(queries: DataFrame, nodes: DataFrame, sample: int, entity: str = "entity_id") -> DataFrame:

@@ -139,7 +139,8 @@ def threshold_sweep(
         .groupBy(*keys, edge_index(F.col("risk"), grid).alias("reached"))
         .agg(F.count("*").alias("n"), F.sum("y_true").alias("pos"))
     )
-    totals = reached.groupBy(*keys).agg(F.sum("n").alias("n_total"), F.sum("pos").alias("pos_total"))
+    # without any score the sums are NULL, the counts of the sweep 0
+    totals = reached.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(f"{c}_total") for c in ("n", "pos")])
     steps = F.array(*[F.struct(F.lit(i + 1).alias("step"), F.lit(t).alias("cut")) for i, t in enumerate(grid)])
     points = totals.select("*", F.explode(steps).alias("point")).select(*keys, "n_total", "pos_total", "point.*")
     hits = reached.withColumnRenamed("reached", "step")

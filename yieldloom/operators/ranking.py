@@ -13,8 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 RANGES = 64
-MOST_RANGES = 4096
+MOST_RANGES = 1 << 16
 SAMPLE_PER_RANGE = 16
+# Values per range to aim at: a group with more of them than its ranges would hold gets more ranges.
+ROWS_PER_RANGE = 100_000
+LEAST_DIGITS = 3
 
 
 def ranges_for(spark: SparkSession, groups: int = 1) -> int:
@@ -58,21 +61,23 @@ def prefix_sums(
         counts = counts.where(F.col(s) >= 0)
 
     sizes = counts.groupBy(*keys).agg(F.count(order).alias("__size"))
-    every = F.greatest(F.lit(1).cast("long"), F.floor(F.col("__size") / (SAMPLE_PER_RANGE * ranges)))
+    # a group's own number of ranges, by its counted size
+    own = F.least(F.lit(MOST_RANGES), F.greatest(F.lit(ranges), F.ceil(F.col("__size") / ROWS_PER_RANGE).cast("int")))
+    sizes = sizes.withColumn("__ranges", own)
+    every = F.greatest(F.lit(1).cast("long"), F.floor(F.col("__size") / (SAMPLE_PER_RANGE * F.col("__ranges"))))
     sample = join(counts, sizes, keys).where(F.pmod(F.xxhash64(order), every) == 0)
-    drawn = sample.groupBy(*keys).agg(F.array_sort(F.collect_set(order)).alias("__drawn"))
-    steps = F.sequence(F.lit(1), F.lit(ranges - 1))
-    cuts = F.transform(steps, lambda i: F.get("__drawn", F.floor(i * F.size("__drawn") / ranges).cast("int")))
+    drawn = sample.groupBy(*keys).agg(F.array_sort(F.collect_set(order)).alias("__drawn"), F.max("__ranges").alias("__ranges"))
+    steps = F.filter(F.sequence(F.lit(0), F.col("__ranges") - 1), lambda i: i > 0)
+    cuts = F.transform(steps, lambda i: F.get("__drawn", F.floor(i * F.size("__drawn") / F.col("__ranges")).cast("int")))
     bounds = drawn.select(*keys, F.array_distinct(cuts).alias("__bounds"))
 
-    located = join(counts, bounds, keys, "left").withColumn("__range", F.lit(0))
-    # binary search for the number of bounds below the value, one generated-code step per power of two
-    step = 1 << max(0, (ranges - 1).bit_length() - 1)
-    while step:
-        below = F.get("__bounds", F.col("__range") + (step - 1)) < F.col(order)
-        located = located.withColumn("__range", F.when(below, F.col("__range") + step).otherwise(F.col("__range")))
-        step //= 2
-    located = located.drop("__bounds")
+    # Binary search for the number of bounds below the value, a step per power of two. A lambda variable holds
+    # the place so far; as nested expressions each step would repeat the ones before it.
+    powers = F.array(*[F.lit(1 << i) for i in reversed(range(MOST_RANGES.bit_length() - 1))])
+    place = F.aggregate(
+        powers, F.lit(0), lambda at, step: F.when(F.get("__bounds", at + step - 1) < F.col(order), at + step).otherwise(at)
+    )
+    located = join(counts, bounds, keys, "left").withColumn("__range", place).drop("__bounds")
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -142,20 +147,36 @@ def quantiles_of_counts(
     return chosen.select(*keys, *out)
 
 
+def head_digits(spark: SparkSession) -> int:
+    """Hex digits that cut a group into at least 64 digest ranges for each of the cluster's shuffle partitions."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    digits = LEAST_DIGITS
+    while 16**digits < 64 * partitions:
+        digits += 1
+    return digits
+
+
+def head_counts(df: DataFrame, keys: Sequence[str], digest: str, carry: Sequence[str] = (), digits: int | None = None) -> DataFrame:
+    """(keys, head, head_one, head_<c>): rows and sums of c by the first digits of a hex digest; few rows, one per range."""
+    head = F.substring(digest, 1, digits or head_digits(df.sparkSession)).alias("head")
+    return df.groupBy(*keys, head).agg(F.count("*").alias("head_one"), *[F.sum(c).alias(f"head_{c}") for c in carry])
+
+
 def first_by_hash(
-    df: DataFrame, keys: Sequence[str], digest: str, wanted: DataFrame, carry: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], digest: str, wanted: DataFrame, carry: Sequence[str] = (), heads: DataFrame | None = None
 ) -> DataFrame:
     """Where the first `take` rows of a group end in digest order, for every row (keys, take) of `wanted`.
 
     Returns (keys, take, cut, <c>_taken): rows with digest <= cut are the first `take`, and <c>_taken is
-    the sum of c over them. `digest` is a hex hash, so its first three characters cut any group into 4096
-    ranges of nearly equal size: one counting pass finds the range a cut lies in, a second pass sorts the
-    rows of that range only.
+    the sum of c over them. `digest` is a hex hash, so its first characters cut any group into ranges of
+    nearly equal size, more of them on a larger cluster: one counting pass (or `heads`, if the caller has
+    its `head_counts` already) finds the range a cut lies in, a second pass sorts the rows of that range only.
     """
     keys = list(keys)
-    headed = df.withColumn("head", F.substring(digest, 1, 3)).withColumn("one", F.lit(1).cast("long"))
     sums = ["one", *carry]
-    totals = headed.groupBy(*keys, "head").agg(*[F.sum(s).alias(f"head_{s}") for s in sums])
+    digits = head_digits(df.sparkSession)
+    headed = df.withColumn("head", F.substring(digest, 1, digits)).withColumn("one", F.lit(1).cast("long"))
+    totals = head_counts(df, keys, digest, carry, digits) if heads is None else heads
     earlier = Window.partitionBy(*keys).orderBy("head").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("*", *[F.coalesce(F.sum(f"head_{s}").over(earlier), F.lit(0)).alias(f"before_{s}") for s in sums])
     hits = (

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from yieldloom.functions import ratio_or_zero, unit_hash
-from yieldloom.operators.ranking import first_by_hash
+from yieldloom.operators.ranking import first_by_hash, head_counts
+from yieldloom.sources.workspace import settled
 from yieldloom.spec import DEFAULT_SPEC, EntitySpec
 
 
@@ -39,16 +40,25 @@ def test_start(df: DataFrame, spec: EntitySpec = DEFAULT_SPEC, test_size: float
     return dates.where(F.col("date_ordinal") == n_dev).agg(F.min("event_date").alias("test_start"))
 
 
+def _test_from(df: DataFrame, spec: EntitySpec, test_size: float) -> Column:
+    """Midnight of the first test date, as a literal of the timestamp column's own type. Reads the dates once."""
+    start = test_start(df, spec, test_size).first().test_start
+    return F.lit(start).cast(df.schema[spec.ts].dataType)
+
+
 def split_dev_test(df: DataFrame, spec: EntitySpec = DEFAULT_SPEC, test_size: float = 0.15) -> DataFrame:
     """`df` plus `split`: dev for the oldest dates, test for the newest. No date is in both.
 
-    The one boundary date is read here and becomes a literal, so later filters on the split are plain date
-    filters that a scan can use.
+    To read one part only, take `dev_and_test`: a filter on `split` does not reach a scan.
     """
-    start = test_start(df, spec, test_size).first().test_start
-    return df.where(F.col(spec.ts).isNotNull()).withColumn(
-        "split", F.when(spec.date() >= F.lit(start), "test").otherwise("dev")
-    )
+    late = F.col(spec.ts) >= _test_from(df, spec, test_size)
+    return df.where(F.col(spec.ts).isNotNull()).withColumn("split", F.when(late, "test").otherwise("dev"))
+
+
+def dev_and_test(df: DataFrame, spec: EntitySpec = DEFAULT_SPEC, test_size: float = 0.15) -> tuple[DataFrame, DataFrame]:
+    """The oldest dates and the newest, each behind a timestamp filter that a scan takes over."""
+    start = _test_from(df, spec, test_size)
+    return df.where(F.col(spec.ts) < start), df.where(F.col(spec.ts) >= start)
 
 
 def expanding_folds(
@@ -152,29 +162,37 @@ def assign_folds(df: DataFrame, folds: DataFrame, spec: EntitySpec = DEFAULT_SPE
 def stratified_split(
     df: DataFrame, spec: EntitySpec = DEFAULT_SPEC, test_size: float = 0.30, seed: int = 42
 ) -> DataFrame:
-    """`df` plus `split`: train or test, with the same test share in each class, in repeatable hash order."""
-    digested = df.withColumn("y", spec.y()).withColumn("digest", unit_hash(F.col(spec.id), seed))
-    counts = digested.groupBy("y").agg(F.count("*").alias("n"))
+    """`df` plus `split`: train or test, with the same test share in each class, in repeatable hash order.
+
+    Reads the ids twice, for the two cut digests; these are literals then, so each part is a plain filter
+    and needs no copy of the table.
+    """
+    digested = df.select(spec.y().alias("y"), unit_hash(F.col(spec.id), seed).alias("digest"))
+    heads = settled(head_counts(digested, ["y"], "digest"))
+    counts = heads.groupBy("y").agg(F.sum("head_one").alias("n"))
     wanted = counts.select("y", F.rint(F.col("n") * F.lit(test_size)).cast("long").alias("take"))
-    cuts = first_by_hash(digested.select("y", "digest"), ["y"], "digest", wanted).select("y", "cut")
-    # two classes, two cuts
-    joined = digested.join(F.broadcast(cuts), "y", "left")
-    side = F.when(F.col("digest") <= F.col("cut"), "test").otherwise("train")
-    return joined.withColumn("split", side).select(*df.columns, "split")
+    cuts = {r["y"]: r["cut"] for r in first_by_hash(digested, ["y"], "digest", wanted, heads=heads).select("y", "cut").collect()}
+    digest = unit_hash(F.col(spec.id), seed)
+    inside = F.lit(False)
+    for y, cut in cuts.items():
+        inside |= (spec.y() == y) & (digest <= F.lit(cut))
+    return df.withColumn("split", F.when(inside, "test").otherwise("train"))
 
 
 def undersample(df: DataFrame, spec: EntitySpec = DEFAULT_SPEC, seed: int = 42) -> DataFrame:
-    """All fails and equally many passes in repeatable hash order; no rows if there are too few passes."""
-    digested = df.withColumn("y", spec.y()).withColumn("digest", unit_hash(F.col(spec.id), seed))
-    sizes = digested.agg(F.sum("y").alias("n_fail"), F.sum(1 - F.col("y")).alias("n_pass"))
-    wanted = sizes.where((F.col("n_pass") > F.col("n_fail")) & (F.col("n_fail") > 0)).select(
-        F.lit(0).alias("y"), F.col("n_fail").alias("take")
-    )
-    passes = digested.where("y = 0")
-    cuts = first_by_hash(passes.select("y", "digest"), ["y"], "digest", wanted).select("cut")
-    possible = cuts.agg(F.max("cut")).scalar()
-    kept = digested.where(possible.isNotNull() & ((F.col("y") == 1) | (F.col("digest") <= possible)))
-    return kept.select(*df.columns)
+    """All fails and equally many passes in repeatable hash order; no rows if there are too few passes.
+
+    Reads the ids twice, for one cut digest, and returns a filter on `df`.
+    """
+    digested = df.select(spec.y().alias("y"), unit_hash(F.col(spec.id), seed).alias("digest"))
+    heads = settled(head_counts(digested, ["y"], "digest"))
+    n = {r["y"]: r["n"] for r in heads.groupBy("y").agg(F.sum("head_one").alias("n")).collect()}
+    n_pass, n_fail = n.get(0, 0), n.get(1, 0)
+    if not n_pass > n_fail > 0:
+        return df.where(F.lit(False))
+    wanted = df.sparkSession.range(1).select(F.lit(0).alias("y"), F.lit(n_fail).cast("long").alias("take"))
+    cut = first_by_hash(digested.where("y = 0"), ["y"], "digest", wanted, heads=heads.where("y = 0")).first()["cut"]
+    return df.where((spec.y() == 1) | (unit_hash(F.col(spec.id), seed) <= F.lit(cut)))
 
 
 def class_weights(df: DataFrame, spec: EntitySpec = DEFAULT_SPEC) -> DataFrame:

@@ -22,7 +22,7 @@ from yieldloom.operators.selectors import (
     feature_scores,
     resolve_feature_sets,
 )
-from yieldloom.operators.splits import expanding_folds, read_folds, split_dev_test, stratified_split, undersample
+from yieldloom.operators.splits import dev_and_test, expanding_folds, read_folds, stratified_split, undersample
 from yieldloom.plans.models import REGISTRY, Fitted, ModelSpec, class_sizes, fit
 from yieldloom.sources.workspace import new_folder, settled
 from yieldloom.spec import DEFAULT_SPEC, EntitySpec
@@ -366,9 +366,7 @@ def run_modeling(
     """Split by date, evaluate on the development part, lock model and threshold, test once."""
     options = options or Options()
     catalog = settled(catalog if catalog is not None else feature_catalog(entities, spec))
-    split = split_dev_test(entities, spec, test_size)
-    dev = split.where("split = 'dev'").drop("split")
-    test = split.where("split = 'test'").drop("split")
+    dev, test = dev_and_test(entities, spec, test_size)
     evaluation = walk_forward(dev, catalog, options, spec)
     best = best_config(evaluation.results)
     of_best = evaluation.scores.where(
@@ -411,13 +409,13 @@ def random_split_comparison(
     options = options or Options()
     spark = entities.sparkSession
     catalog = settled(catalog if catalog is not None else feature_catalog(entities, spec))
-    split = settled(stratified_split(entities, spec, 0.30, options.seed))
+    split = stratified_split(entities, spec, 0.30, options.seed)
     train = split.where("split = 'train'").drop("split")
     test = split.where("split = 'test'").drop("split")
     protocols = {RANDOM_SPLIT: train}
     n_pass, n_fail = class_sizes(train, spec)
     if n_pass > n_fail > 0:
-        protocols[UNDERSAMPLED_SPLIT] = settled(undersample(train, spec, options.seed))
+        protocols[UNDERSAMPLED_SPLIT] = undersample(train, spec, options.seed)
     tables = []
     for protocol, rows in protocols.items():
         inputs = fold_inputs(rows, catalog, [F.lit(True)], options, spec)

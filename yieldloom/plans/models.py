@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yieldloom.functions import unit_hash
 from yieldloom.operators import ellipse, forest, neighbors
 from yieldloom.operators.preprocess import Input, prepare, preparation, with_missing_flags
 from yieldloom.spec import DEFAULT_SPEC, EntitySpec
@@ -98,8 +99,8 @@ class Fitted:
         entity = self.spec.id
         labels = df.select(entity, self.spec.y().alias("y_true"))
         if self.model.model_id == "dummy_stratified":
-            # a repeatable coin per entity that lands on fail with the training fail rate
-            coin = F.pmod(F.xxhash64(entity, F.lit(self.state["seed"])), F.lit(2**31)) / F.lit(float(2**31))
+            # a repeatable coin per entity, 32 bits of a digest, that lands on fail with the training fail rate
+            coin = F.conv(F.substring(unit_hash(F.col(entity), self.state["seed"]), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
             return labels.withColumn("risk", (coin < F.lit(self.state["prior"])).cast("double"))
         if self.stages is not None and self.model.kind == "classifier" and self.model.model_id != "knn_scaled":
             needed = sorted({i.source for i in self.inputs})

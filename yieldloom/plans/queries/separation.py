@@ -1,6 +1,9 @@
 """Queries over the separation operators."""
 
-from yieldloom.operators import separation
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from yieldloom.operators import dashboard, separation
 from yieldloom.operators.profile import feature_catalog
 from yieldloom.plans.registry import PRIORITY, PROFILES, RANKING, query
 from yieldloom.recipes import lot_entities
@@ -121,3 +124,16 @@ def _(spark, sf_dir):
     lots = lot_entities(spark, sf_dir)
     catalog = feature_catalog(lots)
     return separation.signal_shortlist(catalog, separation.signal_separation(lots), catalog)
+
+
+@query(
+    "top_importances",
+    f"""WITH {RANKING} SELECT feature_name, effect_size AS importance, CAST(row_number() OVER (ORDER BY effect_size DESC, feature_name) AS INTEGER) AS place
+        FROM sep QUALIFY place <= 2""",
+    "importance",
+)
+def _(spark, sf_dir):
+    """The effect sizes as importances of the features, the first two."""
+    ranking = separation.signal_separation(lot_entities(spark, sf_dir)).where(F.col("effect_size").isNotNull())
+    top = dashboard.top_importances(ranking.select("feature_name", F.col("effect_size").alias("importance")), 2)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(F.desc("importance"), "feature_name")))

@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 from yieldloom.operators.profile import feature_action_summary, feature_catalog, overview
 from yieldloom.operators.separation import failure_relationship
 from yieldloom.plans.export import as_document
-from yieldloom.plans.registry import LOTS, SENSORS, query
+from yieldloom.plans.registry import CATALOG, LOTS, RANKING, SENSORS, query
 from yieldloom.recipes import SENSORS as N_SENSORS
 from yieldloom.recipes import lot_entities, sensor_entities
-from yieldloom.sources.tables import canonical, chronological
+from yieldloom.sources.results import COMPARISON_SCHEMA, read_comparison, write_comparison
+from yieldloom.sources.tables import canonical, chronological, measurement_schema, scan
 from yieldloom.sources.text import numbered_lines, parse_labels, parse_measurements, read_measurements
 from yieldloom.sources.workspace import new_folder
 
@@ -97,3 +98,69 @@ def _(spark, sf_dir):
         part = part.select(F.lit(name).alias("section"), "json")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# The report tables as JSON text, read back: what a reader of the export sees.
+ACTION_SQL = f"""WITH {CATALOG} SELECT recommended_action, count(*) AS feature_count FROM cat GROUP BY 1"""
+
+
+@query("json_actions_read_back", ACTION_SQL)
+def _(spark, sf_dir):
+    actions = feature_action_summary(feature_catalog(lot_entities(spark, sf_dir))).select("recommended_action", "feature_count")
+    kind = "array<struct<recommended_action:string,feature_count:long>>"
+    return as_document(actions).select(F.inline(F.from_json("json", kind)))
+
+
+@query(
+    "json_relationship_read_back",
+    f"WITH {RANKING} SELECT feature_name, effect_size, valid_pass_count, valid_fail_count FROM rel",
+    "effect_size",
+)
+def _(spark, sf_dir):
+    relation = failure_relationship(lot_entities(spark, sf_dir)).select("feature_name", "effect_size", "valid_pass_count", "valid_fail_count")
+    kind = "array<struct<feature_name:string,effect_size:double,valid_pass_count:long,valid_fail_count:long>>"
+    return as_document(relation).select(F.inline(F.from_json("json", kind)))
+
+
+COMPARED = [f.name for f in COMPARISON_SCHEMA if f.name not in ("model", "feature_set", "evaluation_protocol", "n_features")]
+
+
+@query(
+    "comparison_read_back",
+    "SELECT l_returnflag AS model, l_linestatus AS feature_set, 'by line' AS evaluation_protocol, CAST(count(DISTINCT l_linenumber) AS INTEGER) AS n_features, "
+    + ", ".join("count(*) AS " + c if c.startswith("captured") else "avg(l_discount) AS " + c for c in COMPARED)
+    + " FROM lineitem GROUP BY 1, 2",
+    " ".join(c for c in COMPARED if not c.startswith("captured")),
+)
+def _(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy(F.col("l_returnflag").alias("model"), F.col("l_linestatus").alias("feature_set"))
+    columns = [F.count("*").alias(c) if c.startswith("captured") else F.avg("l_discount").alias(c) for c in COMPARED]
+    table = lines.agg(F.lit("by line").alias("evaluation_protocol"), F.count_distinct("l_linenumber").cast("int").alias("n_features"), *columns)
+    folder = new_folder(spark, "comparison")
+    write_comparison(table.select(*COMPARISON_SCHEMA.names), folder)
+    return read_comparison(spark, folder)
+
+
+@query("scanned_lots", f"WITH {LOTS} SELECT * FROM lots", " ".join(f"feature_{i:03d}" for i in range(1, 8)))
+def _(spark, sf_dir):
+    """The lots written as a Parquet table and scanned."""
+    folder = new_folder(spark, "lots")
+    lot_entities(spark, sf_dir).write.parquet(folder)
+    return scan(spark, path=folder)
+
+
+@query(
+    "typed_measurements",
+    f"SELECT column_name AS name, column_type AS type, n FROM (DESCRIBE SELECT CAST(0 AS BIGINT) AS entity_id, {', '.join(f'CAST(0 AS DOUBLE) AS {c}' for c in FEATURES)}), (SELECT count(*) AS n FROM embeddings)",
+)
+def _(spark, sf_dir):
+    """The raw table's declared columns, next to the rows read into it."""
+    folder = new_folder(spark, "measurements-typed")
+    lines = measurement_lines(sensor_entities(spark, sf_dir)).orderBy("row_number").select("value")
+    lines.write.text(folder)
+    loaded = read_measurements(spark, folder)
+    schema = measurement_schema(N_SENSORS)
+    if [(f.name, f.dataType) for f in loaded.schema] != [(f.name, f.dataType) for f in schema]:
+        raise ValueError("the loaded columns are not those declared")
+    declared = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit({"bigint": "BIGINT", "double": "DOUBLE"}[f.dataType.simpleString()]).alias("type")) for f in schema])
+    return loaded.agg(F.count("*").alias("n")).select(F.inline(declared), "n")
