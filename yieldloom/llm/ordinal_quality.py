@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yieldloom.llm.word_hashes import word_hashes
+from yieldloom.llm.word_hashes import stretches, word_hashes
 
 BINS = 1 << 17
 SAMPLE_ROWS = 8192
@@ -73,12 +73,19 @@ class Ordinal:
         return _logistic(scores[:, None] - self.thresholds[None, :])
 
 
+def features_in_parts(column: pa.Array, bins: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`features`, a stretch of the texts at a time."""
+    parts = [features(column.slice(lo, hi - lo), bins) for lo, hi in stretches(column)]
+    begin = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p[2]) for p in parts]))])
+    return np.concatenate([p[0].astype(np.int32) for p in parts]), np.concatenate([p[1].astype(np.float32) for p in parts]), begin
+
+
 def fit(column: pa.Array, grades: np.ndarray, bins: int = BINS, levels: int = GRADES, epochs: int = EPOCHS, rate: float = RATE) -> Ordinal:
     """Minimises the negative log likelihood of the grades by AdaGrad on small batches, in a fixed random order.
 
     Thresholds are the first one plus exponentials of free numbers, so they stay in order.
     """
-    at, values, begin = features(column, bins)
+    at, values, begin = features_in_parts(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column, bins)
     weights, past = np.zeros(bins), np.full(bins, 1e-3)
     free, free_past = np.zeros(levels - 1), np.full(levels - 1, 1e-3)
     shares = np.array([(grades >= k).mean() for k in range(1, levels)]).clip(0.01, 0.99)
@@ -139,14 +146,14 @@ def scored(docs: DataFrame, model: Ordinal | None, least_chance: float = LEAST_C
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.lit(None).cast(t).alias(c) for c, t in (x.split() for x in schema.split(", ")[1:])])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            tails = model.tails(dots(*features(batch.column(1), len(model.weights)), model.weights))
-            # probabilities are rounded so that engines and batch sizes agree on the last digit
-            tails = np.round(tails, 6)
-            columns = [batch.column(0).cast(pa.int64()), pa.array(tails.sum(axis=1)), pa.array(tails[:, 0]), pa.array(tails[:, -1]), pa.array(tails[:, -1] >= least_chance)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "expected_grade", "p_good", "p_top", "selected"])
+        for whole in batches:
+            for lo, hi in stretches(whole.column(1)):
+                batch = whole.slice(lo, hi - lo)
+                tails = model.tails(dots(*features(batch.column(1), len(model.weights)), model.weights))
+                # rounded so that results do not depend on how rows are batched
+                tails = np.round(tails, 6)
+                columns = [batch.column(0).cast(pa.int64()), pa.array(tails.sum(axis=1)), pa.array(tails[:, 0]), pa.array(tails[:, -1]), pa.array(tails[:, -1] >= least_chance)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "expected_grade", "p_good", "p_top", "selected"])
 
     return docs.select("doc_id", "text").mapInArrow(score, schema)
 
