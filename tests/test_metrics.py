@@ -13,25 +13,29 @@ def at(spark, y, risk, rate):
     return rows[0]
 
 
-def test_perfect_ranking(spark):
-    r = at(spark, [0, 0, 0, 0, 1, 1, 1, 1], [0.1, 0.2, 0.3, 0.4, 0.9, 0.8, 0.7, 0.6], 0.10)
-    assert (r.recall, r.precision, r.lift, r.captured_fails) == (0.25, 1.0, 2.0, 1)
+def test_top_share_of_a_mixed_ranking(spark):
+    # by falling risk the labels are 1 1 0 0 1 0 0 0 0 0; three of ten are inspected and two of three fails found
+    risk = [0.10, 0.80, 0.24, 0.66, 0.54, 0.16, 0.04, 0.38, 0.60, 0.72]
+    r = at(spark, [0, 1, 0, 0, 1, 0, 0, 0, 0, 1], risk, 0.30)
+    assert (r.inspected, r.captured_fails, r.recall, r.precision, r.lift) == (3, 2, 0.6667, 0.6667, 2.2222)
 
 
-def test_all_fails_in_the_top(spark):
-    r = at(spark, [0] * 80 + [1] * 20, [0.1] * 80 + [0.9] * 20, 0.20)
-    assert (r.recall, r.precision) == (1.0, 1.0)
+def test_every_fail_above_every_pass(spark):
+    y = [1 if i % 5 == 2 else 0 for i in range(30)]
+    r = at(spark, y, [0.8 + i / 200 if f else 0.1 + i / 200 for i, f in enumerate(y)], 0.20)
+    assert (r.inspected, r.recall, r.precision, r.lift) == (6, 1.0, 1.0, 5.0)
 
 
-def test_missing_score_is_dropped(spark):
-    assert at(spark, [0, 0, 1, 1], [0.1, None, 0.9, 0.8], 0.10).precision == 1.0
+def test_entities_without_a_score_do_not_count(spark):
+    r = at(spark, [1, 0, 1, 0, 0], [0.7, None, None, 0.4, 0.2], 0.34)
+    assert (r.inspected, r.captured_fails, r.recall) == (1, 1, 1.0)
 
 
 def test_curve_ends_at_everything(spark):
-    rows = metrics.inspection_curve(scored(spark, [0] * 50 + [1] * 10, [0.1] * 50 + [0.9] * 10)).collect()
-    assert len(rows) == 20
-    last = max(rows, key=lambda r: r.inspection_rate)
-    assert (last.inspection_rate, last.recall) == (1.0, 1.0)
+    y = [1 if i % 7 == 0 else 0 for i in range(35)]
+    rows = metrics.inspection_curve(scored(spark, y, [(13 * i % 35) / 35 for i in range(35)])).orderBy("inspection_rate").collect()
+    assert len(rows) == 20 and [r.captured_fails for r in rows] == sorted(r.captured_fails for r in rows)
+    assert (rows[-1].inspection_rate, rows[-1].recall, rows[-1].lift) == (1.0, 1.0, 1.0)
 
 
 def test_inspected_count_rounds_half_to_even(spark):
@@ -53,12 +57,19 @@ def test_no_rows_at_all(spark):
 
 
 def test_lowest_best_threshold_is_selected(spark):
-    sweep = metrics.threshold_sweep(scored(spark, [0, 0, 0, 1, 1, 1], [0.1, 0.2, 0.3, 0.6, 0.7, 0.8])).collect()
+    # every threshold from 0.41 to 0.64 separates the classes
+    sweep = metrics.threshold_sweep(scored(spark, [1, 0, 1, 0, 1, 0, 0], [0.92, 0.15, 0.77, 0.405, 0.645, 0.05, 0.33])).collect()
     assert len(sweep) == 99
-    assert [r.threshold for r in sweep if r.selected] == [0.31]
+    assert [r.threshold for r in sweep if r.selected] == [0.41]
     assert max(r.f1 for r in sweep) == 1.0
 
 
+def test_sweep_without_scores_counts_nothing(spark):
+    sweep = metrics.threshold_sweep(scored(spark, [], [])).collect()
+    assert len(sweep) == 99
+    assert {(r.predicted_fail_count, r.false_positive_count, r.false_negative_count, r.f1) for r in sweep} == {(0, 0, 0, 0.0)}
+
+
 def test_custom_grid_for_unbounded_scores(spark):
     df = scored(spark, [0, 0, 1, 1], [-3.0, -1.0, 5.0, 9.0])
     grid = metrics.score_quantile_grid(df, 9)

@@ -9,38 +9,20 @@ def actions(df):
     return {r.feature_name: r.recommended_action for r in profile.feature_catalog(df).collect()}
 
 
-def test_actions_of_small_table(spark):
-    df = entities(
-        spark,
-        {"feature_a": [1, 2, 3], "feature_b": [None] * 3, "feature_c": [5, 5, 5], "feature_d": [1, None, 3]},
-        [-1, 1, -1],
-    )
-    assert actions(df) == {
-        "feature_a": "keep",
-        "feature_b": "drop_all_null",
-        "feature_c": "drop_constant",
-        "feature_d": "keep",
+def test_actions(spark):
+    columns = {
+        "feature_full": [4, 8, 15, 16, 23],
+        "feature_hole": [0.5, None, 2.5, 0.5, 1.5],
+        "feature_half": [None, 6, None, 2, None],
+        "feature_flat": [9, 9, None, 9, 9],
+        "feature_none": [None] * 5,
     }
-
-
-def test_four_actions(spark):
-    df = entities(
-        spark,
-        {
-            "feature_1": [None] * 4,
-            "feature_2": [7] * 4,
-            "feature_3": [1, 2, None, None],
-            "feature_4": [1, 2, 3, 4],
-        },
-        [-1, 1, -1, 1],
-    )
-    assert list(actions(df).values()) == ["drop_all_null", "drop_constant", "review_high_missing", "keep"] or actions(
-        df
-    ) == {
-        "feature_1": "drop_all_null",
-        "feature_2": "drop_constant",
-        "feature_3": "review_high_missing",
-        "feature_4": "keep",
+    assert actions(entities(spark, columns, [-1, -1, 1, -1, 1])) == {
+        "feature_full": "keep",
+        "feature_hole": "keep",
+        "feature_half": "review_high_missing",
+        "feature_flat": "drop_constant",
+        "feature_none": "drop_all_null",
     }
 
 

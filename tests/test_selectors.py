@@ -9,18 +9,18 @@ from yieldloom.operators.profile import feature_catalog
 
 
 def test_pruning_keeps_the_first_of_correlated_features(spark):
-    df = entities(spark, {"feature_a": [1, 2, 3, 4, 5], "feature_b": [1, 2, 3, 4, 5], "feature_c": [5, 4, 3, 2, 1]}, [1, -1, 1, -1, 1])
-    names = ["feature_a", "feature_b", "feature_c"]
-    pairs = selectors.correlations(df, names)
-    assert [r.feature_name for r in selectors.correlation_pruned(pairs, names, 0.9).collect()] == ["feature_a"]
+    base = [3, 9, 4, 12, 7, 1]
+    table = {"feature_p": base, "feature_q": [2 * x + 1 for x in base], "feature_r": [2, 7, 1, 8, 2, 8], "feature_s": [5 - x for x in base]}
+    pairs = selectors.correlations(entities(spark, table, [1, -1, -1, 1, -1, -1]), list(table))
+    assert [r.feature_name for r in selectors.correlation_pruned(pairs, list(table), 0.95).collect()] == ["feature_p", "feature_r"]
 
 
 def test_indicators_only_for_incomplete_features(spark):
-    df = entities(spark, {"feature_a": [1, 2, None, 4], "feature_b": [1, 2, 3, 4]}, [1, -1, 1, -1])
+    df = entities(spark, {"feature_p": [3, 1, 4, 1, 5], "feature_q": [0.5, None, 2.5, None, 1.0]}, [1, -1, 1, -1, -1])
     scores = selectors.feature_scores(df, [F.lit(True)])
     resolved = selectors.resolve_feature_sets(scores, feature_catalog(df), names=["missingness_indicators_keep"])
     names = [r.feature_name for r in resolved.orderBy("position").collect()]
-    assert names == ["feature_a", "feature_b", "feature_a_missing"]
+    assert names == ["feature_p", "feature_q", "feature_q_missing"]
 
 
 def test_tiles_give_the_same_correlations(spark):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from yieldloom.operators.longform import feature_name, values
 from yieldloom.operators.ranking import prefix_sums, ranges_for
-from yieldloom.sources.workspace import settled
+from yieldloom.sources.workspace import settled, stored
 from yieldloom.spec import DEFAULT_SPEC, EntitySpec
 
 # fixed values: names of the feature sets
@@ -172,7 +172,8 @@ def feature_scores(
     n_folds = len(in_train)
     keys = ["fold", "ordinal"]
     rows = train_blocks(df, in_train, spec)
-    counts = value_counts(rows, features, n_folds)
+    # the one pass over all cells; medians and ranks, which are separate jobs, read its result
+    counts = stored(value_counts(rows, features, n_folds), "value-counts")
     ranges = ranges_for(df.sparkSession, len(features))
     facts = fold_moments(rows, features, n_folds).join(fold_medians(counts, n_folds, ranges), keys, "left")
     facts = facts.withColumn("null_count", F.col("rows") - F.col("pass_n") - F.col("fail_n")).withColumn(

@@ -49,10 +49,12 @@ def bundle(sections: Mapping[str, DataFrame], single: tuple[str, ...] = ("overvi
     """All sections in one JSON document: one row with column `value`."""
     parts = None
     for name, table in sections.items():
-        part = as_document(table, name in single).select(F.lit(name).alias("name"), "json")
+        # a section without rows is there too: no record, or an empty list of them
+        none = "{}" if name in single else "[]"
+        part = as_document(table, name in single).agg(F.coalesce(F.max("json"), F.lit(none)).alias("json")).select(F.lit(name).alias("name"), "json")
         parts = part if parts is None else parts.unionByName(part)
     # one short text per section, at most a few dozen
-    entry = F.concat(F.lit('"'), F.col("name"), F.lit('":'), F.coalesce("json", F.lit("[]")))
+    entry = F.concat(F.lit('"'), F.col("name"), F.lit('":'), F.col("json"))
     ordered = F.array_sort(F.collect_list(entry))
     return parts.agg(F.concat(F.lit("{"), F.array_join(ordered, ","), F.lit("}")).alias("value"))
 
@@ -70,7 +72,7 @@ def landing_summary(
     final_results: DataFrame,
     curve: DataFrame,
 ) -> DataFrame:
-    """One row of nested totals for a landing page. All inputs are report tables."""
+    """One row of nested totals for a landing page; field names are fixed values. All inputs are report tables."""
     action = F.col("recommended_action")
     names = ["keep", "drop_constant", "review_high_missing", "drop_all_null"]
     counts = actions.agg(

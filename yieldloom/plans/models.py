@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from typing import Any
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -140,10 +141,35 @@ class Fitted:
         for name, table in self.tables.items():
             table.write.mode("overwrite").parquet(f"{path}/{name}")
         state = {k: v.tolist() if hasattr(v, "tolist") else v for k, v in self.state.items()}
-        text = json.dumps({**metadata, "state": state}, default=str)
+        own = {
+            "model_id": self.model.model_id,
+            "state": state,
+            "inputs": [asdict(i) for i in self.inputs],
+            "spec": asdict(self.spec),
+            "tables": sorted(self.tables),
+            "fitted_stages": self.stages is not None,
+        }
+        text = json.dumps({**metadata, "saved": own}, default=str)
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
 
+def load(spark: SparkSession, path: str) -> Fitted:
+    """A model as `Fitted.save` wrote it; it scores as it did before."""
+    text = spark.read.text(f"{path}/metadata", wholetext=True).first()
+    if text is None:
+        raise ValueError(f"no saved model in {path}")
+    own = json.loads(text.value)["saved"]
+    state = {k: np.array(v) if isinstance(v, list) else v for k, v in own["state"].items()}
+    return Fitted(
+        REGISTRY[own["model_id"]],
+        [Input(**i) for i in own["inputs"]],
+        EntitySpec(**own["spec"]),
+        PipelineModel.load(f"{path}/stages") if own["fitted_stages"] else None,
+        state,
+        {name: spark.read.parquet(f"{path}/{name}") for name in own["tables"]},
+    )
+
+
 def class_sizes(df: DataFrame, spec: EntitySpec = DEFAULT_SPEC) -> tuple[int, int]:
     """(passes, fails)."""
     row = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(spec.y()), F.lit(0)).alias("p")).first()

@@ -14,7 +14,7 @@ from yieldloom.operators import metrics, profile, separation, trends
 from yieldloom.operators.longform import signal_values_long
 from yieldloom.plans import export, modeling
 from yieldloom.plans.models import model_registry
-from yieldloom.sources.results import read_comparison, read_metadata
+from yieldloom.sources.results import COMPARISON_SCHEMA, read_comparison, read_metadata, write_comparison
 from yieldloom.sources.tables import (
     build_canonical,
     ensure_layers,
@@ -113,8 +113,9 @@ def build_model_marts(
     )
     _store(spark, built, "anomaly_model_benchmark", modeling.anomaly_benchmark(benchmark))
     _store(spark, built, "final_model_inspection_curve", run.final.curve)
-    if comparison:
-        _store(spark, built, "random_split_comparison", read_comparison(spark, comparison))
+    # without a file this is an empty table of the same columns
+    compared = read_comparison(spark, comparison) if comparison else spark.createDataFrame([], COMPARISON_SCHEMA)
+    _store(spark, built, "random_split_comparison", compared)
     return built
 
 
@@ -157,10 +158,10 @@ def export_sections(spark: SparkSession, artifact: str | None = None, top_n: int
         "final_model_inspection_curve": mart("final_model_inspection_curve"),
     }
     found = read_metadata(spark, artifact).get("inspection_metrics", {}) if artifact else {}
-    if found:
-        sections["inspection_metrics"] = spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(k) for k, v in found.items()])
-    if spark.catalog.tableExists("mart.random_split_comparison"):
-        sections["random_split_comparison"] = mart("random_split_comparison")
+    one = spark.range(0, 1, 1, 1)
+    values = [F.lit(v).alias(k) for k, v in found.items()]
+    sections["inspection_metrics"] = one.select(*values) if values else one.where("false")
+    sections["random_split_comparison"] = mart("random_split_comparison")
     return sections
 
 
@@ -180,14 +181,20 @@ def build_all(
     output: str,
     options: modeling.Options | None = None,
     spec: EntitySpec = DEFAULT_SPEC,
+    compare: bool = False,
 ) -> BuildReport:
-    """Text files to exported JSON: every layer in order."""
+    """Text files to exported JSON: every layer in order; `compare` also evaluates under random splits."""
     report = BuildReport(raw=ingest(spark, measurements, labels, spec))
     report.raw["canonical"] = build_canonical(spark, spec=spec)
     report.staging = build_staging(spark, spec)
     report.mart = build_data_marts(spark, spec)
     artifact = f"{output}/model"
-    report.mart.update(build_model_marts(spark, options, spec, artifact=artifact))
+    comparison = None
+    if compare:
+        entities, catalog = spark.table("staging.entities"), spark.table("staging.feature_catalog")
+        comparison = f"{output}/comparison"
+        write_comparison(modeling.random_split_comparison(entities, catalog, options, spec), comparison)
+    report.mart.update(build_model_marts(spark, options, spec, artifact=artifact, comparison=comparison))
     sections = export_sections(spark, artifact)
     export.export_sections(sections, f"{output}/sections")
     export.write_document(export.bundle(sections), f"{output}/bundle")

@@ -30,3 +30,10 @@ def settled(df: DataFrame) -> DataFrame:
     """`df` computed once and read back from reliable storage wherever it is used."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written once as Parquet in the shared folder and read from there: for data that a checkpoint would hold uncompressed."""
+    folder = new_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
