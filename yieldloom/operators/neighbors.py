@@ -9,6 +9,7 @@ only k rows per query leave. The result does not depend on pivots, blocks or chu
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 from pyspark.ml.functions import vector_to_array
@@ -18,8 +19,14 @@ from pyspark.sql import functions as F
 from yieldloom.functions import unit_hash
 from yieldloom.sources.workspace import settled
 
-PIVOTS = 64
 BLOCK = 4096
+# Rows times neighbours times features measured exactly at a time.
+MEASURED = 4_000_000
+
+
+def pivots_for(n_points: int) -> int:
+    """Cells for a number of points: a quarter of its square root, so that cells and the points in each grow alike."""
+    return max(1, math.ceil(math.sqrt(n_points) / 4))
 
 
 def nearest_neighbors(
@@ -28,7 +35,7 @@ def nearest_neighbors(
     k: int,
     entity: str = "entity_id",
     exclude_self: bool = False,
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
     block: int = BLOCK,
 ) -> DataFrame:
     """(query id, neighbor id, distance, rank) of the k nearest points of every query, ties by neighbor id.
@@ -38,6 +45,7 @@ def nearest_neighbors(
     import numpy as np
 
     id_type = dict(points.dtypes)[entity]
+    pivots = pivots or pivots_for(points.count())
     # pivots: `pivots` points in repeatable hash order, so a bounded matrix
     chosen = points.withColumn("h", unit_hash(F.col(entity), "pivot")).orderBy("h").limit(pivots)
     matrix = np.array([r.v for r in chosen.select(vector_to_array("features").alias("v")).collect()])
@@ -129,8 +137,10 @@ def _block_search(
             take = int((d2 <= reach[:, None]).sum(axis=1).max())
             close = np.sort(np.argpartition(d2, take - 1, axis=1)[:, :take], axis=1)
             exact = np.empty(close.shape)
-            for r in range(len(part)):
-                exact[r] = np.sqrt(((x[close[r]] - part[r]) ** 2).sum(axis=1))
+            rows = max(1, MEASURED // (take * x.shape[1]))
+            for r in range(0, len(part), rows):
+                gaps = x[close[r : r + rows]] - part[r : r + rows, None, :]
+                exact[r : r + rows] = np.sqrt((gaps**2).sum(axis=2))
             if exclude_self:
                 exact[pid[close] == qid[s : s + step][:, None]] = np.inf
             order = np.argsort(exact, axis=1, kind="stable")[:, : min(k, take)]
@@ -157,24 +167,28 @@ def outlier_neighbors(n_pass: int) -> int:
     return max(1, min(k, n_pass - 1))
 
 
-def local_outlier_factor(points: DataFrame, queries: DataFrame, k: int, entity: str = "entity_id") -> DataFrame:
-    """(id, risk): density of the neighbours over the query's own density, about 1 for inliers.
+def _density(pairs: DataFrame, reach: DataFrame, entity: str) -> DataFrame:
+    far = F.greatest("distance", "k_distance")
+    return pairs.join(reach, "neighbor_id").groupBy(entity).agg((F.lit(1.0) / (F.avg(far) + F.lit(1e-10))).alias("density"))
 
-    Densities of the points come from their neighbours among themselves; a query only looks up points.
-    """
+
+def point_densities(points: DataFrame, k: int, entity: str = "entity_id") -> DataFrame:
+    """(neighbor_id, k_distance, neighbor_density) of the points among themselves: what scoring needs to know of them."""
     inner = settled(nearest_neighbors(points, points, k, entity, exclude_self=True))
     reach = inner.groupBy(F.col(entity).alias("neighbor_id")).agg(F.max("distance").alias("k_distance"))
+    density = _density(inner, reach, entity).select(F.col(entity).alias("neighbor_id"), F.col("density").alias("neighbor_density"))
+    return settled(reach.join(density, "neighbor_id"))
 
-    def density(pairs: DataFrame) -> DataFrame:
-        far = F.greatest("distance", "k_distance")
-        return (
-            pairs.join(reach, "neighbor_id")
-            .groupBy(entity)
-            .agg((F.lit(1.0) / (F.avg(far) + F.lit(1e-10))).alias("density"))
-        )
-
-    outer = nearest_neighbors(points, queries, k, entity)
-    outer = settled(outer)
-    of_points = density(inner).select(F.col(entity).alias("neighbor_id"), F.col("density").alias("neighbor_density"))
-    around = outer.join(of_points, "neighbor_id").groupBy(entity).agg(F.avg("neighbor_density").alias("around"))
-    return around.join(density(outer), entity).select(entity, (F.col("around") / F.col("density")).alias("risk"))
+
+def local_outlier_factor(
+    points: DataFrame, queries: DataFrame, k: int, entity: str = "entity_id", densities: DataFrame | None = None
+) -> DataFrame:
+    """(id, risk): density of the neighbours over the query's own density, about 1 for inliers.
+
+    `densities` are those of `points`, if they are known already; a query only looks up points.
+    """
+    known = point_densities(points, k, entity) if densities is None else densities
+    outer = settled(nearest_neighbors(points, queries, k, entity))
+    around = outer.join(known, "neighbor_id").groupBy(entity).agg(F.avg("neighbor_density").alias("around"))
+    own = _density(outer, known.select("neighbor_id", "k_distance"), entity)
+    return around.join(own, entity).select(entity, (F.col("around") / F.col("density")).alias("risk"))

@@ -114,7 +114,7 @@ class Fitted:
         elif self.model.model_id.startswith("isolation_forest"):
             risk = forest.score_forest(x, self.tables["nodes"], self.state["sample"], entity)
         elif self.model.model_id.startswith("local_outlier_factor"):
-            risk = neighbors.local_outlier_factor(self.tables["points"], x, self.state["k"], entity)
+            risk = neighbors.local_outlier_factor(self.tables["points"], x, self.state["k"], entity, self.tables["densities"])
         else:
             risk = ellipse.distances(x, self.state["mean"], self.state["inverse"], entity)
         return labels.join(risk, entity, "left").select(entity, "y_true", "risk")
@@ -246,6 +246,7 @@ def fit(
         return Fitted(model, inputs, spec, state={"sample": sample}, tables={"nodes": nodes})
     if name.startswith("local_outlier_factor"):
         k = neighbors.outlier_neighbors(n_pass)
-        return Fitted(model, inputs, spec, state={"k": k}, tables={"points": points})
+        densities = neighbors.point_densities(points, k, spec.id)
+        return Fitted(model, inputs, spec, state={"k": k}, tables={"points": points, "densities": densities})
     mean, inverse = ellipse.robust_center(points, spec.id)
     return Fitted(model, inputs, spec, state={"mean": mean, "inverse": inverse})
