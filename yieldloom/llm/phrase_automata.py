@@ -35,7 +35,7 @@ from yieldloom.llm.word_hashes import Words, mixed, stretches, word_hashes
 from yieldloom.sources.workspace import new_folder
 
 WINDOW = 35
-GRAM = 8
+GRAM = 6
 # Blocks per automaton: with at most 2 * WINDOW words each, this bounds its nodes.
 SHARD_BLOCKS = 4000
 NO_ID = -(2**63)
@@ -288,10 +288,10 @@ def _cut(marked: DataFrame, text_column: bool) -> DataFrame:
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
-    """`df` as Parquet in the shared folder: compressed, unlike a checkpoint."""
+    """`df` as Parquet in the shared folder: well compressed, unlike a checkpoint."""
     spark: SparkSession = df.sparkSession
     folder = new_folder(spark, name)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return spark.read.parquet(folder)
 
 
