@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yieldloom.llm import block_mixing, circulant_minhash, divergence_rules, id_coder, merge_dropout, merkle, offset_tokens, ordinal_quality, phrase_automata, recurrent_lm
+from yieldloom.llm import (
+    block_mixing,
+    circulant_minhash,
+    decontamination,
+    divergence_rules,
+    filter_audit,
+    fp_tree_search,
+    id_coder,
+    merge_dropout,
+    merkle,
+    offset_tokens,
+    ordinal_quality,
+    phrase_automata,
+    recurrent_lm,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +68,18 @@ def op10_id_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_coder.encoded_ids(_table(spark, sf_dir, "documents"))
 
 
+def op11_fp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fp_tree_search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_merge_dropout": op1_merge_dropout,
     "op2_merkle": op2_merkle,
@@ -65,6 +91,9 @@ QUERIES = {
     "op8_divergence_rules": op8_divergence_rules,
     "op9_offset_tokens": op9_offset_tokens,
     "op10_id_coder": op10_id_coder,
+    "op11_fp_tree": op11_fp_tree,
+    "op12_decontamination": op12_decontamination,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 
@@ -130,8 +159,63 @@ spelled AS (SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS p F
 kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS text FROM spelled ANTI JOIN gone USING (doc_id, p) GROUP BY 1),
 lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1)
 SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)"""
+_TERMS = r"regexp_extract_all({text}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')".format(text=_ASCII_LOWER)
+RANKING_SQL = f"""
+WITH spelled AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+sizes AS (SELECT doc_id, count(*) AS n FROM spelled GROUP BY 1),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM spelled SEMI JOIN asked USING (term) GROUP BY 1, 2),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tfs, corpus GROUP BY term, docs),
+ms AS (SELECT doc_id, 100 - 90 + ((90 * n * docs) // terms) AS m FROM sizes, corpus),
+scores AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+           FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN ms USING (doc_id) GROUP BY 1, 2)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= {fp_tree_search.TOP}"""
+LEAKS_SQL = f"""
+WITH w AS (SELECT doc_id, {_TERMS} AS ws FROM documents),
+items AS (SELECT item_id, ws, least(len(ws), {decontamination.WINDOW}) AS size FROM (SELECT item_id, {_TERMS} AS ws FROM benchmark) WHERE len(ws) > 0),
+grams AS (SELECT DISTINCT item_id, size, array_to_string(ws[i:i + size - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(ws) - size + 2)) AS i FROM items)),
+windows AS (SELECT doc_id, size, i, array_to_string(ws[i:i + size - 1], ' ') AS g
+            FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM w, (SELECT DISTINCT size FROM items) WHERE len(ws) >= size)),
+found AS (SELECT doc_id, size, i, item_id FROM windows JOIN grams USING (size, g)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY 1),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY 1)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
+AUDIT_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+f AS (SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad,
+        CAST(len(ws) < 100 AS INT) + 2 * CAST(100 * len(list_distinct(ws)) < 80 * len(ws) AS INT)
+        + 4 * CAST(100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) AS INT)
+        + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT) + 16 * CAST(doc_id > min(doc_id) OVER (PARTITION BY t) AS INT) AS mask
+      FROM w LEFT JOIN labels USING (doc_id)),
+masks AS (SELECT part, mask, count(*) AS n, count_if(good) AS n_good, count_if(bad) AS n_bad FROM f GROUP BY 1, 2),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+           FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+           JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+steps AS (SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0) AS earlier
+          FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+figures AS (SELECT part, filter_order, step, own,
+    sum(CASE WHEN mask & CAST(earlier AS INT) = 0 AND mask & own = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & CAST(earlier AS INT) = 0 AND mask & own > 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & CAST(earlier AS INT) > 0 AND mask & own > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & CAST(earlier AS INT) = 0 AND mask & own > 0 THEN n_good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & CAST(earlier AS INT) = 0 AND mask & own > 0 THEN n_bad ELSE 0 END) AS toxic_lost
+  FROM masks, steps GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+    CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM figures"""
 ORACLES: dict[str, str] = {
     "op3_circulant_minhash": COMPONENTS_SQL,
     "op4_phrase_automata": REMOVALS_SQL,
     "op8_divergence_rules": RULES_SQL,
+    "op11_fp_tree": RANKING_SQL,
+    "op12_decontamination": LEAKS_SQL,
+    "op13_filter_audit": AUDIT_SQL,
 }
