@@ -9,7 +9,7 @@ from yieldloom.plans.models import REGISTRY, fit, load
 
 OVERRIDES = {
     "random_forest": {"numTrees": 10},
-    "hist_gradient_boosting": {"maxIter": 5},
+    "hist_gradient_boosting": {"rounds": 5, "min_leaf": 5},
     "isolation_forest_pass_only": {"trees": 20},
 }
 ENABLED = [m for m in REGISTRY.values() if m.enabled]

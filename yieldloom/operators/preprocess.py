@@ -10,6 +10,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yieldloom.functions import without_nan
 from yieldloom.spec import DEFAULT_SPEC, EntitySpec
 
 SUFFIX = "_missing"
@@ -96,18 +97,6 @@ def read_inputs(statistics: DataFrame) -> dict[tuple[str, int], FoldInputs]:
     return out
 
 
-def with_missing_flags(inputs: Sequence[Input]) -> list[Input]:
-    """`inputs` plus a missing indicator for each incomplete feature among them, for learners that cannot
-    split on a missing value."""
-    have = {i.name for i in inputs}
-    extra = []
-    for i in inputs:
-        if not i.indicator and i.null_share > 0 and i.name + SUFFIX not in have:
-            std = (i.null_share * (1 - i.null_share)) ** 0.5
-            extra.append(Input(i.name + SUFFIX, i.source, True, None, i.null_share, std, i.null_share))
-    return [*inputs, *extra]
-
-
 def preparation(inputs: Sequence[Input], scale: bool, output: str = "features") -> list[Transformer]:
     """Stages that fill with the training median, optionally standardize, and assemble a vector.
 
@@ -144,3 +133,10 @@ def inputs_table(df: DataFrame, inputs: Sequence[Input], scale: bool, spec: Enti
     stage = preparation(inputs, scale)[0]
     out = stage.transform(df.withColumn("y", spec.y()))
     return out.select(spec.id, "y", *[F.col(f"input_{n:04d}").alias(i.name) for n, i in enumerate(inputs)])
+
+
+def raw_table(df: DataFrame, inputs: Sequence[Input], spec: EntitySpec = DEFAULT_SPEC) -> DataFrame:
+    """(id, y, one column per input) for learners that split on missing values: nothing is filled or scaled."""
+    columns = [without_nan(F.col(f"`{i.source}`")) for i in inputs]
+    named = [(c.isNull().cast("double") if i.indicator else c).alias(i.name) for i, c in zip(inputs, columns)]
+    return df.select(spec.id, spec.y().alias("y"), *named)

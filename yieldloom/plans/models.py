@@ -9,14 +9,15 @@ from typing import Any
 
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yieldloom.functions import unit_hash
-from yieldloom.operators import ellipse, forest, neighbors
-from yieldloom.operators.preprocess import Input, prepare, preparation, with_missing_flags
+from yieldloom.operators import boosting, ellipse, forest, neighbors
+from yieldloom.operators.preprocess import Input, prepare, preparation, raw_table
+from yieldloom.sources.workspace import settled
 from yieldloom.spec import DEFAULT_SPEC, EntitySpec
 
 
@@ -103,6 +104,10 @@ class Fitted:
             # a repeatable coin per entity, 32 bits of a digest, that lands on fail with the training fail rate
             coin = F.conv(F.substring(unit_hash(F.col(entity), self.state["seed"]), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
             return labels.withColumn("risk", (coin < F.lit(self.state["prior"])).cast("double"))
+        if self.model.model_id == "hist_gradient_boosting":
+            table = raw_table(df, self.inputs, self.spec)
+            risk = boosting.score_boosting(table, [i.name for i in self.inputs], self.tables["nodes"], self.state["base"], entity)
+            return labels.join(risk, entity, "left").select(entity, "y_true", "risk")
         if self.stages is not None and self.model.kind == "classifier" and self.model.model_id != "knn_scaled":
             needed = sorted({i.source for i in self.inputs})
             rows = df.select(entity, self.spec.y().alias("y_true"), *[F.col(f"`{c}`") for c in needed])
@@ -195,8 +200,14 @@ def fit(
     if name == "dummy_stratified":
         return Fitted(model, inputs, spec, state={"prior": n_fail / n if n else 0.0, "seed": seed})
 
+    if name == "hist_gradient_boosting":
+        # takes missing values as they are and stays unweighted
+        table = raw_table(train, inputs, spec)
+        base, nodes = boosting.fit_boosting(table, [i.name for i in inputs], boosting.Settings(**options))
+        return Fitted(model, inputs, spec, state={"base": base}, tables={"nodes": settled(nodes)})
+
     if model.kind == "classifier" and name != "knn_scaled":
-        # balanced weights n / (2 n_class); the booster stays unweighted
+        # balanced weights n / (2 n_class)
         weight = F.when(F.col("y") == 1, n / (2.0 * max(n_fail, 1))).otherwise(n / (2.0 * max(n_pass, 1)))
         common = {"featuresCol": "features", "labelCol": "y"}
         if name.startswith("logistic"):
@@ -209,7 +220,7 @@ def fit(
                 "weightCol": "weight",
             }
             estimator = LogisticRegression(**common, **{**settings, **options})
-        elif name == "random_forest":
+        else:
             settings = {
                 "numTrees": 200,
                 "maxDepth": 8,
@@ -219,10 +230,6 @@ def fit(
                 "weightCol": "weight",
             }
             estimator = RandomForestClassifier(**common, **{**settings, **options})
-        else:
-            inputs = with_missing_flags(inputs)
-            settings = {"maxDepth": 6, "maxIter": 200, "stepSize": 0.1, "seed": seed}
-            estimator = GBTClassifier(**common, **{**settings, **options})
         stages = preparation(inputs, model.scaled)
         needed = sorted({i.source for i in inputs})
         rows = train.select(spec.y().alias("y"), *[F.col(f"`{c}`") for c in needed]).withColumn("weight", weight)

@@ -37,3 +37,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     folder = new_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.parquet(folder)
+
+
+def forget(spark: SparkSession, folder: str) -> None:
+    """Removes a folder that `new_folder` named, once nothing reads it any more."""
+    if not folder.startswith(shared_folder(spark).rstrip("/") + "/"):
+        raise ValueError(f"{folder} is not in the shared folder")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
