@@ -17,13 +17,13 @@ def vectors(spark, x, first=0):
     return spark.createDataFrame(rows, "entity_id long, a array<double>").select("entity_id", array_to_vector("a").alias("features"))
 
 
-@pytest.mark.parametrize("pivots,block", [(1, 5), (6, 10), (64, 4096)])
-def test_neighbors_match_brute_force_with_many_copies(spark, pivots, block):
+@pytest.mark.parametrize("cells,block", [(1, 5), (6, 10), (64, 4096), (None, 4096)])
+def test_neighbors_match_brute_force_with_many_copies(spark, cells, block):
     random = np.random.default_rng(1)
     x = random.normal(size=(90, 3))
     x[:30] = x[0]
     q = np.vstack([random.normal(size=(20, 3)), x[:5]])
-    got = neighbors.nearest_neighbors(vectors(spark, x), vectors(spark, q, 1000), 4, pivots=pivots, block=block)
+    got = neighbors.nearest_neighbors(vectors(spark, x), vectors(spark, q, 1000), 4, cells=cells, block=block)
     got = got.toPandas().sort_values(["entity_id", "rank"])
     d = np.sqrt(((q[:, None] - x[None]) ** 2).sum(axis=2))
     want = np.argsort(d, axis=1, kind="stable")[:, :4]
@@ -33,11 +33,27 @@ def test_neighbors_match_brute_force_with_many_copies(spark, pivots, block):
 def test_neighbor_search_without_itself(spark):
     x = np.arange(12.0).reshape(-1, 1)
     points = vectors(spark, x)
-    got = neighbors.nearest_neighbors(points, points, 2, exclude_self=True, pivots=3, block=4).toPandas()
+    got = neighbors.nearest_neighbors(points, points, 2, exclude_self=True, cells=3, block=4).toPandas()
     assert len(got) == 24 and (got.entity_id != got.neighbor_id).all()
     assert set(got[got.entity_id == 0].neighbor_id) == {1, 2}
 
 
+def test_search_plan_does_not_grow_with_the_cells_and_far_cells_are_not_visited(spark):
+    random = np.random.default_rng(6)
+    centres = random.normal(size=(40, 3)) * 100
+    x = np.vstack([c + random.normal(size=(25, 3)) for c in centres])
+    points, asked = vectors(spark, x), vectors(spark, x[::50] + 0.01, 5000)
+    plans, visited = [], []
+    for cells in (9, 100):
+        index = neighbors.pivot_index(points, cells=cells, block=16)
+        plans.append(len(neighbors.nearest_neighbors(index, asked, 3)._jdf.queryExecution().analyzed().toString()))
+        plain = neighbors._plain(asked, "entity_id")
+        visits = neighbors._visits(index, plain, neighbors._upper_bounds(index, plain, 3, False))
+        visited.append(visits.select("id", "top", "sub").distinct().count() / (20 * index.cells.count()))
+    assert abs(plans[0] - plans[1]) < 0.02 * plans[0]
+    assert visited[1] < 0.2
+
+
 def test_isolation_forest_ranks_an_outlier_first_and_repeats(spark):
     x = np.random.default_rng(2).normal(size=(300, 4))
     points = vectors(spark, x)

@@ -1,16 +1,21 @@
 """Exact k-nearest-neighbour join and local outlier factor.
 
-Reference points are cut into cells around pivots and cells into blocks of bounded size, queries into
-chunks of bounded size. A first pass against one block of its own cell gives every query an upper bound
-for its k-th distance; the second pass visits only the blocks of cells that can hold something closer
-(triangle inequality). A block meets a chunk inside one task, where the distances are a matrix product and
-only k rows per query leave. The result does not depend on pivots, blocks or chunks.
+Reference points are held in a two-level tree of pivots: every point belongs to the nearest of a few top
+pivots and there to the nearest of that top's own pivots, whose points are a cell; cells are cut into blocks
+of bounded size and queries into chunks of bounded size. The tree is a table of cells with their pivots and
+radii. A first pass against one block of its own cell gives every query an upper bound for its k-th distance.
+Then a query is dealt to the tops, and by a join on the top to the cells, that can hold something closer
+(triangle inequality), so a query carries no more than the cells it visits. A block meets a chunk inside one
+task, where the distances are a matrix product and only k rows per query leave. The result does not depend on
+pivots, blocks or chunks.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from typing import Any
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -20,80 +25,144 @@ from yieldloom.functions import unit_hash
 from yieldloom.sources.workspace import settled
 
 BLOCK = 4096
+# Rows that meet the cells of a top at a time.
+CHUNK = 1 << 14
 # Rows times neighbours times features measured exactly at a time.
 MEASURED = 4_000_000
+# Rounding in the distances must not prune a true neighbour.
+SLACK = 1e-9
 
 
-def pivots_for(n_points: int) -> int:
-    """Cells for a number of points: a quarter of its square root, so that cells and the points in each grow alike."""
-    return max(1, math.ceil(math.sqrt(n_points) / 4))
+def cells_for(n_points: int, block: int = BLOCK) -> int:
+    """Cells for a number of points: one while they fit a block, else a quarter of the square root of their
+    number, so that cells and the points in each grow alike."""
+    return 1 if n_points <= block else max(1, math.ceil(math.sqrt(n_points) / 4))
+
+
+@dataclass
+class PivotIndex:
+    """Points (id, v, top, sub, part), their cells (top, sub, pivot, radius, blocks), and of the tops that have
+    points, about the square root of the number of cells, numbers, pivots and radii."""
+
+    points: DataFrame
+    cells: DataFrame
+    tops: Any
+    pivots: Any
+    radii: Any
+    id_type: str
+    block: int
+
+
+def _plain(df: DataFrame, entity: str) -> DataFrame:
+    return df.select(F.col(entity).alias("id"), vector_to_array("features").alias("v"))
+
+
+def _gaps(x, pivots):
+    """Distances of rows to pivots."""
+    import numpy as np
+
+    return np.column_stack([np.sqrt(((x - p) ** 2).sum(axis=1)) for p in pivots])
+
+
+def _to_nearest_top(df: DataFrame, pivots, tops, id_type: str) -> DataFrame:
+    """(id, v, top, far): the nearest top pivot and the distance to it."""
+
+    def nearest(batches: Iterator) -> Iterator:
+        import numpy as np
+
+        for pdf in batches:
+            if len(pdf):
+                d = _gaps(np.stack(pdf["v"].to_numpy()), pivots)
+                at = d.argmin(axis=1)
+                yield pdf.assign(top=tops[at], far=d[np.arange(len(d)), at])
+
+    return df.mapInPandas(nearest, f"id {id_type}, v array<double>, top int, far double")
+
+
+def _with_cells(rows: DataFrame, cells: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """`work` on the rows of a top, a chunk at a time, and the cells of that top."""
+    load = rows.groupBy("top").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
+    dealt = rows.join(load, "top").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks"))).drop("chunks")
+    # the cells of a top are repeated once per chunk; they may stem from the rows, so their columns get new identities
+    copies = cells.select(*[F.col(c).alias(c) for c in cells.columns]).join(load, "top").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).drop("chunks")
+    keys = ["top", "chunk"]
+    return dealt.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInPandas(work, schema)
+
+
+def _to_nearest_cell(rows: DataFrame, cells: DataFrame, id_type: str) -> DataFrame:
+    """(id, v, top, sub, radius) of rows (id, v, top): the nearest pivot of the top and the distance to it."""
+
+    def nearest(p, c):
+        import numpy as np
+
+        if not len(p) or not len(c):
+            return p.assign(sub=p["id"], radius=0.0)[["id", "v", "top", "sub", "radius"]].iloc[:0]
+        c = c.sort_values("sub", kind="stable")
+        d = _gaps(np.stack(p["v"].to_numpy()), np.stack(c["pivot"].to_numpy()))
+        at = d.argmin(axis=1)
+        return p.assign(sub=c["sub"].to_numpy()[at], radius=d[np.arange(len(d)), at])[["id", "v", "top", "sub", "radius"]]
+
+    return _with_cells(rows.select("id", "v", "top"), cells.select("top", "sub", "pivot"), nearest, f"id {id_type}, v array<double>, top int, sub {id_type}, radius double")
+
+
+def pivot_index(points: DataFrame, entity: str = "entity_id", cells: int | None = None, block: int = BLOCK) -> PivotIndex:
+    """The tree of `points` (id, features). Pivots are points drawn by hash of the id, so the tree is repeatable."""
+    import numpy as np
+
+    id_type = dict(points.dtypes)[entity]
+    plain = _plain(points, entity)
+    n = plain.count()
+    if n == 0:
+        raise ValueError("no points to search")
+    cells = cells or cells_for(n, block)
+    # about the fourth root of the number of points, halved
+    drawn = plain.withColumn("h", unit_hash(F.col("id"), "pivot")).orderBy("h").limit(math.ceil(math.sqrt(cells))).collect()
+    pivots, numbers = np.array([r.v for r in drawn]), np.arange(len(drawn), dtype="int32")
+    if cells == 1:
+        # one cell is always visited, so nothing has to be measured for it
+        blocks = -(-n // block)
+        only = [(0, drawn[0].id, drawn[0].v, math.inf, blocks)]
+        table = points.sparkSession.createDataFrame(only, f"top int, sub {id_type}, pivot array<double>, radius double, blocks long")
+        part = F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("part")
+        here = plain.select("id", "v", F.lit(0).alias("top"), F.lit(drawn[0].id).cast(id_type).alias("sub"), part)
+        return PivotIndex(here, table, numbers, pivots, np.array([math.inf]), id_type, block)
+    near = settled(_to_nearest_top(plain, pivots, numbers, id_type))
+    chosen = near.where((F.pmod(F.xxhash64("id", F.lit(1)), F.lit(n)) < cells) | F.col("id").isin([r.id for r in drawn]))
+    grid = settled(chosen.select("top", F.col("id").alias("sub"), F.col("v").alias("pivot")))
+    here = settled(_to_nearest_cell(near, grid, id_type))
+    sizes = here.groupBy("top", "sub").agg(F.max("radius").alias("radius"), F.ceil(F.count("*") / block).alias("blocks"))
+    table = settled(grid.join(sizes, ["top", "sub"]))
+    dealt = here.join(table.select("top", "sub", "blocks"), ["top", "sub"])
+    dealt = dealt.select("id", "v", "top", "sub", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("part"))
+    reach = {r.top: r.far for r in near.groupBy("top").agg(F.max("far").alias("far")).collect()}
+    tops = np.array(sorted(reach), dtype="int32")
+    return PivotIndex(dealt, table, tops, pivots[tops], np.array([reach[t] for t in tops.tolist()]), id_type, block)
 
 
 def nearest_neighbors(
-    points: DataFrame,
+    points: DataFrame | PivotIndex,
     queries: DataFrame,
     k: int,
     entity: str = "entity_id",
     exclude_self: bool = False,
-    pivots: int | None = None,
+    cells: int | None = None,
     block: int = BLOCK,
 ) -> DataFrame:
     """(query id, neighbor id, distance, rank) of the k nearest points of every query, ties by neighbor id.
 
-    Both sides are (id, features vector). With `exclude_self`, a point is not its own neighbour.
+    Both sides are (id, features vector); the points may be indexed already. With `exclude_self`, a point is
+    not its own neighbour.
     """
-    import numpy as np
-
-    id_type = dict(points.dtypes)[entity]
-    pivots = pivots or pivots_for(points.count())
-    # pivots: `pivots` points in repeatable hash order, so a bounded matrix
-    chosen = points.withColumn("h", unit_hash(F.col(entity), "pivot")).orderBy("h").limit(pivots)
-    matrix = np.array([r.v for r in chosen.select(vector_to_array("features").alias("v")).collect()])
-    if len(matrix) == 0:
-        raise ValueError("no points to search")
-
-    def located(df: DataFrame) -> DataFrame:
-        """(id, v, cell, to_pivots): the nearest pivot and the distances to all of them."""
-
-        def nearest(batches: Iterator) -> Iterator:
-            for pdf in batches:
-                if len(pdf):
-                    x = np.stack(pdf["v"].to_numpy())
-                    d = np.column_stack([np.sqrt(((x - p) ** 2).sum(axis=1)) for p in matrix])
-                    yield pdf.assign(cell=d.argmin(axis=1).astype("int32"), to_pivots=list(d))
-
-        plain = df.select(F.col(entity).alias("id"), vector_to_array("features").alias("v"))
-        return plain.mapInPandas(nearest, f"id {id_type}, v array<double>, cell int, to_pivots array<double>")
-
-    here = settled(located(points).withColumn("radius", F.get("to_pivots", F.col("cell"))).drop("to_pivots"))
-    cells = here.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("radius")).collect()
-    blocks = {r.cell: -(-r.n // block) for r in cells}
-    radius = {r.cell: r.radius for r in cells}
-    # one entry per pivot
-    block_count = F.create_map(*[F.lit(x) for c, b in blocks.items() for x in (c, b)])
-    in_blocks = here.select("id", "v", "cell", F.pmod(F.xxhash64("id"), block_count[F.col("cell")]).alias("part"))
-
-    asked = settled(located(queries))
-    # nearest pivots that own a cell; a cell can be empty only if its pivot lies in another one
-    first = asked.select("id", "v", "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce(block_count[F.col("cell")], F.lit(1))))
-    near = _block_search(in_blocks, first, k, exclude_self, id_type, block)
-    bound = near.groupBy("qid").agg(F.count("*").alias("found"), F.max("distance").alias("farthest")).select(
-        F.col("qid").alias("id"), F.when(F.col("found") >= k, F.col("farthest")).alias("upper")
-    )
-    # rounding in the distances must not prune a true neighbour
-    slack = F.lit(1.0 + 1e-9)
-    visits = []
-    for c, r in radius.items():
-        d = F.get("to_pivots", F.lit(c))
-        gap = F.greatest(d - F.lit(r), (d - F.array_min("to_pivots")) / 2)
-        wanted = F.col("upper").isNull() | (gap <= F.col("upper") * slack + F.lit(1e-9))
-        visits.append(F.when(wanted, F.struct(F.lit(c).alias("cell"), F.sequence(F.lit(0), F.lit(blocks[c] - 1)).alias("parts"))))
-    second = (
-        asked.join(bound, "id", "left")
-        .select("id", "v", F.explode(F.array_compact(F.array(*visits))).alias("visit"))
-        .select("id", "v", F.col("visit.cell").alias("cell"), F.explode(F.col("visit.parts").cast("array<bigint>")).alias("part"))
-    )
-    found = _block_search(in_blocks, second, k, exclude_self, id_type, block)
+    index = points if isinstance(points, PivotIndex) else pivot_index(points, entity, cells, block)
+    id_type, asked = index.id_type, _plain(queries, entity)
+    if len(index.tops) == 1 and math.isinf(index.radii[0]):
+        # every block of the one cell is visited
+        only = index.cells.head()
+        visits = asked.select("id", "v", F.lit(only.top).alias("top"), F.lit(only.sub).cast(id_type).alias("sub"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(only.blocks - 1))).alias("part"))
+    else:
+        asked = settled(asked)
+        visits = _visits(index, asked, _upper_bounds(index, asked, k, exclude_self))
+    found = _block_search(index.points, visits, k, exclude_self, id_type, index.block)
     best = Window.partitionBy("qid").orderBy("distance", "nid")
     return (
         found.withColumn("rank", F.row_number().over(best))
@@ -102,19 +171,61 @@ def nearest_neighbors(
     )
 
 
+def _upper_bounds(index: PivotIndex, asked: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+    """(id, upper): the k-th distance within one block of the query's own cell, missing if that holds too few."""
+    near = _to_nearest_top(asked, index.pivots, index.tops, index.id_type)
+    own = _to_nearest_cell(near, index.cells, index.id_type).join(index.cells.select("top", "sub", "blocks"), ["top", "sub"])
+    own = own.select("id", "v", "top", "sub", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("part"))
+    found = _block_search(index.points, own, k, exclude_self, index.id_type, index.block)
+    bound = found.groupBy("qid").agg(F.count("*").alias("found"), F.max("distance").alias("farthest"))
+    return bound.select(F.col("qid").alias("id"), F.when(F.col("found") >= k, F.col("farthest")).alias("upper"))
+
+
+def _visits(index: PivotIndex, asked: DataFrame, bounds: DataFrame) -> DataFrame:
+    """(id, v, top, sub, part) for every block that may hold a point within the query's bound."""
+    pivots, radii, tops, id_type = index.pivots, index.radii, index.tops, index.id_type
+
+    def by_top(batches: Iterator) -> Iterator:
+        import numpy as np
+
+        for pdf in batches:
+            if len(pdf):
+                upper = pdf["upper"].fillna(np.inf).to_numpy()
+                d = _gaps(np.stack(pdf["v"].to_numpy()), pivots)
+                # a point lies within its top's radius, and nearer to its own top than to any other
+                gap = np.maximum(d - radii, (d - d.min(axis=1, keepdims=True)) / 2)
+                row, col = np.nonzero(gap <= upper[:, None] * (1 + SLACK) + SLACK)
+                yield pdf.iloc[row].assign(upper=upper[row], top=tops[col])
+
+    def by_cell(q, c):
+        import numpy as np
+
+        if not len(q) or not len(c):
+            return q.assign(sub=q["id"])[["id", "v", "top", "sub"]].iloc[:0]
+        c = c.sort_values("sub", kind="stable")
+        d = _gaps(np.stack(q["v"].to_numpy()), np.stack(c["pivot"].to_numpy()))
+        gap = np.maximum(d - c["radius"].to_numpy(), (d - d.min(axis=1, keepdims=True)) / 2)
+        row, col = np.nonzero(gap <= q["upper"].to_numpy()[:, None] * (1 + SLACK) + SLACK)
+        return q.iloc[row].assign(sub=c["sub"].to_numpy()[col])[["id", "v", "top", "sub"]]
+
+    dealt = asked.join(bounds, "id", "left").mapInPandas(by_top, f"id {id_type}, v array<double>, upper double, top int")
+    cells = _with_cells(dealt, index.cells.select("top", "sub", "pivot", "radius"), by_cell, f"id {id_type}, v array<double>, top int, sub {id_type}")
+    placed = cells.join(index.cells.select("top", "sub", "blocks"), ["top", "sub"])
+    return placed.select("id", "v", "top", "sub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("part"))
+
+
 def _block_search(
     points: DataFrame, queries: DataFrame, k: int, exclude_self: bool, id_type: str, block: int
 ) -> DataFrame:
     """The k nearest points of every query within the block it visits."""
     # how many query chunks meet each block; the points of a block are repeated once per chunk
-    load = queries.groupBy("cell", "part").agg(F.ceil(F.count("*") / block).alias("chunks"))
-    left = points.join(load, ["cell", "part"]).select(
-        "id", "v", "cell", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")
-    )
-    right = queries.join(load, ["cell", "part"]).select(
-        "id", "v", "cell", "part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("chunks")).alias("chunk")
+    place = ["top", "sub", "part"]
+    load = queries.groupBy(*place).agg(F.ceil(F.count("*") / block).alias("chunks"))
+    left = points.join(load, place).select(
+        "id", "v", *place, F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")
     )
-    keys = ["cell", "part", "chunk"]
+    right = queries.join(load, place).select("id", "v", *place, F.pmod(F.xxhash64("id", F.lit(1)), F.col("chunks")).alias("chunk"))
+    keys = [*place, "chunk"]
 
     def search(p, q):
         import numpy as np
@@ -172,9 +283,9 @@ def _density(pairs: DataFrame, reach: DataFrame, entity: str) -> DataFrame:
     return pairs.join(reach, "neighbor_id").groupBy(entity).agg((F.lit(1.0) / (F.avg(far) + F.lit(1e-10))).alias("density"))
 
 
-def point_densities(points: DataFrame, k: int, entity: str = "entity_id") -> DataFrame:
+def point_densities(points: DataFrame, k: int, entity: str = "entity_id", index: PivotIndex | None = None) -> DataFrame:
     """(neighbor_id, k_distance, neighbor_density) of the points among themselves: what scoring needs to know of them."""
-    inner = settled(nearest_neighbors(points, points, k, entity, exclude_self=True))
+    inner = settled(nearest_neighbors(points if index is None else index, points, k, entity, exclude_self=True))
     reach = inner.groupBy(F.col(entity).alias("neighbor_id")).agg(F.max("distance").alias("k_distance"))
     density = _density(inner, reach, entity).select(F.col(entity).alias("neighbor_id"), F.col("density").alias("neighbor_density"))
     return settled(reach.join(density, "neighbor_id"))
@@ -187,8 +298,9 @@ def local_outlier_factor(
 
     `densities` are those of `points`, if they are known already; a query only looks up points.
     """
-    known = point_densities(points, k, entity) if densities is None else densities
-    outer = settled(nearest_neighbors(points, queries, k, entity))
+    index = pivot_index(points, entity)
+    known = point_densities(points, k, entity, index) if densities is None else densities
+    outer = settled(nearest_neighbors(index, queries, k, entity))
     around = outer.join(known, "neighbor_id").groupBy(entity).agg(F.avg("neighbor_density").alias("around"))
     own = _density(outer, known.select("neighbor_id", "k_distance"), entity)
     return around.join(own, entity).select(entity, (F.col("around") / F.col("density")).alias("risk"))
