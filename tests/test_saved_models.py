@@ -11,8 +11,11 @@ OVERRIDES = {
     "random_forest": {"numTrees": 10},
     "hist_gradient_boosting": {"rounds": 5, "min_leaf": 5},
     "isolation_forest_pass_only": {"trees": 20},
+    "elliptic_envelope_pass_only": {"starts": 2, "first_steps": 1, "most_steps": 2},
 }
 ENABLED = [m for m in REGISTRY.values() if m.enabled]
+# off by default, but built
+BUILT = [*ENABLED, REGISTRY["elliptic_envelope_pass_only"]]
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +39,7 @@ def test_eight_models_are_enabled():
     assert len(ENABLED) == 8
 
 
-@pytest.mark.parametrize("model", ENABLED, ids=lambda m: m.model_id)
+@pytest.mark.parametrize("model", BUILT, ids=lambda m: m.model_id)
 def test_saved_model_scores_the_same(spark, table, tmp_path, model):
     fitted = fit(model, table, INPUTS, (100, 20), overrides=OVERRIDES.get(model.model_id))
     before = {r.entity_id: r.risk for r in fitted.score(table).collect()}

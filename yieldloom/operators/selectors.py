@@ -6,11 +6,13 @@ first fold that trains on it (its block); fold k is the merge of blocks 0..k. No
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from yieldloom.functions import without_nan
+from yieldloom.operators.comoments import TILE, by_fold, correlation, pair_rows, pair_states
 from yieldloom.operators.longform import feature_name, values
 from yieldloom.operators.ranking import prefix_sums, ranges_for
 from yieldloom.sources.workspace import settled, stored
@@ -275,96 +277,23 @@ def correlations(
     features: Sequence[str],
     in_train: Sequence[Column] | None = None,
     spec: EntitySpec = DEFAULT_SPEC,
-    tile: int = 1024,
+    tile: int = TILE,
 ) -> DataFrame:
     """Pairwise-complete Pearson correlation of every feature pair i < j per fold; undefined is NULL.
 
-    Each task folds its rows into matrix products (counts, sums, squares and cross products over the
-    pairwise-present rows) and emits one row per pair, so neither entities nor pairs per entity are
-    shuffled. Tables wider than `tile` features are handled tile by tile to bound a task's memory.
+    Each task folds its rows into co-moment tiles of the blocks it meets, so neither entities nor pairs per
+    entity are shuffled; see `comoments`.
     """
     rows = train_blocks(df, in_train or [F.lit(True)], spec)
     n_folds = len(in_train or [None])
-    cast = [F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(features)]
-    # one reference value per column keeps the sums of squares well conditioned
-    means = values(rows, features).groupBy("ordinal").agg(F.avg("value").alias("m")).collect()
-    center = {r.ordinal: r.m or 0.0 for r in means}
-    starts = range(0, len(features), tile)
-    parts = []
-    for a in starts:
-        for b in starts:
-            if a <= b:
-                left = list(range(a, min(a + tile, len(features))))
-                right = list(range(b, min(b + tile, len(features))))
-                needed = sorted(set(left) | set(right))
-                parts.append(
-                    _pair_sums(rows.select("block", *[cast[i] for i in needed]), needed, left, right, center, n_folds)
-                )
-    sums = parts[0]
-    for part in parts[1:]:
-        sums = sums.unionByName(part)
-    stats = ["n", "sx", "sy", "sxx", "syy", "sxy"]
-    folded = (
-        sums.groupBy("block", "i", "j")
-        .agg(*[F.sum(s).alias(s) for s in stats])
-        .select("*", F.explode(F.sequence(F.col("block"), F.lit(n_folds - 1))).alias("fold"))
-        .groupBy("fold", "i", "j")
-        .agg(*[F.sum(s).alias(s) for s in stats])
-    )
-    vx = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
-    vy = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
-    # below this the deviation is rounding noise of a constant column
-    real = (vx > 1e-13 * F.col("n") * F.col("sxx")) & (vy > 1e-13 * F.col("n") * F.col("syy"))
-    r = F.when(real, (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / (F.sqrt(vx) * F.sqrt(vy)))
-    return folded.select(
+    packed = F.array(*[without_nan(F.col(f"`{c}`")) for c in features])
+    states = pair_states(rows.select(F.array(F.col("block").cast("int")).alias("groups"), packed.alias("v")), len(features), n_folds, tile)
+    return pair_rows(by_fold(states, n_folds), "fold", len(features), tile).select(
         (F.col("fold") + 1).alias("fold"),
         feature_name(features, "i").alias("feature_i"),
         feature_name(features, "j").alias("feature_j"),
         F.col("n").cast("long").alias("n"),
-        r.alias("r"),
-    )
-
-
-def _pair_sums(
-    rows: DataFrame, needed: list[int], left: list[int], right: list[int], center: dict[int, float], n_folds: int
-) -> DataFrame:
-    place = {f: p for p, f in enumerate(needed)}
-    left_at, right_at = [place[i] for i in left], [place[j] for j in right]
-    shift = [center.get(i, 0.0) for i in needed]
-
-    def accumulate(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        sums: dict[int, list] = {}
-        for batch in batches:
-            block = batch.column(0).to_numpy(zero_copy_only=False)
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]).astype(float) - shift
-            there = ~np.isnan(x)
-            x = np.where(there, x, 0.0)
-            for k in np.unique(block):
-                here = block == k
-                xl, xr = x[here][:, left_at], x[here][:, right_at]
-                ml, mr = there[here][:, left_at].astype(float), there[here][:, right_at].astype(float)
-                products = [ml.T @ mr, xl.T @ mr, ml.T @ xr, (xl * xl).T @ mr, ml.T @ (xr * xr), xl.T @ xr]
-                old = sums.get(int(k))
-                sums[int(k)] = products if old is None else [o + p for o, p in zip(old, products)]
-        i = np.repeat(np.array(left, dtype=np.int32), len(right))
-        j = np.tile(np.array(right, dtype=np.int32), len(left))
-        upper = i < j
-        for k, products in sums.items():
-            flat = [p.reshape(-1)[upper] for p in products]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(int(upper.sum()), k, dtype=np.int32)), pa.array(i[upper]), pa.array(j[upper])]
-                + [pa.array(f) for f in flat],
-                names=["block", "i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"],
-            )
-
-    # every task emits a row per pair, so keep tasks few and long: a narrow merge of scan partitions
-    parallelism = 4 * rows.sparkSession.sparkContext.defaultParallelism
-    return rows.withColumn("block", F.col("block").cast("int")).coalesce(parallelism).mapInArrow(
-        accumulate,
-        "block int, i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double",
+        correlation().alias("r"),
     )
 
 

@@ -255,5 +255,5 @@ def fit(
         k = neighbors.outlier_neighbors(n_pass)
         densities = neighbors.point_densities(points, k, spec.id)
         return Fitted(model, inputs, spec, state={"k": k}, tables={"points": points, "densities": densities})
-    mean, inverse = ellipse.robust_center(points, spec.id)
+    mean, inverse = ellipse.robust_center(points, spec.id, **options)
     return Fitted(model, inputs, spec, state={"mean": mean, "inverse": inverse})

@@ -83,6 +83,40 @@ def _(spark, sf_dir):
     return ellipse.distances(test, mean, inverse)
 
 
+# Two starts, two concentration steps, the lesser determinant, then scaling and reweighting, on two features.
+# fixed values: the 50 % and 97.5 % quantiles of the chi-square distribution with two degrees of freedom
+def _distance_sql(fit: str) -> str:
+    return f"({fit}.vb * (a - {fit}.ma) ** 2 - 2 * {fit}.c * (a - {fit}.ma) * (b - {fit}.mb) + {fit}.va * (b - {fit}.mb) ** 2) / ({fit}.va * {fit}.vb - {fit}.c ** 2)"
+
+
+_MOMENTS = "avg(a) AS ma, avg(b) AS mb, var_pop(a) AS va, var_pop(b) AS vb, covar_pop(a, b) AS c"
+_STEP = """d{k} AS (SELECT s, entity_id, a, b, rank() OVER (PARTITION BY s ORDER BY {distance}) AS r FROM f{k}, fitted),
+  f{next} AS (SELECT s, {moments} FROM d{k}, size WHERE r <= h GROUP BY s)"""
+ROBUST = (
+    DEV_TEST
+    + f""", p AS (SELECT entity_id, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b, split, yield_label FROM dt),
+  fitted AS (SELECT entity_id, a, b FROM p WHERE split = 'dev' AND yield_label <> 1),
+  size AS (SELECT count(*) AS n, CAST(ceil((count(*) + 3) / 2.0) AS BIGINT) AS h FROM fitted),
+  f0 AS (SELECT s, {_MOMENTS} FROM fitted, size, (SELECT unnest([0, 1]) AS s)
+         WHERE 9.0::DOUBLE / n >= 0.5 OR substr(md5('42:' || s || ':' || entity_id), 1, 8) < printf('%08x', CAST(floor(9.0::DOUBLE / n * 4294967296) AS BIGINT)) GROUP BY s),
+  {_STEP.format(k=0, next=1, distance=_distance_sql("f0"), moments=_MOMENTS)},
+  {_STEP.format(k=1, next=2, distance=_distance_sql("f1"), moments=_MOMENTS)},
+  best AS (SELECT * FROM f2 ORDER BY va * vb - c ** 2, s LIMIT 1),
+  own AS (SELECT a, b, {_distance_sql("best")} AS d FROM fitted, best),
+  cut AS (SELECT 7.377758908227872 * quantile_cont(d, 0.5) / 1.3862943611198906 AS cut FROM own),
+  last AS (SELECT {_MOMENTS} FROM own, cut WHERE d < cut)"""
+)
+
+
+@query("robust_distance", f"WITH {ROBUST} SELECT entity_id, {_distance_sql('last')} AS risk FROM p, last WHERE split = 'test'", "risk")
+def _(spark, sf_dir):
+    split = splits.split_dev_test(sensor_entities(spark, sf_dir))
+    dev, test = (split.where(F.col("split") == s).drop("split") for s in ("dev", "test"))
+    elliptic = models.REGISTRY["elliptic_envelope_pass_only"]
+    fitted = models.fit(elliptic, dev, PLAIN[:2], models.class_sizes(dev), overrides={"starts": 2, "first_steps": 2, "most_steps": 2})
+    return fitted.score(test).select("entity_id", "risk")
+
+
 # fixed values: the registry's rows
 REGISTERED = [
     ("dummy_stratified", "baseline", "classifier", "all_train", "predict_proba", "false", "true"),
