@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from yieldloom.operators import metrics
+from yieldloom.operators.information import neighbor_information
 from yieldloom.operators.preprocess import FoldInputs, input_statistics, read_inputs
 from yieldloom.operators.profile import feature_catalog
 from yieldloom.operators.selectors import (
     FEATURE_SETS,
     PRUNED_SETS,
+    RANKED_SETS,
     correlations,
     feature_scores,
     resolve_feature_sets,
@@ -42,6 +44,9 @@ class Options:
     # fits are independent jobs; a few at a time keep the cluster busy while one waits for its driver
     threads: int = 4
     seed: int = 42
+    # how the mutual information sets are ranked: by the nearest-neighbour estimate, or by "bins" of rank,
+    # which needs no pass of its own
+    information: str = "neighbors"
 
 
 @dataclass
@@ -59,9 +64,13 @@ def fold_inputs(
     """The resolved feature sets of every fold with their training statistics.
 
     Statistics depend on (feature, fold) and sets on (set, fold), never on the model, so both are computed
-    once for all models: one moments pass, one value-rank pass, one correlation pass.
+    once for all models: one moments pass, one value-rank pass, and if a set asks for it one correlation pass
+    and one nearest-neighbour pass.
     """
     scores = settled(feature_scores(df, in_train, spec))
+    if options.information == "neighbors" and any(RANKED_SETS.get(s, ("",))[0] == "mutual_info" for s in options.feature_sets):
+        nearest = neighbor_information(df, in_train, scores, spec).select("fold", "feature_ordinal", "mutual_info")
+        scores = settled(scores.drop("mutual_info").join(nearest, ["fold", "feature_ordinal"]))
     catalog = settled(catalog.select("feature_ordinal", "feature_name", "recommended_action"))
     pairs = None
     if any(s in PRUNED_SETS for s in options.feature_sets):

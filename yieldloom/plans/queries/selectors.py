@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from yieldloom.operators import selectors
+from yieldloom.operators.information import neighbor_information
 from yieldloom.operators.preprocess import input_statistics, inputs_table, read_inputs
 from yieldloom.operators.profile import feature_catalog
 from yieldloom.operators.splits import expanding_folds, read_folds
@@ -91,6 +92,42 @@ def _(spark, sf_dir):
     return selectors.top_by_score(sensor_scores(spark, sf_dir), "mutual_info", 25)
 
 
+# All pairs of entities of a fold; the digits of 1e-10, the neighbours and Euler's constant are fixed values.
+NEIGHBOR_INFORMATION = (
+    FOLDS
+    + """, cell AS (SELECT f.fold, s.entity_id, s.ordinal, s.v, s.y FROM (
+      SELECT d, entity_id, CASE WHEN yield_label = 1 THEN 1 ELSE 0 END AS y, unnest(range(64)) AS ordinal, CAST(unnest(embedding) AS DOUBLE) AS v
+      FROM dt WHERE split = 'dev') s JOIN folds f ON s.d < f.test_start_date),
+  spread AS (SELECT fold, ordinal, greatest(stddev_pop(v), abs(avg(v))) AS scale FROM cell GROUP BY 1, 2),
+  xs AS (SELECT fold, ordinal, entity_id, y, v + CAST(1e-10 AS DOUBLE) * scale * (CAST(concat('0x', substr(md5('nudge:' || entity_id), 1, 8)) AS BIGINT) / CAST(2147483648 AS DOUBLE) - 1) AS x
+         FROM cell JOIN spread USING (fold, ordinal)),
+  size AS (SELECT fold, ordinal, y, count(*) AS class_size FROM xs GROUP BY 1, 2, 3),
+  near AS (SELECT a.fold, a.ordinal, a.entity_id, a.y, a.x, abs(b.x - a.x) AS r,
+                  row_number() OVER (PARTITION BY a.fold, a.ordinal, a.entity_id ORDER BY abs(b.x - a.x)) AS rn
+           FROM xs a JOIN xs b ON a.fold = b.fold AND a.ordinal = b.ordinal AND a.y = b.y AND a.entity_id <> b.entity_id),
+  rad AS (SELECT near.*, class_size FROM near JOIN size USING (fold, ordinal, y) WHERE rn = least(3, class_size - 1)),
+  inner_count AS (SELECT rad.fold, rad.ordinal, rad.entity_id, rad.rn AS k, rad.class_size, greatest(count(*) FILTER (abs(b.x - rad.x) < rad.r), 1) AS m
+                  FROM rad JOIN xs b ON b.fold = rad.fold AND b.ordinal = rad.ordinal GROUP BY 1, 2, 3, 4, 5),
+  psi AS (SELECT n, -0.5772156649015329::DOUBLE + coalesce(sum(1.0::DOUBLE / n) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS p
+          FROM (SELECT unnest(range(1, (SELECT count(*) + 2 FROM dt))) AS n)),
+  mi AS (SELECT fold, ordinal, greatest(0, max(whole.p) + avg(pk.p) - avg(pc.p) - avg(pm.p)) AS mutual_info
+         FROM inner_count i JOIN psi pk ON pk.n = i.k JOIN psi pc ON pc.n = i.class_size JOIN psi pm ON pm.n = i.m
+              JOIN (SELECT fold, ordinal, count(*) AS n FROM inner_count GROUP BY 1, 2) t USING (fold, ordinal) JOIN psi whole ON whole.n = t.n GROUP BY 1, 2)"""
+)
+
+
+@query(
+    "neighbor_information",
+    f"""WITH {NEIGHBOR_INFORMATION} SELECT CAST(fold AS INTEGER) AS fold, CAST(ordinal AS INTEGER) AS feature_ordinal,
+        'feature_' || lpad(CAST(ordinal + 1 AS VARCHAR), 3, '0') AS feature_name, mutual_info FROM mi""",
+    "mutual_info",
+)
+def _(spark, sf_dir):
+    dev = dev_sensors(spark, sf_dir)
+    in_train = [f.in_train() for f in read_folds(expanding_folds(dev))]
+    return neighbor_information(dev, in_train, selectors.feature_scores(dev, in_train))
+
+
 @query("correlation_pairs", f"WITH {LONG}, {LOT_PAIRS} SELECT CAST(1 AS INTEGER) AS fold, feature_i, feature_j, n, r FROM pairs", "r")
 def _(spark, sf_dir):
     lots = lot_entities(spark, sf_dir)
