@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from yieldloom.operators import ranking
 from yieldloom.operators.ranking import exact_quantiles, first_by_hash, prefix_sums
 
 
@@ -26,6 +27,23 @@ def test_prefix_sums_are_exact_for_any_number_of_ranges(skewed, ranges):
     assert len(got) == counts.count()
 
 
+def test_large_groups_are_joined_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 50)
+    sizes = {f"g{i}": n for i, n in enumerate((1, 3, 49, 51, 120, 700, 2000))}
+    rows = [(g, float(v)) for g, n in sizes.items() for v in range(n)]
+    counts = spark.createDataFrame(rows, "g string, v double").repartition(6).withColumn("n", (F.col("v") % 3 + 1).cast("long"))
+    counted = counts.groupBy("g").agg(F.count("*").alias("size"))
+    parts = {r.g: r["__parts"] for r in ranking.large_groups(counted, ["g"], "size").collect()}
+    assert parts == {"g3": 2, "g4": 3, "g5": 14, "g6": 40}
+    ranked = prefix_sums(counts, ["g"], "v", ["n"], 4)
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line and "g#" in line and "broadcast" not in line]
+    assert joins and all("__part#" in line or "__range#" in line for line in joins)
+    got = ranked.toPandas().sort_values(["g", "v"])
+    assert (got["n_before"] == got.groupby("g")["n"].cumsum() - got["n"]).all() and len(got) == len(rows)
+    assert (got["n_total"] == got.groupby("g")["n"].transform("sum")).all()
+
+
 def test_prefix_sums_without_groups(skewed):
     counts = skewed.groupBy("v").agg(F.count("*").alias("n"))
     got = prefix_sums(counts, [], "v", ["n"], 8).toPandas().sort_values("v")

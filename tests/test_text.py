@@ -53,3 +53,18 @@ def test_numbers_follow_the_files(spark, tmp_path):
     for name, count in (("a", 3), ("b", 2)):
         (tmp_path / name).write_text("".join(f"{name}{i}\n\t\n" for i in range(count)))
     assert [r.value for r in numbered_lines(spark, str(tmp_path)).orderBy("row_number").collect()] == ["a0", "a1", "a2", "b0", "b1"]
+
+
+def test_numbers_hold_when_files_are_split_otherwise_later(spark, tmp_path):
+    lines = [f"line {i} " + "x" * (i % 50) for i in range(2000)]
+    (tmp_path / "one").write_text("\n".join(lines[:1500]))
+    (tmp_path / "two").write_text("\n".join(lines[1500:]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+        numbered = numbered_lines(spark, str(tmp_path))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1777")
+        got = sorted((r.row_number, r.value) for r in numbered.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [(i + 1, line.strip()) for i, line in enumerate(lines)]

@@ -18,6 +18,8 @@ SAMPLE_PER_RANGE = 16
 # Values per range to aim at: a group with more of them than its ranges would hold gets more ranges.
 ROWS_PER_RANGE = 100_000
 LEAST_DIGITS = 3
+# A group is large if it holds more than this part of all rows, so there are no more large groups than that.
+LARGE_GROUPS = 10_000
 
 
 def ranges_for(spark: SparkSession, groups: int = 1) -> int:
@@ -26,6 +28,23 @@ def ranges_for(spark: SparkSession, groups: int = 1) -> int:
     return max(RANGES, min(MOST_RANGES, -(-2 * partitions // max(1, groups))))
 
 
+def large_groups(sizes: DataFrame, keys: Sequence[str], size: str) -> DataFrame:
+    """(keys, __parts) of the groups that hold a large share of all rows: at most LARGE_GROUPS rows, whatever the
+    number of groups, since each of them has more than that share."""
+    share = F.floor(sizes.agg(F.coalesce(F.sum(size), F.lit(0))).scalar() / LARGE_GROUPS)
+    least = F.greatest(F.lit(ROWS_PER_RANGE).cast("long"), share)
+    return sizes.where(F.col(size) > least).select(*keys, F.ceil(F.col(size) / least).cast("int").alias("__parts"))
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], spread: str, heavy: DataFrame, how: str = "inner") -> DataFrame:
+    """`left` joined with one row per group of `right`; groups of `heavy` meet in parts, dealt by hash of `spread`,
+    and their row of `right` is repeated once per part."""
+    parts = F.coalesce("__parts", F.lit(1))
+    dealt = left.join(F.broadcast(heavy), list(keys), "left").withColumn("__part", F.pmod(F.xxhash64(spread), parts).cast("int")).drop("__parts")
+    copies = right.join(F.broadcast(heavy), list(keys), "left").withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+    return dealt.join(copies, [*keys, "__part"], how).drop("__part")
+
+
 def prefix_sums(
     df: DataFrame,
     keys: Sequence[str],
@@ -44,23 +63,28 @@ def prefix_sums(
     twice, cuts at the same places. (A quantile sketch depends on merge order and would not.) `at`, a
     condition on the columns `range_<s>`, `range_before_<s>` and `<s>_total`, keeps only the ranges a
     caller needs rows of, and so spares the others the sort. `few_groups` says that the groups are bounded
-    by the columns, folds or model configurations at hand, so that their bounds can be broadcast.
+    by the columns, folds or model configurations at hand, so that their bounds can be broadcast. Otherwise
+    a large group meets its bounds in as many parts as its counted size asks for (see `salted_join`).
     """
     keys = list(keys)
     bounded = few_groups or not keys
     # a single group alone has to fill the cluster; an unknown number of groups does so together
     ranges = ranges or (RANGES if keys else ranges_for(df.sparkSession))
 
-    def join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-        right = F.broadcast(right) if bounded else right
-        return left.join(right, on, how) if on else left.join(right, how=how)
-
     # always true; with it every branch below reads the same columns, so the shuffle under `df` runs once
     counts = df
     for s in sums:
         counts = counts.where(F.col(s) >= 0)
 
     sizes = counts.groupBy(*keys).agg(F.count(order).alias("__size"))
+    heavy = None if bounded else large_groups(sizes, keys, "__size")
+
+    def join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+        if not on:
+            return left.join(F.broadcast(right), how=how)
+        # a range is small, so it needs no parts
+        return left.join(F.broadcast(right) if bounded else right, on, how) if bounded or "__range" in on else salted_join(left, right, on, order, heavy, how)
+
     # a group's own number of ranges, by its counted size
     own = F.least(F.lit(MOST_RANGES), F.greatest(F.lit(ranges), F.ceil(F.col("__size") / ROWS_PER_RANGE).cast("int")))
     sizes = sizes.withColumn("__ranges", own)

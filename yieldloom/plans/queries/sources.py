@@ -1,5 +1,7 @@
 """Queries over the text sources and the entity join."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from yieldloom.operators.profile import feature_action_summary, feature_catalog, overview
@@ -9,9 +11,9 @@ from yieldloom.plans.registry import CATALOG, LOTS, RANKING, SENSORS, query
 from yieldloom.recipes import SENSORS as N_SENSORS
 from yieldloom.recipes import lot_entities, sensor_entities
 from yieldloom.sources.results import COMPARISON_SCHEMA, read_comparison, write_comparison
-from yieldloom.sources.tables import canonical, chronological, measurement_schema, scan
+from yieldloom.sources.tables import canonical, chronological, load_table, measurement_schema, replace_table, scan
 from yieldloom.sources.text import numbered_lines, parse_labels, parse_measurements, read_measurements
-from yieldloom.sources.workspace import new_folder
+from yieldloom.sources.workspace import new_folder, settled
 
 FEATURES = [f"feature_{i:03d}" for i in range(1, N_SENSORS + 1)]
 # every fifth reading of the second sensor is written as missing
@@ -149,6 +151,62 @@ def _(spark, sf_dir):
     return scan(spark, path=folder)
 
 
+def _table_name(name):
+    return f"{name}_{uuid.uuid4().hex}"
+
+
+@query(
+    "replaced_table",
+    """SELECT 'kept by a failed write' AS step, count(*) AS n, CAST(sum(s_suppkey) AS BIGINT) AS keys FROM supplier
+       UNION ALL SELECT 'replaced', count(*), CAST(sum(p_partkey) AS BIGINT) FROM part
+       UNION ALL SELECT 'replaced by its own rows', count(*), CAST(sum(p_partkey) AS BIGINT) FROM part WHERE p_partkey % 2 = 0""",
+)
+def _(spark, sf_dir):
+    """What a table holds after a write that fails, after one that succeeds, and after one that reads the table itself."""
+    name = _table_name("replaced")
+    read = lambda table, key: spark.read.parquet(f"{sf_dir}/{table}.parquet").select(F.col(key).cast("long").alias("key"))
+    steps = []
+
+    def look(step):
+        found = spark.table(name).agg(F.count("*").alias("n"), F.sum("key").alias("keys"))
+        steps.append(settled(found.select(F.lit(step).alias("step"), "n", "keys")))
+
+    replace_table(read("supplier", "s_suppkey"), name)
+    broken = read("part", "p_partkey").withColumn("key", F.when(F.col("key") > 0, F.raise_error(F.lit("unreadable")).cast("long")).otherwise(F.col("key")))
+    try:
+        replace_table(broken, name)
+    except Exception as failure:
+        if "unreadable" not in str(failure):
+            raise
+    look("kept by a failed write")
+    replace_table(read("part", "p_partkey"), name)
+    look("replaced")
+    replace_table(spark.table(name).where("key % 2 = 0"), name)
+    look("replaced by its own rows")
+    spark.sql(f"DROP TABLE {name}")
+    return steps[0].unionByName(steps[1]).unionByName(steps[2])
+
+
+@query(
+    "ingestion_log",
+    """SELECT 'suppliers' AS table_name, 'first' AS load_id, count(*) AS rows_loaded, 1::BIGINT AS entries FROM supplier
+       UNION ALL SELECT 'suppliers', 'second', count(*), 1 FROM supplier WHERE s_suppkey % 3 = 0
+       UNION ALL SELECT 'parts', 'first', count(*), 1 FROM part UNION ALL SELECT 'parts', NULL, count(*), 2 FROM part""",
+)
+def _(spark, sf_dir):
+    """The log after loads of which some are repeated: those with an id count once, those without every time."""
+    log, tables = _table_name("log"), {t: _table_name(t) for t in ("suppliers", "parts")}
+    suppliers, parts = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("supplier", "part"))
+    loads = [("suppliers", suppliers, "first"), ("parts", parts, "first"), ("suppliers", suppliers, "first"), ("parts", parts, None)]
+    loads += [("suppliers", suppliers.where("s_suppkey % 3 = 0"), "second"), ("suppliers", suppliers, "second"), ("parts", parts, None)]
+    for table, rows, load_id in loads:
+        load_table(rows, tables[table], table, sf_dir, log, load_id)
+    entries = settled(spark.table(log).groupBy("table_name", "load_id", "rows_loaded").agg(F.count("*").alias("entries")))
+    for name in (log, *tables.values()):
+        spark.sql(f"DROP TABLE {name}")
+    return entries
+
+
 @query(
     "typed_measurements",
     f"SELECT column_name AS name, column_type AS type, n FROM (DESCRIBE SELECT CAST(0 AS BIGINT) AS entity_id, {', '.join(f'CAST(0 AS DOUBLE) AS {c}' for c in FEATURES)}), (SELECT count(*) AS n FROM embeddings)",

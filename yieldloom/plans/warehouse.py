@@ -19,23 +19,23 @@ from yieldloom.sources.tables import (
     build_canonical,
     ensure_layers,
     join_entities,
-    log_load,
+    load_table,
     replace_table,
 )
 from yieldloom.sources.text import read_labels, read_measurements
 from yieldloom.spec import DEFAULT_SPEC, EntitySpec
 
 
-def ingest(spark: SparkSession, measurements: str, labels: str, spec: EntitySpec = DEFAULT_SPEC) -> dict[str, int]:
-    """Load both text sources into the raw layer and log them; rows per table."""
+def ingest(spark: SparkSession, measurements: str, labels: str, spec: EntitySpec = DEFAULT_SPEC, load_id: str | None = None) -> dict[str, int]:
+    """Load both text sources into the raw layer and log them; rows per table. Done again with the same `load_id`, it
+    loads and logs only what the first run did not get to."""
     ensure_layers(spark)
     loaded = {}
     for table, path, rows in (
         ("measurements", measurements, read_measurements(spark, measurements, spec)),
         ("labels", labels, read_labels(spark, labels, spec)),
     ):
-        loaded[table] = replace_table(rows, f"raw.{table}")
-        log_load(spark, table, path, loaded[table])
+        loaded[table] = load_table(rows, f"raw.{table}", table, path, load_id=load_id)
     return loaded
 
 

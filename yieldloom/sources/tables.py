@@ -58,22 +58,52 @@ def scan(spark: SparkSession, name: str | None = None, path: str | None = None,
 def replace_table(df: DataFrame, name: str) -> int:
     """Write `df` as table `name`, replacing it, and return its rows.
 
-    The count reads the file footers of the new table. (An observation would count during the write, but
-    leaves state in the session that keeps fitted logistic models from being shipped to tasks.)
+    The rows are written aside and the tables switched by name, so a write that fails leaves the old table,
+    and `df` may read the table it replaces. A switch that was cut off is completed by the next call. The count
+    reads the file footers of the new table. (An observation would count during the write, but leaves state
+    in the session that keeps fitted logistic models from being shipped to tasks.)
     """
-    df.write.mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name).count()
+    spark = df.sparkSession
+    incoming, outgoing = f"{name}_incoming", f"{name}_outgoing"
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(outgoing):
+        spark.sql(f"ALTER TABLE {outgoing} RENAME TO {name}")
+    df.write.mode("overwrite").saveAsTable(incoming)
+    spark.sql(f"DROP TABLE IF EXISTS {outgoing}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {outgoing}")
+    spark.sql(f"ALTER TABLE {incoming} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {outgoing}")
+    return spark.table(name).count()
 
 
-LOG_SCHEMA = "table_name string, source_file string, rows_loaded long"
+LOG_SCHEMA = "table_name string, source_file string, rows_loaded long, load_id string"
 
 
-def log_load(spark: SparkSession, table: str, source: str, rows: int, log_table: str = "raw.ingestion_log") -> None:
+def log_load(spark: SparkSession, table: str, source: str, rows: int, log_table: str = "raw.ingestion_log", load_id: str | None = None) -> None:
     """Append one row to the ingestion log, stamped now."""
-    entry = spark.createDataFrame([(table, source, rows)], LOG_SCHEMA).coalesce(1)
+    entry = spark.createDataFrame([(table, source, rows, load_id)], LOG_SCHEMA).coalesce(1)
     entry.withColumn("loaded_at", F.current_timestamp()).write.mode("append").saveAsTable(log_table)
 
 
+def logged_rows(spark: SparkSession, table: str, load_id: str, log_table: str = "raw.ingestion_log") -> int | None:
+    """The rows that a load has put into `table`, if the log knows it."""
+    if not spark.catalog.tableExists(log_table):
+        return None
+    row = spark.table(log_table).where((F.col("table_name") == table) & (F.col("load_id") == load_id)).agg(F.max("rows_loaded")).head()
+    return row[0]
+
+
+def load_table(df: DataFrame, name: str, table: str, source: str, log_table: str = "raw.ingestion_log", load_id: str | None = None) -> int:
+    """Replace table `name` and log it as `table`; rows loaded. A load whose id is in the log already does nothing."""
+    spark = df.sparkSession
+    known = logged_rows(spark, table, load_id, log_table) if load_id is not None else None
+    if known is not None:
+        return known
+    rows = replace_table(df, name)
+    log_load(spark, table, source, rows, log_table, load_id)
+    return rows
+
+
 def discover_features(df: DataFrame, spec: EntitySpec = DEFAULT_SPEC) -> list[str]:
     """Columns of a measurement table except the id, in table order."""
     columns = [c for c in df.columns if c != spec.id]

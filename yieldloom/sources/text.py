@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from yieldloom.functions import decode_label
 from yieldloom.sources.tables import feature_names
-from yieldloom.sources.workspace import settled
+from yieldloom.sources.workspace import settled, stored
 from yieldloom.spec import DEFAULT_SPEC, EntitySpec
 
 # fixed values: cells that mean "missing", and the shape of a label line
@@ -28,27 +28,32 @@ def stripped(c: Column) -> Column:
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(row_number, value): the non-blank, stripped lines of one or many text files, numbered from 1 in file order.
 
-    A first job counts the lines of every file split; the counts (one row per split) are summed up in order,
-    and every line adds its place inside its split. Splits are told apart by two numbers, so their rows are
-    small enough to be broadcast, and then the text is neither shuffled nor sorted.
+    The files are read once, into a table that holds each line with its file, its split and its place there,
+    so how the files are split is settled for good. Counts of the splits (one row each) are summed up in
+    order and joined to the lines; two numbers tell splits apart, so their rows are small enough to be
+    broadcast, and then the text is neither shuffled nor sorted.
     """
-    lines = (
+    # read again, the files might be split elsewhere, and lines would miss their counts
+    lines = stored(
         spark.read.text(path)
         .select(
             stripped(F.col("value")).alias("value"),
+            F.xxhash64(F.col("_metadata.file_path")).alias("file_no"),
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("start"),
         )
         .where(F.col("value") != "")
-        .withColumn("place", F.monotonically_increasing_id())
+        .withColumn("place", F.monotonically_increasing_id()),
+        "lines",
     )
-    splits = lines.groupBy("file", "start").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    splits = lines.groupBy("file", "file_no", "start").agg(F.count("*").alias("n"), F.min("place").alias("first"))
     earlier = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first") + 1
-    offsets = settled(splits.select(F.xxhash64("file").alias("file_no"), "start", shift.alias("shift")))
+    offsets = settled(splits.select("file_no", "start", shift.alias("shift")))
     offsets = F.broadcast(offsets) if offsets.count() <= BROADCAST_SPLITS else offsets
-    numbered = lines.withColumn("file_no", F.xxhash64("file")).join(offsets, ["file_no", "start"])
-    return numbered.select((F.col("place") + F.col("shift")).alias("row_number"), "value")
+    numbered = lines.select("value", "file_no", "start", "place").join(offsets, ["file_no", "start"], "left")
+    number = F.when(F.col("shift").isNull(), F.raise_error(F.lit("a line has no offset"))).otherwise(F.col("place") + F.col("shift"))
+    return numbered.select(number.cast("long").alias("row_number"), "value")
 
 
 def parse_measurements(lines: DataFrame, n_features: int, spec: EntitySpec = DEFAULT_SPEC) -> DataFrame:
