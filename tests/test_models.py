@@ -47,6 +47,7 @@ def test_search_plan_does_not_grow_with_the_cells_and_far_cells_are_not_visited(
     for cells in (9, 100):
         index = neighbors.pivot_index(points, cells=cells, block=16)
         plans.append(len(neighbors.nearest_neighbors(index, asked, 3)._jdf.queryExecution().analyzed().toString()))
+        assert plans[-1] < 20_000
         plain = neighbors._plain(asked, "entity_id")
         visits = neighbors._visits(index, plain, neighbors._upper_bounds(index, plain, 3, False))
         visited.append(visits.select("id", "top", "sub").distinct().count() / (20 * index.cells.count()))

@@ -173,12 +173,13 @@ def nearest_neighbors(
 
 def _upper_bounds(index: PivotIndex, asked: DataFrame, k: int, exclude_self: bool) -> DataFrame:
     """(id, upper): the k-th distance within one block of the query's own cell, missing if that holds too few."""
-    near = _to_nearest_top(asked, index.pivots, index.tops, index.id_type)
+    # each step reads its rows twice, to count and to deal them, so what it reads is written down
+    near = settled(_to_nearest_top(asked, index.pivots, index.tops, index.id_type))
     own = _to_nearest_cell(near, index.cells, index.id_type).join(index.cells.select("top", "sub", "blocks"), ["top", "sub"])
-    own = own.select("id", "v", "top", "sub", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("part"))
+    own = settled(own.select("id", "v", "top", "sub", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("part")))
     found = _block_search(index.points, own, k, exclude_self, index.id_type, index.block)
     bound = found.groupBy("qid").agg(F.count("*").alias("found"), F.max("distance").alias("farthest"))
-    return bound.select(F.col("qid").alias("id"), F.when(F.col("found") >= k, F.col("farthest")).alias("upper"))
+    return settled(bound.select(F.col("qid").alias("id"), F.when(F.col("found") >= k, F.col("farthest")).alias("upper")))
 
 
 def _visits(index: PivotIndex, asked: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -208,10 +209,10 @@ def _visits(index: PivotIndex, asked: DataFrame, bounds: DataFrame) -> DataFrame
         row, col = np.nonzero(gap <= q["upper"].to_numpy()[:, None] * (1 + SLACK) + SLACK)
         return q.iloc[row].assign(sub=c["sub"].to_numpy()[col])[["id", "v", "top", "sub"]]
 
-    dealt = asked.join(bounds, "id", "left").mapInPandas(by_top, f"id {id_type}, v array<double>, upper double, top int")
+    dealt = settled(asked.join(bounds, "id", "left").mapInPandas(by_top, f"id {id_type}, v array<double>, upper double, top int"))
     cells = _with_cells(dealt, index.cells.select("top", "sub", "pivot", "radius"), by_cell, f"id {id_type}, v array<double>, top int, sub {id_type}")
     placed = cells.join(index.cells.select("top", "sub", "blocks"), ["top", "sub"])
-    return placed.select("id", "v", "top", "sub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("part"))
+    return settled(placed.select("id", "v", "top", "sub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("part")))
 
 
 def _block_search(
