@@ -27,11 +27,13 @@ def test_actions(spark):
 
 
 def test_long_form_keeps_missing(spark):
-    df = entities(spark, {"feature_x": [10, 20, None], "feature_y": [1, 2, 3]}, [-1, 1, -1])
-    rows = signal_values_long(df).collect()
-    assert len(rows) == 6
-    missing = [r for r in rows if r.is_missing]
-    assert [(r.entity_id, r.feature_name, r.feature_value) for r in missing] == [(3, "feature_x", None)]
+    readings = {"feature_heat": [0.25, None, -4.5, None], "feature_flow": [None, 8.0, 8.0, 6.75]}
+    rows = signal_values_long(entities(spark, readings, [1, -1, -1, 1])).collect()
+    assert len(rows) == 8
+    assert {(r.entity_id, r.feature_name) for r in rows if r.is_missing} == {(2, "feature_heat"), (4, "feature_heat"), (1, "feature_flow")}
+    assert {(r.entity_id, r.feature_name): r.feature_value for r in rows if not r.is_missing} == {
+        (i + 1, name): v for name, held in readings.items() for i, v in enumerate(held) if v is not None
+    }
 
 
 def test_nan_counts_as_missing(spark):

@@ -225,7 +225,7 @@ def inspection(
 
     k = max(1, rate * n rounded half to even). The cut falls inside one distinct score; when that score is
     shared, entities are taken in hash order of their id, which is neutral and repeatable. Only the tied
-    entities of a cut are looked at again, and only a 4096th of them is sorted.
+    entities of a cut are looked at again, and only those of one digest range are sorted.
     """
     keys = list(keys)
     ranked = ranked_scores(scored, keys, few_groups)

@@ -329,6 +329,7 @@ def evaluate_final(
     if artifact:
         fitted.save(
             artifact,
+            # fixed values: the names of the metadata
             {
                 "model": model_name,
                 "feature_set": feature_set,
