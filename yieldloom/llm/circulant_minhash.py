@@ -5,11 +5,13 @@ shingle hashes, the second is shifted by k for coordinate k, whose value is the
 are cut into bands; texts whose shingle sets are equal form one class at once, and classes that share a
 band are candidates. A link counts only if the full sets, built again from the texts, overlap enough.
 
-In every bucket each class is first verified against one hub, so a bucket of many near copies gives a
-star and not all its pairs. Buckets whose classes then still lie in different components go through a
-second round that pairs what is not connected yet and whose signatures agree in at least `least_agreement`
-of the coordinates. After it any two candidates are in one component or verified to have no link (up to
-pairs whose agreement lies more than four standard deviations below their similarity).
+In every bucket each class has one hub to be verified against, the bucket's least, so a bucket of many near
+copies gives a star and not all its pairs. A class first meets the hub that shares most of its buckets, then
+those of its other hubs that are not in its component by then.
+Buckets whose classes then still lie in different components go through a last round that pairs what is not
+connected yet and whose signatures agree in at least `least_agreement` of the coordinates. After it any two
+candidates are in one component or verified to have no link (up to pairs whose agreement lies more than four
+standard deviations below their similarity).
 With 32 bands of 4 coordinates a pair at similarity 0.75 becomes a candidate but for a chance of 5e-6.
 
 Shingles are five lower-case words (A-Z only); a text of fewer words is one shingle, a text without words
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yieldloom.llm.word_hashes import mixed, stretches, word_hashes
@@ -39,6 +41,8 @@ BANDS = 32
 ROWS = 4
 LEAST_SHARE = 75
 LEAST_AGREEMENT = 0.58
+# Pairs of one hub that may meet its text in one task.
+SLICE = 1000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407], dtype=np.uint64)
 
 
@@ -113,11 +117,16 @@ def fingerprints(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: in
 def verified(pairs: DataFrame, texts: DataFrame, least_share: int = LEAST_SHARE, size: int = SHINGLE) -> DataFrame:
     """Those rows (a, b) of `pairs` whose texts' full shingle sets have 100 * intersection >= least_share * union.
 
-    `texts` is (node, text). The join on a comes last, so rows of a hub arrive together and its set is built once.
+    `texts` is (node, text). The join on a comes last, so rows of a hub arrive together and its set is built once;
+    a hub with more than SLICE pairs is sent once for each slice of them.
     """
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
-    a = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
-    both = pairs.join(b, "b").join(a, "a").select("a", "b", "a_text", "b_text")
+    slices = pairs.groupBy("a").agg(F.ceil(F.count("*") / SLICE).cast("int").alias("slices")).where(F.col("slices") > 1)
+    n = F.coalesce("slices", F.lit(1))
+    dealt = pairs.join(slices, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), n).cast("int").alias("slice"))
+    hubs = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
+    hubs = hubs.join(slices, "a", "left").select("a", "a_text", F.explode(F.sequence(F.lit(0), n - 1)).alias("slice"))
+    both = dealt.join(b, "b").join(hubs, ["a", "slice"]).select("a", "b", "a_text", "b_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, hub_set = None, None
@@ -138,11 +147,25 @@ def verified(pairs: DataFrame, texts: DataFrame, least_share: int = LEAST_SHARE,
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, label) for every node of the links (a, b): the least node it is connected with.
+    """(node, label) for every node of the links (a, b), a below b: the least node it is connected with.
 
-    Labels go to neighbours and then to the labels of labels, until none changes; each round is settled.
+    Each b follows its least a. What else b is linked with is linked with that a, so the search runs over
+    the nodes that are some b's a, and a star of any size is one of them; the others take their a's label.
     """
-    both = settled(links.select("a", "b").union(links.select("b", "a")).distinct())
+    ends = links.select(F.col("a").alias("node"), F.col("a").alias("parent"), F.lit(True).alias("hub"))
+    ends = ends.union(links.select("b", "a", F.lit(False)))
+    nodes = settled(ends.groupBy("node").agg(F.min("parent").alias("parent"), F.max("hub").alias("hub")))
+    more = links.join(nodes.select(F.col("node").alias("b"), "parent"), "b").where(F.col("a") != F.col("parent")).select("parent", "a")
+    nested = nodes.where(F.col("hub") & (F.col("node") != F.col("parent"))).select("parent", "node")
+    found = _searched(more.union(nested).distinct())
+    labels = nodes.select("node", "parent").join(found.toDF("parent", "label"), "parent", "left")
+    return settled(labels.select("node", F.coalesce("label", "parent").alias("label")))
+
+
+def _searched(links: DataFrame) -> DataFrame:
+    """(node, label) by passing labels to neighbours and then taking the labels of labels, until none changes; each round is settled."""
+    forth = links.toDF("a", "b")
+    both = settled(forth.union(forth.select("b", "a")).distinct())
     labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")))
     while True:
         offers = both.join(labels.withColumnRenamed("node", "a"), "a").groupBy(F.col("b").alias("node")).agg(F.min("label").alias("offer"))
@@ -155,6 +178,14 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows (a, b, ...) of `pairs` whose ends have different labels."""
+    a = labels.select(F.col("node").alias("a"), F.col("label").alias("a_label"))
+    b = labels.select(F.col("node").alias("b"), F.col("label").alias("b_label"))
+    named = pairs.join(a, "a", "left").join(b, "b", "left")
+    return named.where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select(*pairs.columns)
+
+
 def _agreement(a: str, b: str, length: int):
     """Share of equal coordinates; a coordinate is two bytes, four hex digits."""
     places = F.sequence(F.lit(0), F.lit(length - 1))
@@ -174,12 +205,20 @@ def near_duplicates(
     reps = settled(reps.dropDuplicates(["node", "bands"]))
     in_buckets = reps.select("node", F.explode("bands").alias("bucket"))
     hubs = in_buckets.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("last")).where(F.col("a") < F.col("last")).drop("last")
-    stars = settled(in_buckets.join(hubs, "bucket").where(F.col("a") != F.col("node")).select("a", F.col("node").alias("b")).distinct())
-    texts = _texts(docs, classes, stars)
-    links = settled(verified(stars, texts, least_share, size))
+    met = in_buckets.join(hubs, "bucket").where(F.col("a") != F.col("node"))
+    stars = met.groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("shared"))
+    # a class has at most one hub in each band
+    place = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("shared"), "a"))
+    stars = settled(stars.select("a", "b", place.alias("place")))
+    first = stars.where(F.col("place") == 1).select("a", "b")
+    links = settled(verified(first, _texts(docs, classes, first), least_share, size))
     labels = components(links)
+    others = settled(_apart(stars.where(F.col("place") > 1).select("a", "b"), labels))
+    if others.limit(1).count():
+        links = settled(links.union(verified(others, _texts(docs, classes, others), least_share, size)))
+        labels = components(links)
 
-    # second round: classes of one bucket that are not connected yet
+    # last round: classes of one bucket that are not connected yet
     named = in_buckets.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
     crossing = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") < F.col("high")).select("bucket")
     members = settled(named.join(crossing, "bucket").join(reps.select("node", "signature"), "node"))
@@ -187,15 +226,17 @@ def near_duplicates(
     right = members.select("bucket", F.col("node").alias("b"), F.col("label").alias("b_label"), F.col("signature").alias("b_signature"))
     apart = (left.bucket == right.bucket) & (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label"))
     alike = _agreement("a_signature", "b_signature", bands * rows) >= least_agreement
-    rest = left.join(right, apart & alike).select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    rest = settled(rest)
+    rest = settled(left.join(right, apart & alike).select("a", "b").distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti"))
     if rest.limit(1).count():
         links = settled(links.union(verified(rest, _texts(docs, classes, rest), least_share, size)))
         labels = components(links)
 
     named = classes.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component"))
     # the documents are the larger side: many of one digest are split, as the other side has one row for it
-    found = prints.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    worded = prints.where(F.col("digest").isNotNull()).select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    # empty texts have no digest and stay where they are
+    wordless = prints.where(F.col("digest").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component"))
+    found = worded.select("doc_id", "n_shingles", "component").union(wordless)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
