@@ -1,12 +1,12 @@
 """Token-id output: an adaptive context-mixing range coder in independently reset, checksummed blocks.
 
-A block holds up to BLOCK_IDS ids below 65,536. Three predictions stand before each id: the id that last followed
-the previous two (order 2), the one that last followed the previous one (order 1), and the block's most
-frequent id (order 0), each with a hit rate that adapts by how often the prediction held in a row. Their
-shares of the coding range are mixed in that order, each from what the one before left; what is left at
-the end goes to all ids, by adaptive counts of nine ranges of id values. An id is one step of a carry-less
-range coder. Model and coder start anew in each block, so blocks can be read alone and in any order; a
-block's head has its id count, its payload's length and the CRC-32 of its ids.
+A block holds up to BLOCK_IDS ids below 65,536. Three orders predict each id. Order 0 is the adaptive share of
+every id of the block's alphabet, whose unseen ids have a prior that falls with the id. Order 1 names the two ids
+that followed the previous id, order 2 the one that followed the previous two, each with a streak. The predictions are
+mixed into one distribution by weights that are learned while coding: a set of weights for each combination
+of streaks, moved towards the part that each predictor had in the id that came. An id is one step of a
+carry-less range coder. Model and coder start anew in each block, so blocks can be read alone and in any order;
+a block's head has its id count, its payload's length, the CRC-32 of its ids and the size of its alphabet.
 
 All blocks of a batch advance together, one id per step, as numpy lanes. Only integers are used, so a
 reader on another machine follows exactly.
@@ -35,94 +35,131 @@ from pyspark.sql import functions as F
 from yieldloom.operators.ranking import prefix_sums
 from yieldloom.sources.workspace import new_folder
 
-BLOCK_IDS = 2048
-LANES = 4096
-PAGE_IDS = 1 << 16
+BLOCK_IDS = 60_000
+LANES = 160
+# A page ends with the document that reaches this, so that most pages are one block.
+PAGE_IDS = 56_000
 END_ID = 2
-MAGIC = b"IDCM1\0"
+MAGIC = b"IDCM2\0"
 CACHED_WORDS = 600_000
 
-_SLOTS = 1024
-_TOTAL = 1 << 24
-_LEFT = 1 << 20  # of the range, kept for ids that nothing predicts
-_SPREAD = 1 << 16  # of that, one for each possible id
+_IDS = 1 << 16
+_SLOTS = 1 << 16  # of order 2, per lane
+_TABLE_BITS = 22  # order 0's shares add up to this power of two
+_MIX_BITS = 10  # and so do the weights when they are applied
+_FULL = 1 << 16  # the weights when they are learned
+_MOST = 64_500  # of them for orders 1 and 2 together
+_STREAK = 4
+_SETS = 2 * (_STREAK + 1) ** 2
+_REFRESH = 1024
+_PRIOR = (1 << 26) // (np.arange(_IDS) + 200)
+_PRIOR_SUMS = np.cumsum(_PRIOR)
+_HEAD = struct.Struct("<IIII")
 _TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
-_U16, _U24, _U48 = np.uint64(16), np.uint64(24), np.uint64(48)
-_WIDTH_BITS = np.array([8, 8, 9, 10, 11, 12, 13, 14, 15], dtype=np.int64)
-_BIN_START = np.concatenate([[0], 1 << np.arange(8, 16)]).astype(np.int64)
-_BIN_OF = (np.searchsorted(_BIN_START, np.arange(1 << 16), side="right") - 1).astype(np.int64)
+_U16, _U32, _U48 = np.uint64(16), np.uint64(32), np.uint64(48)
 
 
 class Model:
-    """The predictions of all lanes; `plan` gives the intervals for the next id, `learn` takes it in."""
-
-    def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.two, self.one = np.zeros(lanes * _SLOTS, np.int32), np.zeros(lanes * _SLOTS, np.int32)
-        self.rates = np.tile(np.array([2000, 9000, 20000, 40000] * 2 + [3000], dtype=np.int64), lanes)
-        self.counts = np.ones((lanes, len(_BIN_START)), dtype=np.int64)
-        self.sums = np.full(lanes, len(_BIN_START), dtype=np.int64)
-        self.seen, self.top, self.most = np.zeros(lanes * 256, np.int32), np.zeros(lanes, np.int64), np.zeros(lanes, np.int32)
+    """The predictions of all lanes; `plan` prepares the mix for the next id, `learn` takes the id in.
+
+    Order 0 is summed up anew every _REFRESH ids, sooner at first. An id's mixed share is its order-0 share times
+    that order's weight, plus the weights of the guesses that name it; the ids stay in their own order.
+    """
+
+    def __init__(self, limits: np.ndarray):
+        lanes, wide = len(limits), int(limits.max(initial=1))
+        self.limits, self.t, self.due = limits, 0, 0
+        self.counts = np.zeros(lanes * wide, dtype=np.uint16)
+        self.seen = np.zeros(lanes, np.int64)
+        # beyond an alphabet's end stands what no search reaches
+        self.sums = np.full((lanes, _IDS + 1), 2**31 - 1, dtype=np.int32)
+        self.flat = self.sums.reshape(-1)
+        self.one, self.other = np.zeros(lanes * wide, np.int32), np.zeros(lanes * wide, np.uint16)
+        self.two = np.zeros(lanes * _SLOTS, np.int32)
+        self.weights = np.tile(np.array([_FULL * 3 // 10, _FULL * 2 // 10, _FULL // 20], dtype=np.int64)[:, None], (1, lanes * _SETS))
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.base, self.rate_base = self.lane * _SLOTS, self.lane * 9
+        self.wide = wide
+        self._place(np.arange(lanes))
+
+    def _place(self, lane: np.ndarray) -> None:
+        self.lane, self.row, self.slot, self.cell, self.set = lane, lane * (_IDS + 1), lane * _SLOTS, lane * self.wide, lane * _SETS
 
     def shrink(self, n: int) -> None:
         """Lanes are sorted by length; the shorter ones end first."""
-        self.lane, self.base, self.rate_base = self.lane[:n], self.base[:n], self.rate_base[:n]
-        self.counts, self.sums, self.top, self.most = self.counts[:n], self.sums[:n], self.top[:n], self.most[:n]
-        self.last, self.before = self.last[:n], self.before[:n]
+        self._place(self.lane[:n])
+        self.seen, self.last, self.before = self.seen[:n], self.last[:n], self.before[:n]
+
+    def _refresh(self) -> None:
+        """Order-0 shares from the counts: one for each id, the rest by count; new ids share by the prior what is kept for them."""
+        for lane in self.lane.tolist():
+            limit = int(self.limits[lane])
+            room = (1 << _TABLE_BITS) - limit
+            each = room // (self.t + 8 + int(self.seen[lane]) * 5 // 8)
+            kept = room - self.t * each
+            share = self.counts[lane * self.wide : lane * self.wide + limit].astype(np.int64)
+            share *= each
+            share += 1 + _PRIOR[:limit] * kept // int(_PRIOR_SUMS[limit - 1])
+            self.sums[lane, 0] = 0
+            np.cumsum(share, out=self.sums[lane, 1 : limit + 1])
+        self.due = max(32, min(2 * self.t, self.t + _REFRESH))
 
     def plan(self) -> None:
-        self.at2 = self.base + (((self.before * 40503 + self.last * 30011) >> 3) & (_SLOTS - 1))
-        self.at1 = self.base + ((self.last * 2654435 >> 7) & (_SLOTS - 1))
-        held2, held1 = self.two[self.at2], self.one[self.at1]
-        self.id2, self.id1 = held2 >> 2, held1 >> 2
-        self.sure2, self.sure1 = held2 & 3, held1 & 3
-        self.rate2, self.rate1, self.rate0 = self.rate_base + self.sure2, self.rate_base + 4 + self.sure1, self.rate_base + 8
-        room = _TOTAL - _LEFT
-        self.f2 = (self.rates[self.rate2] * room) >> 16
-        self.f1 = np.where(self.id1 == self.id2, 0, (self.rates[self.rate1] * (room - self.f2)) >> 16)
-        same = (self.top == self.id2) | (self.top == self.id1)
-        self.f0 = np.where(same, 0, (self.rates[self.rate0] * (room - self.f2 - self.f1)) >> 16)
-        self.other = self.f2 + self.f1 + self.f0
-        free = _TOTAL - self.other - _SPREAD
-        share = (self.counts * ((1 << 20) // self.sums)[:, None]) >> 4
-        self.each = 1 + (((share * free[:, None]) >> 16) >> _WIDTH_BITS)
-        self.begin = np.cumsum(self.each << _WIDTH_BITS, axis=1) - (self.each << _WIDTH_BITS)
+        if self.t == self.due:
+            self._refresh()
+        self.at2 = self.slot + ((self.before * 40503 + self.last * 30011) >> 3 & (_SLOTS - 1))
+        self.at1 = self.cell + self.last
+        two, one = self.two[self.at2], self.one[self.at1]
+        self.sure2, self.sure1 = two & 7, one & 7
+        self.ids = np.stack([two >> 3, one >> 3, self.other[self.at1]]).astype(np.int64)
+        self.chosen = self.set + ((self.sure2 * (_STREAK + 1) + self.sure1) * 2 + (self.ids[0] == self.ids[1]))
+        self.weight = self.weights[:, self.chosen]
+        self.shares = self.weight >> (16 - _MIX_BITS)
+        self.zero = (1 << _MIX_BITS) - self.shares.sum(axis=0)
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        b = _BIN_OF[ids]
-        each = self.each[self.lane, b]
-        low = self.other + self.begin[self.lane, b] + (ids - _BIN_START[b]) * each
-        hit2, hit1, hit0 = ids == self.id2, ids == self.id1, ids == self.top
-        # a share of nothing codes nothing: such an id is coded among all
-        hit2, hit1, hit0 = hit2 & (self.f2 > 0), hit1 & (self.f1 > 0), hit0 & (self.f0 > 0)
-        low = np.where(hit2, 0, np.where(hit1, self.f2, np.where(hit0, self.f2 + self.f1, low)))
-        return low, np.where(hit2, self.f2, np.where(hit1, self.f1, np.where(hit0, self.f0, each)))
+        at = self.row + ids
+        low = self.flat[at].astype(np.int64)
+        self.hit = self.ids == ids
+        self.named = (self.shares * self.hit) << _TABLE_BITS
+        self.freq = self.zero * (self.flat[at + 1] - low) + self.named.sum(axis=0)
+        return self.zero * low + ((self.shares * (self.ids < ids)).sum(axis=0) << _TABLE_BITS), self.freq
 
     def find(self, value: np.ndarray) -> np.ndarray:
         """The id whose interval holds `value`."""
-        rest = value - self.other
-        b = np.minimum((self.begin <= rest[:, None]).sum(axis=1) - 1, len(_BIN_START) - 1)
-        b = np.maximum(b, 0)
-        ids = _BIN_START[b] + (rest - self.begin[self.lane, b]) // self.each[self.lane, b]
-        return np.where(value < self.f2, self.id2, np.where(value < self.f2 + self.f1, self.id1, np.where(rest < 0, self.top, ids)))
+        guesses = np.sort((self.ids << _MIX_BITS) | self.shares, axis=0)
+        below = np.zeros(len(value), np.int64)
+        found = np.full(len(value), -1, dtype=np.int64)
+        for g in guesses:
+            ids, share = g >> _MIX_BITS, (g & ((1 << _MIX_BITS) - 1)) << _TABLE_BITS
+            at = self.row + ids
+            begin = self.zero * self.flat[at] + below
+            end = self.zero * self.flat[at + 1] + below + share
+            found = np.where((found < 0) & (value >= begin) & (value < end), ids, found)
+            below += share * (value >= end)
+        rest = (value - below) // self.zero
+        at = self.row.copy()
+        for bit in range(15, -1, -1):
+            further = at + (1 << bit)
+            at = np.where(self.flat[further] <= rest, further, at)
+        return np.where(found >= 0, found, np.minimum(at - self.row, self.limits[: len(value)] - 1))
 
     def learn(self, ids: np.ndarray) -> None:
-        hit2, hit1 = ids == self.id2, ids == self.id1
-        self.two[self.at2] = (ids << 2) + np.where(hit2, np.minimum(self.sure2 + 1, 3), 0)
-        self.one[self.at1] = (ids << 2) + np.where(hit1, np.minimum(self.sure1 + 1, 3), 0)
-        for at, hit in ((self.rate2, hit2), (self.rate1, hit1), (self.rate0, ids == self.top)):
-            rate = self.rates[at]
-            self.rates[at] = rate + (((hit * 65000) - rate) >> 4)
-        self.counts[self.lane, _BIN_OF[ids]] += 8
-        self.sums += 8
-        slot = self.lane * 256 + (ids & 255)
-        n = self.seen[slot] + 1
-        self.seen[slot] = n
-        more = n >= self.most
-        self.top, self.most = np.where(more, ids, self.top), np.where(more, n, self.most)
-        self.before, self.last = self.last, ids
+        """To be called after `interval` of the same ids."""
+        weight = self.weight + (((self.named << 16) // self.freq - self.weight) >> 5)
+        weight = np.maximum(weight, 32)
+        total = weight.sum(axis=0)
+        self.weights[:, self.chosen] = np.where(total > _MOST, weight * _MOST // total, weight)
+        hit2, hit1, _ = self.hit
+        self.two[self.at2] = (ids << 3) | np.where(hit2, np.minimum(self.sure2 + 1, _STREAK), 1)
+        stays = hit1 | (self.sure1 > 1)
+        streak = np.where(hit1, np.minimum(self.sure1 + 1, _STREAK), np.where(stays, self.sure1 - 1, 1))
+        self.one[self.at1] = (np.where(stays, self.ids[1], ids) << 3) | streak
+        self.other[self.at1] = np.where(hit1, self.ids[2], np.where(stays, ids, self.ids[1]))
+        at = self.cell + ids
+        n = self.counts[at]
+        self.counts[at] = n + 1
+        self.seen = self.seen + (n == 0)
+        self.before, self.last, self.t = self.last, ids, self.t + 1
 
 
 def encode_blocks(blocks: Sequence[np.ndarray]) -> list[bytes]:
@@ -132,21 +169,22 @@ def encode_blocks(blocks: Sequence[np.ndarray]) -> list[bytes]:
     for lo in range(0, len(order), LANES):
         lanes = order[lo : lo + LANES]
         sizes = np.array([len(blocks[i]) for i in lanes])
-        grid = np.zeros((int(sizes[0]) if len(sizes) else 0, len(lanes)), dtype=np.int64)
+        grid = np.zeros((int(sizes[0]), len(lanes)), dtype=np.uint16)
         for k, i in enumerate(lanes):
             grid[: sizes[k], k] = blocks[i]
         n = len(lanes)
         low, size = np.zeros(n, np.uint64), np.full(n, 2**64 - 1, dtype=np.uint64)
         words, filled = np.zeros((n, 2 * len(grid) + 8), dtype=np.uint16), np.zeros(n, np.int64)
-        model = Model(n)
+        limits = np.array([int(np.max(blocks[i], initial=0)) + 1 for i in lanes])
+        model = Model(limits)
         for t in range(len(grid)):
             live = int(np.searchsorted(-sizes, -t, side="left"))
             if live < len(model.lane):
                 model.shrink(live)
-            ids = grid[t, :live]
+            ids = grid[t, :live].astype(np.int64)
             model.plan()
             cum, freq = model.interval(ids)
-            step = size[:live] >> _U24
+            step = size[:live] >> _U32
             low[:live] += step * cum.astype(np.uint64)
             size[:live] = step * freq.astype(np.uint64)
             _shift_out(low, size, words, filled, live)
@@ -156,7 +194,7 @@ def encode_blocks(blocks: Sequence[np.ndarray]) -> list[bytes]:
             for part in range(4):
                 words[k, at + part] = (int(low[k]) >> (48 - 16 * part)) & 0xFFFF
             payload = words[k, : at + 4].astype("<u2").tobytes()
-            out[i] = struct.pack("<III", sizes[k], len(payload), _crc(blocks[i])) + payload
+            out[i] = _HEAD.pack(sizes[k], len(payload), _crc(blocks[i]), limits[k]) + payload
     return out
 
 
@@ -187,30 +225,33 @@ def _shift_out(low, size, words, filled, live: int) -> None:
 
 def decode_blocks(blocks: Sequence[bytes]) -> list[np.ndarray]:
     """The ids of each block; raises where a checksum does not hold."""
-    heads = [struct.unpack_from("<III", b) for b in blocks]
+    heads = [_HEAD.unpack_from(b) for b in blocks]
+    if any(not 0 < h[3] <= _IDS for h in heads):
+        raise ValueError("not a block of ids")
     order = sorted(range(len(blocks)), key=lambda i: -heads[i][0])
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(blocks)
     for lo in range(0, len(order), LANES):
         lanes = order[lo : lo + LANES]
         sizes = np.array([heads[i][0] for i in lanes])
         n = len(lanes)
-        words = np.zeros((n, max(heads[i][1] for i in lanes) // 2 + 8), dtype=np.uint64)
+        words = np.zeros((n, max(heads[i][1] for i in lanes) // 2 + 8), dtype=np.uint16)
         for k, i in enumerate(lanes):
-            payload = np.frombuffer(blocks[i], dtype="<u2", offset=12)
+            payload = np.frombuffer(blocks[i], dtype="<u2", offset=_HEAD.size)
             words[k, : len(payload)] = payload
         low, size = np.zeros(n, np.uint64), np.full(n, 2**64 - 1, dtype=np.uint64)
-        code = (words[:, 0] << _U48) | (words[:, 1] << np.uint64(32)) | (words[:, 2] << _U16) | words[:, 3]
+        first = words[:, :4].astype(np.uint64)
+        code = (first[:, 0] << _U48) | (first[:, 1] << _U32) | (first[:, 2] << _U16) | first[:, 3]
         read = np.full(n, 4, dtype=np.int64)
-        grid = np.zeros((int(sizes[0]), n), dtype=np.int64)
-        model = Model(n)
+        grid = np.zeros((int(sizes[0]), n), dtype=np.uint16)
+        model = Model(np.array([heads[i][3] for i in lanes]))
         for t in range(len(grid)):
             live = int(np.searchsorted(-sizes, -t, side="left"))
             if live < len(model.lane):
                 model.shrink(live)
             model.plan()
-            step = size[:live] >> _U24
-            value = np.minimum((code[:live] - low[:live]) // step, np.uint64(_TOTAL - 1)).astype(np.int64)
-            ids = model.find(value) & 0xFFFF
+            step = size[:live] >> _U32
+            value = np.minimum((code[:live] - low[:live]) // step, np.uint64(2**32 - 1)).astype(np.int64)
+            ids = model.find(value)
             cum, freq = model.interval(ids)
             low[:live] += step * cum.astype(np.uint64)
             size[:live] = step * freq.astype(np.uint64)
@@ -267,7 +308,7 @@ def unpacked_pages(pages: Sequence[bytes]) -> list[tuple[list, list[np.ndarray]]
         lengths = np.frombuffer(page, "<u4", n, at + 9 * n)
         at += 13 * n
         for _ in range(n_blocks):
-            size = 12 + struct.unpack_from("<III", page, at)[1]
+            size = _HEAD.size + _HEAD.unpack_from(page, at)[1]
             blocks.append(page[at : at + size])
             at += size
         heads.append(([int(d) if k else None for d, k in zip(table, known)], lengths, n_blocks))
@@ -318,8 +359,8 @@ def written(docs: DataFrame, path: str | None = None, end_id: int = END_ID) -> s
     """Writes the ids of all texts, in doc_id order, and returns the folder: rows (part, page, n_ids, ids)."""
     path = path or tokenizer_path()
     spark = docs.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(partitions, "doc_id")
+    # the number of ranges is left to AQE: a task with many blocks codes them side by side
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id")
     # the bounds are sampled from ids alone; texts order only the rows of one id, which share a partition
     ordered = ordered.sortWithinPartitions("doc_id", "text").select(F.spark_partition_id().alias("part"), "doc_id", "text")
 
@@ -350,7 +391,7 @@ def written(docs: DataFrame, path: str | None = None, end_id: int = END_ID) -> s
                     if size >= PAGE_IDS:
                         pages.append((doc_ids, texts))
                         doc_ids, texts, size = [], [], 0
-                if len(pages) * PAGE_IDS >= LANES * BLOCK_IDS:
+                if len(pages) >= LANES:
                     yield flush()
         if doc_ids:
             pages.append((doc_ids, texts))
@@ -368,9 +409,8 @@ def read_back(spark, folder: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            step = max(1, LANES * BLOCK_IDS // PAGE_IDS)
-            for lo in range(0, batch.num_rows, step):
-                piece = batch.slice(lo, step)
+            for lo in range(0, batch.num_rows, LANES):
+                piece = batch.slice(lo, LANES)
                 keys, doc_ids, offsets, sizes, sums = [], [], [], [], []
                 for key, (ids, texts) in zip(piece.column(0).to_pylist(), unpacked_pages(piece.column(1).to_pylist())):
                     n = [len(t) for t in texts]
