@@ -5,15 +5,18 @@ A passage recurs where a window of `window` consecutive words occurs at two plac
 1. Anchors. Of every window the least of its `gram`-word hashes is its anchor (the last of equal ones), so
    equal windows have equal anchors, at places of their own. An anchor that is found once in all documents
    rules its windows out.
-2. Confirmation. Consecutive windows with one recurring anchor form a block. Equal blocks are kept once with
-   their number of occurrences; the windows of the distinct blocks are counted, and those with two or more
-   occurrences are confirmed. Runs of confirmed windows are the phrases of a block.
-3. Automata. Distinct blocks, ordered by anchor, are split into shards of bounded size. Each shard compiles
-   the phrases of its blocks into one automaton over word numbers and streams all its blocks through it;
-   every match covers its words.
+2. Proposals. Consecutive windows with one recurring anchor form a block. Equal blocks are kept once with
+   their number of occurrences. Nothing is confirmed yet: blocks of one anchor may have no window in common.
+3. Automata. The distinct blocks are dealt by anchor to shards of about SHARD_BLOCKS. Each shard compiles the
+   windows of its blocks (the whole block where an anchor has one only) into an automaton over word numbers and
+   streams all its blocks through it. Each hit counts as often as its block occurs; a pattern with two or
+   more occurrences is a recurring passage, and its hits are the covers. Every window of the documents is in one
+   block, and equal windows meet in one shard, so these counts are of all documents.
+   An anchor with more than SHARD_BLOCKS distinct blocks is not held in one shard: its blocks are cut into
+   windows, equal ones are added up, and each distinct window is dealt by its own words.
 4. The covers go back to all places of a block, and a document's covered words are removed.
 
-Counts are of 128-bit hashes; the automata compare words. Nothing gathers a block's or an anchor's places:
+Anchors and 128-bit hashes of blocks only propose; the automata compare words, and covers come from their hits. Nothing gathers a block's or an anchor's places:
 frequent ones are counted by partial aggregation, and joined with a side that has one row for each.
 
 Defined results: words are kept as they are, case included; null text has none. A document with fewer than
@@ -36,8 +39,8 @@ from yieldloom.sources.workspace import new_folder
 
 WINDOW = 35
 GRAM = 6
-# Blocks per automaton: with at most 2 * WINDOW words each, this bounds its nodes.
-SHARD_BLOCKS = 4000
+# Blocks per automaton, at most twice as many: with up to WINDOW windows each, this bounds its nodes.
+SHARD_BLOCKS = 500
 NO_ID = -(2**63)
 _PLACE_BITS = 28
 _PLACE = np.uint64((1 << _PLACE_BITS) - 1)
@@ -183,82 +186,82 @@ def _block_rows(marked: DataFrame, window: int) -> DataFrame:
     return marked.where(F.col("text").isNotNull()).select("text", "blocks").mapInArrow(run, "h1 long, h2 long, anchor long, n int, words string, times long")
 
 
-def _window_rows(blocks: DataFrame, window: int) -> DataFrame:
-    """(w1, w2, h1, h2, at, times) for every window of the distinct blocks."""
+def _hits(rows: list[tuple], window: int) -> list[list[list[int]]]:
+    """For each row (deal, h1, h2, words, times) the word ranges that recurring passages of these rows cover.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            w = word_hashes(batch.column(2))
-            n = np.diff(w.first) - window + 1
-            row = np.repeat(np.arange(len(n)), n)
-            at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            start = w.first[:-1][row] + at
-            w1, w2 = Rolling(w.hashes).of(start, start + window)
-            h1, h2, times = (batch.column(i).to_numpy()[row] for i in (0, 1, 3))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w1.view(np.int64), w2.view(np.int64), h1, h2, at.astype(np.int32), times)], ["w1", "w2", "h1", "h2", "at", "times"])
-
-    return blocks.select("h1", "h2", "words", "times").mapInArrow(run, "w1 long, w2 long, h1 long, h2 long, at int, times long")
-
-
-def runs(mask: int) -> list[tuple[int, int]]:
-    """First and last place of every run of ones."""
-    out, at = [], 0
-    while mask >> at:
-        if mask >> at & 1:
-            end = at
-            while mask >> end + 1 & 1:
-                end += 1
-            out.append((at, end))
-            at = end
-        at += 1
-    return out
+    Rows of one deal come together. The passages are found by the automaton alone: what it does not hit is not covered.
+    """
+    import ahocorasick
+
+    numbers: dict[str, int] = {}
+    texts = [tuple(numbers.setdefault(w, len(numbers) + 1) for w in r[3].split(" ")) for r in rows]
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    lengths: list[int] = []
+    for i, (row, text) in enumerate(zip(rows, texts)):
+        alone = (i == 0 or rows[i - 1][0] != row[0]) and (i + 1 == len(rows) or rows[i + 1][0] != row[0])
+        size = len(text) if alone else window
+        for a in range(len(text) - size + 1):
+            # of equal patterns the last number stands
+            automaton.add_word(text[a : a + size], len(lengths))
+            lengths.append(size)
+    automaton.make_automaton()
+    counts = [0] * len(lengths)
+    found = []
+    for row, text in zip(rows, texts):
+        hits = list(automaton.iter(text))
+        for _, pattern in hits:
+            counts[pattern] += row[4]
+        found.append(hits)
+    covers = []
+    for hits in found:
+        spans: list[list[int]] = []
+        for end, pattern in hits:
+            if counts[pattern] < 2:
+                continue
+            start = end + 1 - lengths[pattern]
+            while spans and spans[-1][0] >= start:
+                spans.pop()
+            if spans and spans[-1][1] >= start:
+                spans[-1][1] = end + 1
+            else:
+                spans.append([start, end + 1])
+        covers.append(spans)
+    return covers
 
 
 def _located(blocks: DataFrame, window: int, shard_blocks: int) -> DataFrame:
-    """(h1, h2, covers): word ranges of each block that some phrase of its shard covers.
-
-    `blocks` is (anchor, h1, h2, words, mask), mask having a bit for each confirmed window.
-    """
-
-    def locate(rows: list[tuple]) -> pa.RecordBatch:
-        import ahocorasick
-
-        numbers: dict[str, int] = {}
-        texts = [tuple(numbers.setdefault(w, len(numbers) + 1) for w in r[2].split(" ")) for r in rows]
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for text, row in zip(texts, rows):
-            for a, b in runs(row[3]):
-                automaton.add_word(text[a : b + window], b + window - a)
-        automaton.make_automaton()
-        covers = []
-        for text in texts:
-            spans: list[list[int]] = []
-            for end, length in automaton.iter(text):
-                start = end + 1 - length
-                while spans and spans[-1][0] >= start:
-                    spans.pop()
-                if spans and spans[-1][1] >= start:
-                    spans[-1][1] = end + 1
-                else:
-                    spans.append([start, end + 1])
-            covers.append(spans)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(covers, pa.list_(pa.list_(pa.int32())))], ["h1", "h2", "covers"]
-        )
+    """(h1, h2, covers): word ranges of distinct blocks (h1, h2, anchor, n, words, times) that occur elsewhere too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            kept = [(r[1], r[2], c) for r, c in zip(held, _hits(held, window)) if c]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int32()))))], ["h1", "h2", "covers"])
+
         for batch in batches:
-            held += zip(*(batch.column(i).to_pylist() for i in range(4)))
-            while len(held) >= shard_blocks:
-                yield locate(held[:shard_blocks])
-                held = held[shard_blocks:]
+            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if len(held) >= shard_blocks and held[-1][0] != row[0]:
+                    yield flush()
+                held.append(row)
         if held:
-            yield locate(held)
-
-    # ordered by anchor, so blocks that may share windows meet in a shard; a frequent anchor is cut by the hash
-    dealt = blocks.repartitionByRange("anchor", "h1").sortWithinPartitions("anchor", "h1").select("h1", "h2", "words", "mask")
-    return dealt.mapInArrow(run, "h1 long, h2 long, covers array<array<int>>")
+            yield flush()
+
+    large = blocks.groupBy("anchor").agg(F.count("*").alias("same")).where(F.col("same") > shard_blocks)
+    split = blocks.join(large, "anchor", "left")
+    whole = split.where(F.col("same").isNull()).select(F.col("anchor").alias("deal"), "h1", "h2", "words", "times")
+    # windows of the blocks of large anchors: one row for each distinct one
+    place = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("at")
+    cut = split.where(F.col("same").isNotNull()).select("h1", "h2", "times", "words", place)
+    cut = cut.select("h1", "h2", "at", "times", F.array_join(F.slice(F.split("words", " "), F.col("at") + 1, window), " ").alias("words"))
+    named = [F.xxhash64("words").alias("w1"), F.xxhash64(F.lit(1), "words").alias("w2")]
+    single = cut.groupBy("words").agg(F.sum("times").alias("times")).select(F.xxhash64(F.lit(2), "words").alias("deal"), *named, "words", "times")
+    dealt = whole.union(single).repartition("deal").sortWithinPartitions("deal")
+    covers = _written(dealt.mapInArrow(run, "h1 long, h2 long, covers array<array<int>>"), "passages-covers")
+    back = cut.select("h1", "h2", "at", *named).join(covers.select(F.col("h1").alias("w1"), F.col("h2").alias("w2")), ["w1", "w2"])
+    placed = back.select("h1", "h2", F.array(F.array("at", F.col("at") + window)).alias("covers"))
+    return covers.union(placed)
 
 
 def _cut(marked: DataFrame, text_column: bool) -> DataFrame:
@@ -304,13 +307,7 @@ def _covered(docs: DataFrame, window: int, gram: int, shard_blocks: int) -> tupl
     marked = _written(_marked(joined, window, gram), "passages-marked")
     blocks = _block_rows(marked, window).groupBy("h1", "h2").agg(F.sum("times").alias("times"), *[F.first(c).alias(c) for c in ("anchor", "n", "words")])
     blocks = _written(blocks, "passages-blocks")
-    windows = _window_rows(blocks, window)
-    confirmed = windows.groupBy("w1", "w2").agg(F.sum("times").alias("n")).where(F.col("n") > 1).select("w1", "w2")
-    # a block that occurs twice is confirmed as a whole
-    masks = windows.where(F.col("times") == 1).join(confirmed, ["w1", "w2"]).groupBy("h1", "h2").agg(F.expr("bit_or(shiftleft(1L, at))").alias("mask"))
-    single = blocks.where(F.col("times") == 1).join(masks, ["h1", "h2"]).select("anchor", "h1", "h2", "words", "mask")
-    whole = blocks.where(F.col("times") > 1).select("anchor", "h1", "h2", "words", F.expr("shiftleft(1L, n) - 1L").alias("mask"))
-    covers = _located(single.unionByName(whole), window, shard_blocks)
+    covers = _located(blocks, window, shard_blocks)
     places = marked.where(F.col("text").isNotNull()).select("doc", F.xxhash64("text").alias("h"), F.explode("blocks").alias("b"))
     found = places.select("doc", "h", "b.start", "b.h1", "b.h2").join(covers, ["h1", "h2"]).select("doc", "h", "start", F.explode("covers").alias("c"))
     spans = found.groupBy("doc", "h").agg(F.collect_list(F.array(F.col("start") + F.get("c", F.lit(0)), F.col("start") + F.get("c", F.lit(1)))).alias("spans"))
