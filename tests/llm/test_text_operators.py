@@ -133,6 +133,13 @@ def test_dropout_varies_with_seed_and_agrees_with_the_heap(docs):
 # --- Merkle
 
 
+def test_a_chunk_is_segmented_by_occurrence():
+    path = merge_dropout.model_path()
+    found = merge_dropout.Encoder(path, 0.3, 5).encode(range(3000), ["international"] * 3000)
+    assert len({tuple(x) for x in found}) > 40
+    assert {merge_dropout.decode(x.tolist(), path) for x in found} == {"international"}
+
+
 def test_merkle_rows(both):
     rows = sorted(((i, t or "") for i, t in rows_of(both)), key=lambda r: (-(2**63) if r[0] is None else r[0], r[1]))
     out = merkle.compared_with_edits(both).collect()
@@ -232,6 +239,28 @@ def test_removals(both):
     matched(phrase_automata.removals(both, shard_blocks=50), expected_removals(rows_of(both)))
 
 
+def test_large_anchors_are_cut_into_windows(docs):
+    matched(phrase_automata.removals(docs, shard_blocks=1), expected_removals(rows_of(docs)))
+
+
+def test_covers_come_from_the_automaton(monkeypatch):
+    import ahocorasick
+
+    text = " ".join(f"w{i}" for i in range(36))
+    rows = [(1, 1, 1, text, 1), (1, 2, 2, "x " + text.rsplit(" ", 1)[0], 1), (2, 3, 3, text.replace("w", "v"), 1), (3, 4, 4, text.title(), 2)]
+    assert phrase_automata._hits(rows, 35) == [[[0, 35]], [[1, 36]], [], [[0, 36]]]
+
+    class Emptied:
+        def __init__(self, *args): ...
+        def add_word(self, *args): ...
+        def make_automaton(self): ...
+        def iter(self, text):
+            return iter(())
+
+    monkeypatch.setattr(ahocorasick, "Automaton", Emptied)
+    assert phrase_automata._hits(rows, 35) == [[], [], [], []]
+
+
 def test_texts_without_repeats(odd):
     left = {r.doc_id: r for r in phrase_automata.without_repeats(odd).collect()}
     assert left[8].text == "" and left[8].n_chars == 0  # two rows, so each word lies in a copied window
@@ -471,6 +500,16 @@ def test_blocks_round_trip_and_are_checked():
         id_coder.decode_blocks([bytes(broken)])
 
 
+def test_mixing_packs_better_than_zlib_and_order_0(docs):
+    texts = [r.text or "" for r in docs.orderBy("doc_id").collect()]
+    ids = np.concatenate(id_coder.WordEncoder(id_coder.tokenizer_path()).encode(texts))
+    blocks = [ids[a : a + id_coder.BLOCK_IDS] for a in range(0, len(ids), id_coder.BLOCK_IDS)]
+    bits = 8 * sum(map(len, id_coder.encode_blocks(blocks))) / len(ids)
+    packed = 8 * sum(len(zlib.compress(b.astype("<u2").tobytes(), 9)) for b in blocks) / len(ids)
+    shares = np.unique(ids, return_counts=True)[1] / len(ids)
+    assert bits < packed - 1 and bits < -(shares * np.log2(shares)).sum() + 0.3
+
+
 def test_ids_in_files(both):
     from tokenizers import Tokenizer
 

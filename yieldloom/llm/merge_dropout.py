@@ -2,15 +2,15 @@
 
 Encoding works through an agenda of candidate merges, best piece first and leftmost among equals. A
 candidate is skipped when a keyed hash of it falls below `dropout`; it comes back only as part of a new
-candidate. The key is the seed, the chunk's characters, which of `variants` variants this occurrence of the
-chunk has (a hash of the seed, the document's id and the chunk's place), and the candidate's span. So a
-document is segmented alike in every run, while the same word varies within and between documents. With
-`dropout` 0 the result is the tokenizer's own.
+candidate. The key is the seed, the chunk's characters, the occurrence (a hash of the document's id and the
+chunk's place in it) and the candidate's span. So a document is segmented alike in every run, while the same
+word varies freely within and between documents. With `dropout` 0 the result is the tokenizer's own.
 
 A chunk is a run of blanks and what follows up to the next blank, or one character that is no piece; no
 piece reaches across chunks, which is checked when the tokenizer is read. All chunks of a batch work
-through their agendas together, one merge each per step; chunks over `LONGEST` symbols use a heap. Equal
-(chunk, variant) pairs are segmented once per batch, and kept between batches within a bounded cache.
+through their agendas together, one merge each per step; chunks over `LONGEST` symbols use a heap. Which of a chunk's
+possible merges an occurrence skips decides its segmentation, so occurrences of a chunk that skip the same
+ones are segmented once per batch, and kept between batches within a bounded cache.
 
 Decoding joins the pieces; bytes of characters that are no piece are joined as bytes, so that any text comes
 back unchanged, also one with the tokenizer's blank sign in it.
@@ -35,7 +35,6 @@ from yieldloom.llm.word_hashes import MULTIPLIER, mixed
 
 DROPOUT = 0.1
 SEED = 11
-VARIANTS = 16
 LONGEST = 24
 NEVER = np.int32(2**31 - 1)
 # Characters worked on at a time, and entries kept between batches: both bound a task's memory.
@@ -195,12 +194,60 @@ def agendas(symbols: np.ndarray, keys: np.ndarray, p: Pieces, limit: int) -> lis
     return out
 
 
+def possible(symbols: np.ndarray, p: Pieces) -> list[bytes]:
+    """For chunks of equal length (rows) the terms that `_skipped` adds for every merge that some agenda could offer, as bytes."""
+    n = symbols.shape[1]
+    made = {(i, i + 1): symbols[:, i] for i in range(n)}
+    terms, hits = [], []
+    for size in range(2, n + 1):
+        for i in range(n - size + 1):
+            best = np.full(len(symbols), -1, dtype=np.int32)
+            for m in range(i + 1, i + size):
+                left, right = made[i, m], made[m, i + size]
+                if (left >= 0).any() and (right >= 0).any():
+                    piece = p.merge(left, right)
+                    if (piece >= 0).any():
+                        terms.append((((i << 42) | (m << 21) | (i + size)) + 1) * SPAN & WORD)
+                        hits.append(piece >= 0)
+                        best = np.where(piece >= 0, piece, best)
+            made[i, i + size] = best
+    if not terms:
+        return [b""] * len(symbols)
+    values, table = np.array(terms, dtype=np.uint64), np.array(hits).T
+    return [values[row].tobytes() for row in table]
+
+
 class Encoder:
-    """Encodes lists of texts; holds the segmentations of frequent (chunk, variant) pairs."""
+    """Encodes lists of texts; holds the possible merges of chunks and the segmentations by the merges skipped."""
 
-    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
-        self.p, self.limit, self.seed, self.variants = pieces(path), _limit(dropout), seed, variants if dropout else 1
+    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED):
+        self.p, self.limit, self.seed = pieces(path), _limit(dropout), seed
         self.kept: dict[int, bytes] = {}
+        self.merges: dict[int, bytes] = {}
+
+    def _patterns(self, symbols: np.ndarray, at: np.ndarray, lengths: np.ndarray, hashes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """A number per occurrence that tells which of its chunk's possible merges it skips; its key where the chunk is long."""
+        unique, where, back = np.unique(hashes, return_index=True, return_inverse=True)
+        names, size = unique.tolist(), lengths[where]
+        short = (size > 1) & (size <= LONGEST)
+        if len(self.merges) + len(names) > CACHED:
+            self.merges.clear()
+        missing = np.array([i for i in np.flatnonzero(short).tolist() if names[i] not in self.merges], dtype=np.int64)
+        for length in np.unique(size[missing]).tolist():
+            group = missing[size[missing] == length]
+            rows = symbols[at[where[group]][:, None] + np.arange(length)]
+            self.merges.update(zip((names[i] for i in group.tolist()), possible(rows, self.p)))
+        held = [self.merges[k] if s else b"" for k, s in zip(names, short.tolist())]
+        flat = np.frombuffer(b"".join(held), dtype=np.uint64)
+        count = np.array([len(x) for x in held], dtype=np.int64) // 8
+        first = np.cumsum(count) - count
+        n = count[back]
+        ends = np.cumsum(n)
+        place = np.arange(int(ends[-1])) - np.repeat(ends - n, n)
+        terms = flat[place + np.repeat(first[back], n)]
+        skips = mixed(np.repeat(keys, n) + terms) < np.uint64(self.limit)
+        told = np.concatenate([[np.uint64(0)], np.cumsum(mixed(terms) * skips, dtype=np.uint64)])
+        return np.where(short[back], told[ends] - told[ends - n], keys)
 
     def encode(self, doc_ids: Sequence[int], texts: Sequence[str]) -> list[np.ndarray]:
         p = self.p
@@ -223,9 +270,10 @@ class Encoder:
         named = np.where(odd, points.astype(np.int64) + p.n, symbols).astype(np.uint64)
         hashes = np.add.reduceat(mixed(named) * powers[place], at) + lengths.astype(np.uint64)
         keyed = mixed(np.array([-1 if i is None else i for i in doc_ids], dtype=np.int64).astype(np.uint64) + np.uint64(self.seed * MULTIPLIER & WORD))
-        variant = mixed(keyed[doc] + (np.arange(len(at)) - first_chunk[doc]).astype(np.uint64)) % np.uint64(self.variants)
-        keys = mixed(hashes + variant * np.uint64(SPAN) + np.uint64(self.seed))
-        unique, where, back = np.unique(keys, return_index=True, return_inverse=True)
+        occurrence = mixed(keyed[doc] + (np.arange(len(at)) - first_chunk[doc]).astype(np.uint64))
+        keys = mixed(hashes + occurrence * np.uint64(SPAN) + np.uint64(self.seed))
+        told = self._patterns(symbols, at, lengths, hashes, keys) if self.limit else np.zeros(len(at), np.uint64)
+        unique, where, back = np.unique(mixed(hashes + told * np.uint64(SPAN)), return_index=True, return_inverse=True)
         single = lengths[where] == 1
         names = unique.tolist()
         found = [self.kept.get(k) for k in names]
@@ -240,12 +288,12 @@ class Encoder:
                 group = missing[size == length]
                 rows = at[where[group]]
                 if length > LONGEST:
-                    made = [np.array(agenda(symbols[a : a + length], names[i], p, self.limit), np.int32).tobytes() for i, a in zip(group.tolist(), rows.tolist())]
+                    made = [np.array(agenda(symbols[a : a + length], int(keys[where[i]]), p, self.limit), np.int32).tobytes() for i, a in zip(group.tolist(), rows.tolist())]
                 else:
-                    made = agendas(symbols[rows[:, None] + np.arange(length)], unique[group], p, self.limit)
+                    made = agendas(symbols[rows[:, None] + np.arange(length)], keys[where[group]], p, self.limit)
                 for i, x in zip(group.tolist(), made):
                     found[i] = x
-                    if len(self.kept) < CACHED:
+                    if len(self.kept) < CACHED and length <= LONGEST:
                         self.kept[names[i]] = x
         flat = np.frombuffer(b"".join(found), dtype=np.int32)
         counts = np.array([len(x) for x in found], dtype=np.int64) // 4
@@ -269,9 +317,9 @@ def decode(ids: Sequence[int], path: str) -> str:
 
 
 @cache
-def _encoder(path: str, dropout: float, seed: int, variants: int) -> Encoder:
+def _encoder(path: str, dropout: float, seed: int) -> Encoder:
     """One per worker and setting, so that a worker's tasks share the cache."""
-    return Encoder(path, dropout, seed, variants)
+    return Encoder(path, dropout, seed)
 
 
 def stretches(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:
@@ -286,12 +334,12 @@ def stretches(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:
         yield lo, len(texts)
 
 
-def encoded(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS, path: str | None = None) -> DataFrame:
+def encoded(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids, and lossless: whether decoding the ids gives the text back."""
     path = path or model_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path, dropout, seed, variants)
+        encoder = _encoder(path, dropout, seed)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in stretches(texts):
