@@ -218,6 +218,51 @@ def test_near_duplicates_of_chains_and_stars(spark):
     assert kept == sum(r[3] for r in expected_components(rows))
 
 
+def test_near_duplicates_compared_in_blocks(spark, monkeypatch):
+    """A template whose copies mostly lie just below the threshold: many classes of a bucket stay apart."""
+    rng = np.random.default_rng(5)
+    base = [f"t{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        text = list(base)
+        for place in rng.choice(len(base), int(rng.integers(2, 8)), replace=False):
+            text[place] = f"n{i}x{place}"
+        rows.append((1000 - i, " ".join(text)))
+    want = expected_components(rows)
+    assert 5 < len({c for _, _, c, _ in want}) < 90
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    matched(circulant_minhash.near_duplicates(df), want)
+    monkeypatch.setattr(circulant_minhash, "MANY", 2)
+    monkeypatch.setattr(circulant_minhash, "BLOCK", 7)
+    matched(circulant_minhash.near_duplicates(df), want)
+
+
+def test_block_comparison_finds_links_the_hubs_miss(spark, monkeypatch):
+    text = [f"t{i}" for i in range(60)]
+    members = [(7, k, k, 12) for k in range(12)]
+    texts = [(k, " ".join(text[:55] + [f"e{k // 2}"] * 5 if k < 6 else [f"o{k}"] * 9 + text[9:30])) for k in range(12)]
+    want = set()
+    for a, x in texts:
+        for b, y in texts:
+            p, q = ({tuple(words(t)[i : i + 5]) for i in range(len(words(t)) - 4)} for t in (x, y))
+            if a < b and 100 * len(p & q) >= 75 * len(p | q):
+                want.add((a, b))
+    monkeypatch.setattr(circulant_minhash, "BLOCK", 4)
+    sketches = circulant_minhash._sketches(spark.createDataFrame(texts, "node long, text string"), 5)
+    found = circulant_minhash._overlapping_in_blocks(spark.createDataFrame(members, "bucket long, node long, label long, size long"), sketches, 0.75)
+    assert want and want <= {tuple(r) for r in found.collect()} <= want | {(a, b) for a in range(6) for b in range(a + 1, 6)}
+
+
+def test_cut_sketches_estimate_the_similarity():
+    rng = np.random.default_rng(3)
+    pool = rng.choice(2**32, 30000, replace=False).astype(np.uint32)
+    full = [np.sort(pool[:20000]), np.sort(pool[2000:21500]), np.sort(pool[9000:29000]), np.sort(pool[:700])]
+    sketches, whole = [s[:1024] for s in full], np.array([len(s) <= 1024 for s in full])
+    at = np.arange(4)
+    found = circulant_minhash.overlapping(sketches, whole, at, at, at, 0.75)
+    assert {p for p in found if p[0] < p[1]} == {(0, 1)}
+
+
 # --- substring dedup
 
 

@@ -5,13 +5,16 @@ shingle hashes, the second is shifted by k for coordinate k, whose value is the
 are cut into bands; texts whose shingle sets are equal form one class at once, and classes that share a
 band are candidates. A link counts only if the full sets, built again from the texts, overlap enough.
 
-In every bucket each class has one hub to be verified against, the bucket's least, so a bucket of many near
-copies gives a star and not all its pairs. A class first meets the hub that shares most of its buckets, then
-those of its other hubs that are not in its component by then.
-Buckets whose classes then still lie in different components go through a last round that pairs what is not
-connected yet and whose signatures agree in at least `least_agreement` of the coordinates. After it any two
-candidates are in one component or verified to have no link (up to pairs whose agreement lies more than four
-standard deviations below their similarity).
+In every bucket each class has one hub to be verified against, the bucket's most central class (the one that
+meets the most others, over all its buckets), so a bucket of many near copies gives a star and not all its
+pairs. A class first meets the hub that shares most of its buckets, then those of its other hubs that are not
+in its component by then.
+Buckets whose classes then still lie in different components go through a last round. A bucket of at most
+`MANY` such classes pairs those that are not connected and whose signatures agree in at least
+`least_agreement` of the coordinates. A larger one is dealt in blocks, and each pair of blocks is compared in
+a task by the shingle hashes themselves (by the least `SKETCH` of them where a set has more), so that only
+what really overlaps goes on to be verified. After it any two candidates are in one component or known to
+have no link (up to pairs whose agreement lies over four standard deviations below their similarity).
 With 32 bands of 4 coordinates a pair at similarity 0.75 becomes a candidate but for a chance of 5e-6.
 
 Shingles are five lower-case words (A-Z only); a text of fewer words is one shingle, a text without words
@@ -34,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yieldloom.llm.word_hashes import mixed, stretches, word_hashes
-from yieldloom.sources.workspace import settled
+from yieldloom.sources.workspace import settled, stored
 
 SHINGLE = 5
 BANDS = 32
@@ -43,6 +46,14 @@ LEAST_SHARE = 75
 LEAST_AGREEMENT = 0.58
 # Pairs of one hub that may meet its text in one task.
 SLICE = 1000
+# Classes of a bucket above which the last round compares in blocks of about BLOCK classes.
+MANY = 32
+BLOCK = 1024
+SKETCH = 1024
+# How far the share of a cut sketch may lie below the similarity: over four standard deviations; whole sets
+# are hashes of 32 bits here, which may run together.
+SKETCH_SLACK = 0.06
+WHOLE_SLACK = 0.01
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407], dtype=np.uint64)
 
 
@@ -146,32 +157,40 @@ def verified(pairs: DataFrame, texts: DataFrame, least_share: int = LEAST_SHARE,
     return both.mapInArrow(run, "a long, b long")
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """`df` written and read again: a checkpoint would keep the constraints of its plan, which multiply in each round of a search."""
+    return stored(df, "links")
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, label) for every node of the links (a, b), a below b: the least node it is connected with.
+    """(node, label) for every node of the links (a, b): the least node it is connected with.
 
     Each b follows its least a. What else b is linked with is linked with that a, so the search runs over
     the nodes that are some b's a, and a star of any size is one of them; the others take their a's label.
     """
     ends = links.select(F.col("a").alias("node"), F.col("a").alias("parent"), F.lit(True).alias("hub"))
     ends = ends.union(links.select("b", "a", F.lit(False)))
-    nodes = settled(ends.groupBy("node").agg(F.min("parent").alias("parent"), F.max("hub").alias("hub")))
+    nodes = _kept(ends.groupBy("node").agg(F.min("parent").alias("parent"), F.max("hub").alias("hub")))
     more = links.join(nodes.select(F.col("node").alias("b"), "parent"), "b").where(F.col("a") != F.col("parent")).select("parent", "a")
     nested = nodes.where(F.col("hub") & (F.col("node") != F.col("parent"))).select("parent", "node")
-    found = _searched(more.union(nested).distinct())
-    labels = nodes.select("node", "parent").join(found.toDF("parent", "label"), "parent", "left")
-    return settled(labels.select("node", F.coalesce("label", "parent").alias("label")))
+    found = _searched(more.union(nested).distinct()).toDF("parent", "label")
+    # an a may be greater than its b's: the label is the least node that follows any of the connected ones
+    least = nodes.groupBy("parent").agg(F.min("node").alias("least")).join(found, "parent", "left")
+    least = least.select("parent", "least", F.coalesce("label", "parent").alias("group"))
+    labels = least.join(least.groupBy("group").agg(F.min("least").alias("label")), "group").select("parent", "label")
+    return _kept(nodes.select("node", "parent").join(labels, "parent").select("node", "label"))
 
 
 def _searched(links: DataFrame) -> DataFrame:
-    """(node, label) by passing labels to neighbours and then taking the labels of labels, until none changes; each round is settled."""
+    """(node, label) by passing labels to neighbours and then taking the labels of labels, until none changes; each round is written."""
     forth = links.toDF("a", "b")
-    both = settled(forth.union(forth.select("b", "a")).distinct())
-    labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")))
+    both = _kept(forth.union(forth.select("b", "a")).distinct())
+    labels = _kept(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")))
     while True:
         offers = both.join(labels.withColumnRenamed("node", "a"), "a").groupBy(F.col("b").alias("node")).agg(F.min("label").alias("offer"))
         better = labels.join(offers, "node").select("node", F.col("label").alias("old"), F.least("label", "offer").alias("label"))
         onward = better.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        moved = settled(better.join(onward, "label").select("node", "old", F.least("label", "next").alias("label")))
+        moved = _kept(better.join(onward, "label").select("node", "old", F.least("label", "next").alias("label")))
         changed = moved.where(F.col("old") != F.col("label")).limit(1).count()
         labels = moved.select("node", "label")
         if not changed:
@@ -193,6 +212,79 @@ def _agreement(a: str, b: str, length: int):
     return F.size(same) / length
 
 
+def _sketches(texts: DataFrame, size: int) -> DataFrame:
+    """(node, sketch, whole): the least SKETCH of a text's shingle hashes, four bytes each, and whether these are all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in stretches(batch.column(1)):
+                short = [np.unique((s >> np.uint64(32)).astype(np.uint32)) for s in shingle_sets(batch.column(1).slice(lo, hi - lo), size)]
+                columns = [
+                    batch.column(0).slice(lo, hi - lo),
+                    pa.array([s[:SKETCH].astype("<u4").tobytes() for s in short], pa.binary()),
+                    pa.array([len(s) <= SKETCH for s in short], pa.bool_()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "sketch", "whole"])
+
+    return texts.mapInArrow(run, "node long, sketch binary, whole boolean").where(F.octet_length("sketch") > 0)
+
+
+def overlapping(sketches: list[np.ndarray], whole: np.ndarray, label: np.ndarray, first: np.ndarray, second: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Pairs (place in `first`, place in `second`) with different labels whose sketches may have a Jaccard similarity of `least`.
+
+    Below the lesser end of two cut sketches both are complete, so their share there estimates the similarity.
+    """
+    values, codes = np.unique(np.concatenate(sketches), return_inverse=True)
+    lengths = np.array([len(s) for s in sketches])
+    starts = np.cumsum(lengths) - lengths
+    top = np.uint32(2**32 - 1)
+    limit = np.array([top if w else s[-1] for s, w in zip(sketches, whole)], np.uint32)
+    flat = np.concatenate([codes[starts[j] : starts[j] + lengths[j]] for j in second])
+    at = np.cumsum(lengths[second]) - lengths[second]
+    marked = np.zeros(len(values), np.uint8)
+    out = []
+    for i in first:
+        apart = label[second] != label[i]
+        if not apart.any():
+            continue
+        own = codes[starts[i] : starts[i] + lengths[i]]
+        marked[own] = 1
+        common = np.add.reduceat(marked[flat], at, dtype=np.int32)
+        marked[own] = 0
+        n_own = np.searchsorted(sketches[i], limit[second], side="right")
+        n_other = lengths[second] if whole[i] else np.add.reduceat(values[flat] <= limit[i], at, dtype=np.int32)
+        needed = np.where(whole[i] & whole[second], least - WHOLE_SLACK, least - SKETCH_SLACK)
+        out += [(int(i), int(second[j])) for j in np.flatnonzero(apart & (common >= needed * (n_own + n_other - common)))]
+    return out
+
+
+def _overlapping_in_blocks(members: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of one bucket, a below b, with different labels and overlapping sketches.
+
+    `members` is (bucket, node, label, size). Blocks follow from the node's hash; a task holds two of a bucket.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    placed = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = placed.withColumn("partner", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("bucket", F.least("block", "partner").alias("low"), F.greatest("block", "partner").alias("high"), "block", "node", "label")
+
+    def run(table: pa.Table) -> pa.Table:
+        low, high = table["low"][0].as_py(), table["high"][0].as_py()
+        nodes, block, label = (table[c].to_numpy() for c in ("node", "block", "label"))
+        values = [np.frombuffer(s, "<u4") for s in table["sketch"].to_pylist()]
+        whole = table["whole"].to_numpy()
+        first, second = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        if low == high:
+            # of two classes with different labels at least one lies outside the most frequent label
+            names, counts = np.unique(label, return_counts=True)
+            first = np.flatnonzero(label != names[counts.argmax()])
+        found = overlapping(values, whole, label, first, second, least) if len(first) and len(second) else []
+        a, b = (np.array([nodes[pair[side]] for pair in found], np.int64) for side in (0, 1))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return met.join(sketches, "node").groupBy("bucket", "low", "high").applyInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least_share: int = LEAST_SHARE, least_agreement: float = LEAST_AGREEMENT, size: int = SHINGLE
 ) -> DataFrame:
@@ -204,31 +296,42 @@ def near_duplicates(
     reps = real.join(own, (real.doc_id == F.col("own_node")) & (real.digest == F.col("own"))).select(F.col("own_node").alias("node"), "bands", "signature")
     reps = settled(reps.dropDuplicates(["node", "bands"]))
     in_buckets = reps.select("node", F.explode("bands").alias("bucket"))
-    hubs = in_buckets.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("last")).where(F.col("a") < F.col("last")).drop("last")
-    met = in_buckets.join(hubs, "bucket").where(F.col("a") != F.col("node"))
+    sizes = in_buckets.groupBy("bucket").agg(F.count("*").alias("size")).where(F.col("size") > 1)
+    shared = settled(in_buckets.join(sizes, "bucket"))
+    central = shared.groupBy("node").agg(F.sum("size").alias("meets"))
+    hub = F.max_by("node", F.struct("meets", -F.col("node")))
+    hubs = shared.select("bucket", "node").join(central, "node").groupBy("bucket").agg(hub.alias("a"))
+    met = shared.join(hubs, "bucket").where(F.col("a") != F.col("node"))
     stars = met.groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("shared"))
     # a class has at most one hub in each band
     place = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("shared"), "a"))
     stars = settled(stars.select("a", "b", place.alias("place")))
     first = stars.where(F.col("place") == 1).select("a", "b")
-    links = settled(verified(first, _texts(docs, classes, first), least_share, size))
+    links = _kept(verified(first, _texts(docs, classes, first), least_share, size))
     labels = components(links)
-    others = settled(_apart(stars.where(F.col("place") > 1).select("a", "b"), labels))
+    others = _kept(_apart(stars.where(F.col("place") > 1).select("a", "b"), labels))
     if others.limit(1).count():
-        links = settled(links.union(verified(others, _texts(docs, classes, others), least_share, size)))
+        links = _kept(links.union(verified(others, _texts(docs, classes, others), least_share, size)))
         labels = components(links)
 
     # last round: classes of one bucket that are not connected yet
-    named = in_buckets.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-    crossing = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") < F.col("high")).select("bucket")
-    members = settled(named.join(crossing, "bucket").join(reps.select("node", "signature"), "node"))
-    left = members.select("bucket", F.col("node").alias("a"), F.col("label").alias("a_label"), F.col("signature").alias("a_signature"))
-    right = members.select("bucket", F.col("node").alias("b"), F.col("label").alias("b_label"), F.col("signature").alias("b_signature"))
+    named = shared.select("bucket", "node").join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    crossing = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+    members = settled(named.join(crossing.where(F.col("low") < F.col("high")).select("bucket", "size"), "bucket"))
+    few = members.where(F.col("size") <= MANY).join(reps.select("node", "signature"), "node")
+    left = few.select("bucket", F.col("node").alias("a"), F.col("label").alias("a_label"), F.col("signature").alias("a_signature"))
+    right = few.select("bucket", F.col("node").alias("b"), F.col("label").alias("b_label"), F.col("signature").alias("b_signature"))
     apart = (left.bucket == right.bucket) & (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label"))
     alike = _agreement("a_signature", "b_signature", bands * rows) >= least_agreement
-    rest = settled(left.join(right, apart & alike).select("a", "b").distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti"))
+    rest = left.join(right, apart & alike).select("a", "b").distinct()
+    many = members.where(F.col("size") > MANY)
+    if many.limit(1).count():
+        sketches = _sketches(_texts(docs, classes, many.select(F.col("node").alias("a"), F.col("node").alias("b"))), size)
+        rest = rest.union(_overlapping_in_blocks(many, sketches, least_share / 100)).distinct()
+    known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = _kept(rest.join(known, ["a", "b"], "left_anti"))
     if rest.limit(1).count():
-        links = settled(links.union(verified(rest, _texts(docs, classes, rest), least_share, size)))
+        links = _kept(links.union(verified(rest, _texts(docs, classes, rest), least_share, size)))
         labels = components(links)
 
     named = classes.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component"))
