@@ -10,6 +10,7 @@ from yieldloom.operators.profile import feature_catalog
 from yieldloom.operators.selectors import feature_scores, resolve_feature_sets
 from yieldloom.plans import modeling
 from yieldloom.plans.models import REGISTRY, class_sizes, fit, model_registry
+from yieldloom.sources.workspace import settled
 
 
 def vectors(spark, x, first=0):
@@ -55,6 +56,20 @@ def test_search_plan_does_not_grow_with_the_cells_and_far_cells_are_not_visited(
     assert visited[1] < 0.2
 
 
+def test_a_query_meets_few_blocks_and_takes_from_them_only_what_is_within_its_bound(spark):
+    # without pruning every query travels to every cell, so their number must not grow with the root of the points
+    assert neighbors.cells_for(4_096) == 1 and neighbors.cells_for(80_000) <= 16 and neighbors.cells_for(480_000) <= 16
+    x = np.random.default_rng(8).normal(size=(60, 2))
+    index = neighbors.pivot_index(vectors(spark, x), cells=4, block=64)
+    asked = settled(neighbors._plain(vectors(spark, x[:7], 100), "entity_id"))
+    visits = neighbors._visits(index, asked, asked.selectExpr("id", "0.5D AS upper"))
+    assert set(visits.columns) == {"id", "v", "upper", "top", "sub", "part"}
+    found = neighbors._block_search(index.points, visits, 60, False, "bigint", 64).toPandas()
+    d = np.sqrt(((x[:7, None] - x[None]) ** 2).sum(axis=2))
+    row, col = np.nonzero(d <= 0.5)
+    assert sorted(zip(found.qid, found.nid)) == sorted(zip(row + 100, col))
+
+
 def test_isolation_forest_ranks_an_outlier_first_and_repeats(spark):
     x = np.random.default_rng(2).normal(size=(300, 4))
     points = vectors(spark, x)
