@@ -68,3 +68,27 @@ def test_numbers_hold_when_files_are_split_otherwise_later(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert got == [(i + 1, line.strip()) for i, line in enumerate(lines)]
+
+
+def test_numbered_document_lines_writes_more_files_for_a_larger_table(spark, tmp_path, monkeypatch):
+    from yieldloom.plans.queries import sources
+    from yieldloom.plans.registry import QUERIES
+
+    rows = [(i, f"line {i}\n\nmore {i}") for i in range(90)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(9).write.parquet(f"{tmp_path}/documents.parquet")
+    files = []
+
+    def counted(session, folder):
+        files.append(len(session.read.text(folder).inputFiles()))
+        return numbered_lines(session, folder)
+
+    monkeypatch.setattr(sources, "numbered_lines", counted)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    # a split for each of the nine files
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        row = QUERIES["numbered_document_lines"](spark, str(tmp_path)).head()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert (row.n_lines, row.first_number, row.last_number, row.n_numbers) == (180, 1, 180, 180)
+    assert files[0] > 4

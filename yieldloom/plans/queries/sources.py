@@ -54,7 +54,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     folder = new_folder(spark, "lines")
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    documents.select(F.regexp_replace("text", "\r", " ").alias("value")).repartition(4).write.text(folder)
+    # several files, of about one split of the table each
+    files = max(4, documents.rdd.getNumPartitions())
+    documents.select(F.regexp_replace("text", "\r", " ").alias("value")).repartition(files).write.text(folder)
     numbers = numbered_lines(spark, folder)
     return numbers.agg(
         F.count("*").alias("n_lines"),
