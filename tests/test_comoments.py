@@ -111,3 +111,17 @@ def test_chi_square_quantiles():
     # fixed values: from tables of the distribution
     for share, freedom, value in ((0.5, 2, 1.386294), (0.975, 2, 7.377759), (0.975, 1, 5.023886), (0.5, 10, 9.341818), (0.975, 64, 88.004)):
         assert ellipse.chi_square_quantile(share, freedom) == pytest.approx(value, rel=1e-5)
+
+
+def test_robust_center_prepares_its_points_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(np.random.default_rng(2).normal(size=(80, 2)))]
+    raw = spark.createDataFrame(rows, "entity_id long, a array<double>").mapInArrow(counted, "entity_id long, a array<double>")
+    ellipse.robust_center(raw.select("entity_id", array_to_vector("a").alias("features")), starts=2, first_steps=1, most_steps=2)
+    assert seen.value == 80

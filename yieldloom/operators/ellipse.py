@@ -14,12 +14,14 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yieldloom.operators.comoments import TILE, covariances, pair_states
 from yieldloom.operators.ranking import exact_quantiles
+from yieldloom.sources.workspace import settled
 
 STARTS = 6
 FIRST_STEPS = 2
@@ -44,15 +46,16 @@ def _measured(plain: DataFrame, fits: list[tuple[np.ndarray, np.ndarray]]) -> Da
     """(id, v, d): the squared distance from every fit's centre in units of its covariance."""
     kept = plain.select("id", "v")
 
-    def measure(batches: Iterator) -> Iterator:
-        for pdf in batches:
-            if len(pdf):
-                x = np.stack(pdf["v"].to_numpy())
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
                 d = np.column_stack([(((x - mean) @ inverse) * (x - mean)).sum(axis=1) for mean, inverse in fits])
-                yield pdf.assign(d=list(d))
+                ends = np.arange(len(d) + 1, dtype=np.int32) * len(fits)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(d.reshape(-1)))], ["id", "v", "d"])
 
     id_type = dict(kept.dtypes)["id"]
-    return kept.mapInPandas(measure, f"id {id_type}, v array<double>, d array<double>")
+    return kept.mapInArrow(measure, f"id {id_type}, v array<double>, d array<double>")
 
 
 def _inverse(covariance: np.ndarray) -> np.ndarray:
@@ -129,7 +132,8 @@ def minimum_covariance(plain: DataFrame, starts: int = STARTS, first_steps: int
 
 def robust_center(points: DataFrame, entity: str = "entity_id", **options):
     """Centre and inverse covariance of (id, features) points: minimum covariance determinant, scaled and reweighted."""
-    plain = _plain(points, entity)
+    # every step reads the points, so they are prepared and assembled once
+    plain = settled(_plain(points, entity))
     mean, covariance, n = minimum_covariance(plain, **options)
     width = len(mean)
     measured = _measured(plain, [(mean, _inverse(covariance))])
