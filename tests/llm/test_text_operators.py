@@ -594,6 +594,25 @@ def test_empty_table(empty, operator):
     assert operator(empty).collect() == []
 
 
+def test_lm_trains_on_every_window_of_a_training_document(spark):
+    random = np.random.default_rng(5)
+    text = " ".join(random.choice(list("abcdefgh"), 900))
+    i = next(i for i in range(9) if recurrent_lm.trains(i))
+    docs = spark.createDataFrame([(i, text)], "doc_id long, text string")
+    lexicon = recurrent_lm.frequent(recurrent_lm.word_counts(docs))
+    ids = recurrent_lm._network_ids(lexicon.ids(recurrent_lm.tokens(text)))
+    windows = list(range(0, len(ids), recurrent_lm.STEPS))
+    start = recurrent_lm.Trainer(recurrent_lm.initial(recurrent_lm._shares(lexicon)))
+    for _, at in np.random.default_rng(9).permutation(np.array([(0, at) for at in windows])).tolist():
+        start.add(ids, at)
+    start.update()
+    after = recurrent_lm.Trainer(start.flat, recurrent_lm.RATE / 4)
+    for at in windows:
+        after.add(ids, at)
+    after.update()
+    assert np.allclose(recurrent_lm.trained(docs, lexicon), after.flat, atol=1e-5)
+
+
 def test_every_operator_has_one_query():
     found = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert found == list(range(1, 11))

@@ -5,11 +5,11 @@ them, are the network's words; every other word is its last output, <rare>, and
 share of its count among rare words, so that the probabilities of all texts add up. The output is
 factored: first the class of a word (words of near frequency share one), then the word within it.
 
-Training is by backpropagation through windows of `STEPS` tokens, in two stages. One task fits a start on a
-bounded sample of documents. Then every task that reads training documents goes on from there over one in
-`WINDOW_RATE` of their windows, drawn by hash from whole texts, and the tasks' weights are averaged by the
-number of windows. A window begins with the state that `WARM` tokens before it leave. In scoring the
-state is carried from window to window from the first token to the end.
+Training is by backpropagation through windows of `STEPS` tokens, in two stages. One task fits where training
+begins on a bounded number of documents. Then every task that reads training documents goes on from there over
+every window of every text, and the tasks' weights are averaged by the number of windows. A window begins with
+the state that `WARM` tokens before it leave. In scoring the state is carried from window to window from the
+first token to the end.
 
 Two lexica go to the tasks: the network's words, and at most `LEXICON` frequent words with their counts. The
 words beyond are joined with the table of counts by shuffle, once per document and word.
@@ -39,7 +39,6 @@ CLASSES = 64
 HIDDEN = 16
 STEPS = 32
 WARM = 16
-WINDOW_RATE = 10
 BATCH = 256
 RATE = 0.01
 SAMPLE_DOCUMENTS = 1500
@@ -108,9 +107,22 @@ def step(w: dict, x: np.ndarray, h: np.ndarray):
     return (1 - z) * c + z * h, (z, r, c, b[:, 2 * HIDDEN :])
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _chances(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Softmax of the rows of `x`, which is overwritten, and the log of each row's chance at one place."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(x)), at]
+    np.exp(x, out=x)
+    total = x.sum(axis=1, keepdims=True)
+    x /= total
+    return x, own - np.log(total[:, 0])
+
+
+def _log_chance(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log of each row's softmax at one place; `x` is overwritten."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(x)), at]
+    np.exp(x, out=x)
+    return own - np.log(x.sum(axis=1))
 
 
 def by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -125,10 +137,9 @@ def by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 def log_chances(w: dict, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log probability of each target after each state."""
-    out = _log_softmax(h @ w["to_class"] + w["class_shift"])[np.arange(len(h)), targets // IN_CLASS]
+    out = _log_chance(h @ w["to_class"] + w["class_shift"], targets // IN_CLASS)
     for c, rows in by_class(targets):
-        inner = _log_softmax(h[rows] @ w["to_word"][c] + w["word_shift"][c])
-        out[rows] += inner[np.arange(len(rows)), targets[rows] % IN_CLASS]
+        out[rows] += _log_chance(h[rows] @ w["to_word"][c] + w["word_shift"][c], targets[rows] % IN_CLASS)
     return out
 
 
@@ -152,9 +163,8 @@ def gradient(flat: np.ndarray, inputs: np.ndarray, targets: np.ndarray, weight:
     all_t, all_w = targets[:, WARM:].T.reshape(-1), weight[:, WARM:].T.reshape(-1)
     all_w = (all_w / max(all_w.sum(), 1)).astype(np.float32)
     rows = np.arange(len(all_h))
-    logp = _log_softmax(all_h @ w["to_class"] + w["class_shift"])
-    loss = -float((logp[rows, all_t // IN_CLASS] * all_w).sum())
-    d = np.exp(logp)
+    d, logs = _chances(all_h @ w["to_class"] + w["class_shift"], all_t // IN_CLASS)
+    loss = -float((logs * all_w).sum())
     d[rows, all_t // IN_CLASS] -= 1
     d *= all_w[:, None]
     g["to_class"][:] = all_h.T @ d
@@ -162,11 +172,9 @@ def gradient(flat: np.ndarray, inputs: np.ndarray, targets: np.ndarray, weight:
     dh = d @ w["to_class"].T
     for c, part in by_class(all_t):
         hp, tp = all_h[part], all_t[part] % IN_CLASS
-        inner = _log_softmax(hp @ w["to_word"][c] + w["word_shift"][c])
-        each = np.arange(len(part))
-        loss -= float((inner[each, tp] * all_w[part]).sum())
-        d = np.exp(inner)
-        d[each, tp] -= 1
+        d, logs = _chances(hp @ w["to_word"][c] + w["word_shift"][c], tp)
+        loss -= float((logs * all_w[part]).sum())
+        d[np.arange(len(part)), tp] -= 1
         d *= all_w[part, None]
         g["to_word"][c] = hp.T @ d
         g["word_shift"][c] = d.sum(axis=0)
@@ -301,7 +309,8 @@ def _shares(lexicon: Lexicon) -> np.ndarray:
     return shares / shares.sum()
 
 
-def trained(docs: DataFrame, lexicon: Lexicon, sample_documents: int = SAMPLE_DOCUMENTS, rate: int = WINDOW_RATE) -> np.ndarray:
+def trained(docs: DataFrame, lexicon: Lexicon, sample_documents: int = SAMPLE_DOCUMENTS) -> np.ndarray:
+    """Weights after every window of every training document, from a start that `sample_documents` of them give."""
     spark = docs.sparkSession
     narrow = docs.select("doc_id", "text")
     ours = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 != 2, F.lit(True))
@@ -328,12 +337,9 @@ def trained(docs: DataFrame, lexicon: Lexicon, sample_documents: int = SAMPLE_DO
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if trains(doc_id):
-                    words = tokens(text)
-                    spots = [at for at in range(0, len(words) + 1, STEPS) if crc32(f"{doc_id}:{at}".encode()) % rate == 0]
-                    if spots:
-                        ids = _network_ids(lex.ids(words))
-                        for at in spots:
-                            trainer.add(ids, at)
+                    ids = _network_ids(lex.ids(tokens(text)))
+                    for at in range(0, len(ids), STEPS):
+                        trainer.add(ids, at)
         trainer.update()
         if trainer.windows:
             n = -(-SIZE // CHUNK)
