@@ -288,6 +288,30 @@ def test_large_anchors_are_cut_into_windows(docs):
     matched(phrase_automata.removals(docs, shard_blocks=1), expected_removals(rows_of(docs)))
 
 
+def test_blocks_around_a_common_passage_are_cut_into_few_pieces(spark, monkeypatch):
+    random = np.random.default_rng(4)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for i in range(400):
+        before, after = (random.choice([f"c{k}" for k in range(5000)], 40).tolist() for _ in range(2))
+        rows.append((i, " ".join([*before, *passage[: 60 - i % 3], *after])))
+    # texts that repeat a passage with some words around it
+    rows += [(400 + i, " ".join([*rows[i][1].split(" ")[40 - i : 110 + i], f"own{i}"])) for i in range(20)]
+    made = []
+    pieces = phrase_automata._pieces
+
+    def counted(blocks, window, most):
+        out = pieces(blocks, window, most)
+        made.append((out.count(), blocks.count(), blocks.agg({"n": "sum"}).head()[0] or 0))
+        return out
+
+    monkeypatch.setattr(phrase_automata, "_pieces", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    matched(phrase_automata.removals(docs, shard_blocks=20), expected_removals(rows))
+    assert made[0][2] > 1000
+    assert sum(n for n, _, _ in made) < made[0][2] / 2
+
+
 def test_covers_come_from_the_automaton(monkeypatch):
     import ahocorasick
 

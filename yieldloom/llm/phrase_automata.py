@@ -12,8 +12,11 @@ A passage recurs where a window of `window` consecutive words occurs at two plac
    streams all its blocks through it. Each hit counts as often as its block occurs; a pattern with two or
    more occurrences is a recurring passage, and its hits are the covers. Every window of the documents is in one
    block, and equal windows meet in one shard, so these counts are of all documents.
-   An anchor with more than SHARD_BLOCKS distinct blocks is not held in one shard: its blocks are cut into
-   windows, equal ones are added up, and each distinct window is dealt by its own words.
+   An anchor with more than SHARD_BLOCKS distinct blocks is not held in one shard: its blocks are cut into pieces.
+   The windows of a piece begin at most so many places from another, counted back from the anchor, as the first of
+   CUTS says. So they share all but that many of their words, the core. Equal windows have equal cores: equal pieces
+   are added up and dealt by their cores, and a core that occurs once rules its piece out. What still is too large
+   for a shard is cut by the next of CUTS, down to single windows.
 4. The covers go back to all places of a block, and a document's covered words are removed.
 
 Anchors and 128-bit hashes of blocks only propose; the automata compare words, and covers come from their hits. Nothing gathers a block's or an anchor's places:
@@ -41,6 +44,8 @@ WINDOW = 35
 GRAM = 6
 # Blocks per automaton, at most twice as many: with up to WINDOW windows each, this bounds its nodes.
 SHARD_BLOCKS = 500
+# How many windows a piece of a block may have, cut by cut; the last leaves single windows.
+CUTS = (10, 4, 1)
 NO_ID = -(2**63)
 _PLACE_BITS = 28
 _PLACE = np.uint64((1 << _PLACE_BITS) - 1)
@@ -111,8 +116,8 @@ def _marked(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
     A document without blocks loses its text here; one with blocks has no digest yet.
     """
-    schema = "doc long, n_words long, whole string, text string, blocks array<struct<start:int,n:int,anchor:long,h1:long,h2:long>>"
-    block = pa.struct([("start", pa.int32()), ("n", pa.int32()), ("anchor", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())])
+    schema = "doc long, n_words long, whole string, text string, blocks array<struct<start:int,n:int,anchor:long,place:int,h1:long,h2:long>>"
+    block = pa.struct([("start", pa.int32()), ("n", pa.int32()), ("anchor", pa.int64()), ("place", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,7 +139,7 @@ def _marked(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 h1, h2 = Rolling(w.hashes).of(s[first], s[first] + n + window - 1)
                 # equal words may lie around another anchor of equal windows; the number of windows is part of the hash
                 values = pa.StructArray.from_arrays(
-                    [pa.array((s[first] - w.first[d[first]]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(a[first].view(np.int64)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
+                    [pa.array((s[first] - w.first[d[first]]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(a[first].view(np.int64)), pa.array((p[first] - s[first]).astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
                     fields=list(block),
                 )
                 ends = np.searchsorted(d[first], np.arange(len(part) + 1))
@@ -164,7 +169,7 @@ def _digest(kept: list[str]) -> str:
 
 
 def _block_rows(marked: DataFrame, window: int) -> DataFrame:
-    """(h1, h2, anchor, n, words, times) from documents, one row per block of a batch."""
+    """(h1, h2, anchor, place, n, words, times) from documents, one row per block of a batch; place is where the anchor begins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,16 +179,16 @@ def _block_rows(marked: DataFrame, window: int) -> DataFrame:
                 for b in blocks:
                     key = (b["h1"], b["h2"])
                     if key in found:
-                        found[key][3] += 1
+                        found[key][4] += 1
                     else:
-                        found[key] = [b["anchor"], b["n"], " ".join(words[b["start"] : b["start"] + b["n"] + window - 1]), 1]
+                        found[key] = [b["anchor"], b["place"], b["n"], " ".join(words[b["start"] : b["start"] + b["n"] + window - 1]), 1]
             keys, rest = list(found), list(found.values())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), *(pa.array([r[i] for r in rest], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.string(), pa.int64())))],
-                ["h1", "h2", "anchor", "n", "words", "times"],
+                [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), *(pa.array([r[i] for r in rest], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int64())))],
+                ["h1", "h2", "anchor", "place", "n", "words", "times"],
             )
 
-    return marked.where(F.col("text").isNotNull()).select("text", "blocks").mapInArrow(run, "h1 long, h2 long, anchor long, n int, words string, times long")
+    return marked.where(F.col("text").isNotNull()).select("text", "blocks").mapInArrow(run, "h1 long, h2 long, anchor long, place int, n int, words string, times long")
 
 
 def _hits(rows: list[tuple], window: int) -> list[list[list[int]]]:
@@ -229,39 +234,68 @@ def _hits(rows: list[tuple], window: int) -> list[list[list[int]]]:
     return covers
 
 
+def _pieces(blocks: DataFrame, window: int, most: int) -> DataFrame:
+    """Pieces of at most `most` windows from (deal, h1, h2, place, n, words, times): the windows before the anchor are cut at multiples of `most`.
+
+    `at` is the piece's first window in its block (h1, h2), (w1, w2) its own name, and `deal` comes from its core.
+    """
+    part, place, n = F.col("part"), F.col("place"), F.col("n")
+    parts = F.sequence(F.floor((place - n + 1) / most).cast("int"), F.floor(place / most).cast("int"))
+    cut = blocks.select("*", F.explode(parts).alias("part"))
+    first, last = F.greatest(F.lit(0), place - (part + 1) * most + 1), F.least(n - 1, place - part * most)
+    cut = cut.withColumns({"at": first, "m": last - first + 1, "split": F.split("words", " ")})
+    core = F.array_join(F.slice("split", place - part * most + 1, window + 1 - most), " ")
+    words = F.array_join(F.slice("split", F.col("at") + 1, F.col("m") + window - 1), " ")
+    cut = cut.select("h1", "h2", "at", "times", F.xxhash64("deal", "part", core).alias("deal"), (place - F.col("at")).alias("place"), F.col("m").alias("n"), words.alias("words"))
+    return cut.withColumns({f"w{i}": F.xxhash64(F.lit(i), F.lit(most), "words") for i in (1, 2)})
+
+
 def _located(blocks: DataFrame, window: int, shard_blocks: int) -> DataFrame:
-    """(h1, h2, covers): word ranges of distinct blocks (h1, h2, anchor, n, words, times) that occur elsewhere too."""
+    """(h1, h2, covers): word ranges of distinct blocks (h1, h2, anchor, place, n, words, times) that occur elsewhere too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            kept = [(r[1], r[2], c) for r, c in zip(held, _hits(held, window)) if c]
+            kept = [(r[5], r[1], r[2], c) for r, c in zip(held, _hits(held, window)) if c]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int32()))))], ["h1", "h2", "covers"])
+            types = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int32())))
+            return pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], t) for i, t in enumerate(types)], ["level", "h1", "h2", "covers"])
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if len(held) >= shard_blocks and held[-1][0] != row[0]:
                     yield flush()
                 held.append(row)
         if held:
             yield flush()
 
-    large = blocks.groupBy("anchor").agg(F.count("*").alias("same")).where(F.col("same") > shard_blocks)
-    split = blocks.join(large, "anchor", "left")
-    whole = split.where(F.col("same").isNull()).select(F.col("anchor").alias("deal"), "h1", "h2", "words", "times")
-    # windows of the blocks of large anchors: one row for each distinct one
-    place = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("at")
-    cut = split.where(F.col("same").isNotNull()).select("h1", "h2", "times", "words", place)
-    cut = cut.select("h1", "h2", "at", "times", F.array_join(F.slice(F.split("words", " "), F.col("at") + 1, window), " ").alias("words"))
-    named = [F.xxhash64("words").alias("w1"), F.xxhash64(F.lit(1), "words").alias("w2")]
-    single = cut.groupBy("words").agg(F.sum("times").alias("times")).select(F.xxhash64(F.lit(2), "words").alias("deal"), *named, "words", "times")
-    dealt = whole.union(single).repartition("deal").sortWithinPartitions("deal")
-    covers = _written(dealt.mapInArrow(run, "h1 long, h2 long, covers array<array<int>>"), "passages-covers")
-    back = cut.select("h1", "h2", "at", *named).join(covers.select(F.col("h1").alias("w1"), F.col("h2").alias("w2")), ["w1", "w2"])
-    placed = back.select("h1", "h2", F.array(F.array("at", F.col("at") + window)).alias("covers"))
-    return covers.union(placed)
+    pieces = blocks.withColumnRenamed("anchor", "deal")
+    sums = pieces.groupBy("deal").agg(F.count("*").alias("same"))
+    split = pieces.join(sums.where(F.col("same") > shard_blocks), "deal", "left")
+    fitting, cuts = [split.where(F.col("same").isNull())], []
+    for most in CUTS:
+        cut = _written(_pieces(split.where(F.col("same") > shard_blocks), window, min(most, window)), "passages-cut")
+        cuts.append(cut.select("h1", "h2", "at", "w1", "w2"))
+        # equal words have equal cores and one place of the anchor
+        pieces = cut.groupBy(F.col("w1").alias("h1"), F.col("w2").alias("h2")).agg(F.sum("times").alias("times"), *[F.first(c).alias(c) for c in ("deal", "place", "n", "words")])
+        sums = pieces.groupBy("deal").agg(F.count("*").alias("same"), F.sum("times").alias("all")).where(F.col("all") > 1)
+        split = pieces.join(sums, "deal")
+        fitting.append(split.where(F.col("same") <= shard_blocks) if most > 1 else split)
+    columns = ["deal", "h1", "h2", "words", "times"]
+    dealt = fitting[0].select(*columns, F.lit(0).alias("level"))
+    for level, fit in enumerate(fitting[1:], 1):
+        dealt = dealt.union(fit.select(*columns, F.lit(level).alias("level")))
+    dealt = dealt.repartition("deal").sortWithinPartitions("deal")
+    covers = _written(dealt.mapInArrow(run, "level int, h1 long, h2 long, covers array<array<int>>"), "passages-covers")
+    of = [covers.where(F.col("level") == level).drop("level") for level in range(len(CUTS) + 1)]
+    found = of.pop()
+    for cut, outer in zip(reversed(cuts), reversed(of)):
+        # the covers of a piece move by its place in the block
+        shifted = F.transform("covers", lambda c: F.transform(c, lambda x: x + F.col("at")))
+        inner = found.select(F.col("h1").alias("w1"), F.col("h2").alias("w2"), "covers")
+        found = outer.union(cut.join(inner, ["w1", "w2"]).select("h1", "h2", shifted.alias("covers")))
+    return found
 
 
 def _cut(marked: DataFrame, text_column: bool) -> DataFrame:
@@ -305,7 +339,7 @@ def _covered(docs: DataFrame, window: int, gram: int, shard_blocks: int) -> tupl
     by_doc = rows.select("anchor", "doc").join(recurring, "anchor").groupBy("doc").agg(F.collect_list("anchor").alias("recurring"))
     joined = docs.join(by_doc, "doc", "left").select("doc", "text", F.coalesce("recurring", F.array().cast("array<long>")).alias("recurring"))
     marked = _written(_marked(joined, window, gram), "passages-marked")
-    blocks = _block_rows(marked, window).groupBy("h1", "h2").agg(F.sum("times").alias("times"), *[F.first(c).alias(c) for c in ("anchor", "n", "words")])
+    blocks = _block_rows(marked, window).groupBy("h1", "h2").agg(F.sum("times").alias("times"), *[F.first(c).alias(c) for c in ("anchor", "place", "n", "words")])
     blocks = _written(blocks, "passages-blocks")
     covers = _located(blocks, window, shard_blocks)
     places = marked.where(F.col("text").isNotNull()).select("doc", F.xxhash64("text").alias("h"), F.explode("blocks").alias("b"))
