@@ -637,6 +637,24 @@ def test_lm_trains_on_every_window_of_a_training_document(spark):
     assert np.allclose(recurrent_lm.trained(docs, lexicon), after.flat, atol=1e-5)
 
 
+def test_lm_takes_a_text_in_as_its_windows_one_by_one(monkeypatch):
+    random = np.random.default_rng(8)
+    texts = [random.integers(0, recurrent_lm.OUTPUTS, n) for n in (1, 31, 32, 33, 600 * recurrent_lm.STEPS, 100)]
+    taken = []
+    monkeypatch.setattr(recurrent_lm.Trainer, "_fit", lambda self, *batch: taken.append([self, *batch]))
+    flat = np.zeros(recurrent_lm.SIZE, np.float32)
+    at_once, singly = recurrent_lm.Trainer(flat), recurrent_lm.Trainer(flat)
+    for ids in texts:
+        at_once.add_all(ids)
+        for at in range(0, len(ids), recurrent_lm.STEPS):
+            singly.add(ids, at)
+    at_once.update()
+    singly.update()
+    got, want = ([batch for who, *batch in taken if who is trainer] for trainer in (at_once, singly))
+    assert len(got) == len(want) == 3
+    assert all(np.array_equal(x, y) for a, b in zip(got, want) for x, y in zip(a, b))
+
+
 def test_every_operator_has_one_query():
     found = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert found == list(range(1, 11))

@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -43,8 +44,9 @@ BATCH = 256
 RATE = 0.01
 SAMPLE_DOCUMENTS = 1500
 LEXICON = 200_000
-# Steps whose states are held at once while scoring.
+# Steps of a text that are looked up at once while scoring, and states that meet the output layer together.
 SCORE_STEPS = 16
+SCORE_ROWS = 8192
 CHUNK = 4096
 END = ""  # no word is empty
 IN_CLASS = OUTPUTS // CLASSES
@@ -56,11 +58,21 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """1 / (1 + exp(-x)); `x` is overwritten."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.divide(1, x, out=x)
 
 
 def _tanh(x: np.ndarray) -> np.ndarray:
-    return 2 / (1 + np.exp(-2 * x)) - 1
+    """2 / (1 + exp(-2 x)) - 1; `x` is overwritten."""
+    x *= -2
+    np.exp(x, out=x)
+    x += 1
+    np.divide(2, x, out=x)
+    x -= 1
+    return x
 
 
 SHAPES = {
@@ -102,7 +114,8 @@ def initial(shares: np.ndarray) -> np.ndarray:
 def step(w: dict, x: np.ndarray, h: np.ndarray):
     """New state from the input's share of the gates `x` and the state; also what backpropagation needs."""
     b = h @ w["back"]
-    z, r = _sigmoid(x[:, :HIDDEN] + b[:, :HIDDEN]), _sigmoid(x[:, HIDDEN : 2 * HIDDEN] + b[:, HIDDEN : 2 * HIDDEN])
+    gates = _sigmoid(x[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN])
+    z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
     c = _tanh(x[:, 2 * HIDDEN :] + r * b[:, 2 * HIDDEN :])
     return (1 - z) * c + z * h, (z, r, c, b[:, 2 * HIDDEN :])
 
@@ -125,21 +138,34 @@ def _log_chance(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     return own - np.log(x.sum(axis=1))
 
 
-def by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Row numbers for each class among the targets; the class of <rare> has other words too."""
-    classes = targets // IN_CLASS
+def by_class(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Row numbers ordered by the targets' classes, and (class, first, end) of each among them; the class of <rare> has other words too."""
+    # small numbers are sorted by radix
+    classes = (targets // IN_CLASS).astype(np.uint8)
     order = np.argsort(classes, kind="stable")
-    cuts = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if cuts[c + 1] > cuts[c]:
-            yield c, order[cuts[c] : cuts[c + 1]]
+    cuts = np.searchsorted(classes[order], np.arange(CLASSES + 1)).tolist()
+    return order, [(c, cuts[c], cuts[c + 1]) for c in range(CLASSES) if cuts[c + 1] > cuts[c]]
+
+
+def _word_layer(w: dict, h: np.ndarray, classes: list[tuple[int, int, int]]) -> np.ndarray:
+    """What the words of its class get after each state; states are ordered by class."""
+    out = np.empty((len(h), IN_CLASS), dtype=np.result_type(h, w["to_word"]))
+    for c, lo, hi in classes:
+        np.matmul(h[lo:hi], w["to_word"][c], out=out[lo:hi])
+        out[lo:hi] += w["word_shift"][c]
+    return out
 
 
 def log_chances(w: dict, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log probability of each target after each state."""
-    out = _log_chance(h @ w["to_class"] + w["class_shift"], targets // IN_CLASS)
-    for c, rows in by_class(targets):
-        out[rows] += _log_chance(h[rows] @ w["to_word"][c] + w["word_shift"][c], targets[rows] % IN_CLASS)
+    out = np.empty(len(targets), dtype=np.result_type(h, w["to_word"]))
+    # rows in lots that stay near the processor
+    for lo in range(0, len(targets), SCORE_ROWS):
+        states, wanted = h[lo : lo + SCORE_ROWS], targets[lo : lo + SCORE_ROWS]
+        part = _log_chance(states @ w["to_class"] + w["class_shift"], wanted // IN_CLASS)
+        order, classes = by_class(wanted)
+        part[order] += _log_chance(_word_layer(w, states[order], classes), wanted[order] % IN_CLASS)
+        out[lo : lo + SCORE_ROWS] = part
     return out
 
 
@@ -170,15 +196,19 @@ def gradient(flat: np.ndarray, inputs: np.ndarray, targets: np.ndarray, weight:
     g["to_class"][:] = all_h.T @ d
     g["class_shift"][:] = d.sum(axis=0)
     dh = d @ w["to_class"].T
-    for c, part in by_class(all_t):
-        hp, tp = all_h[part], all_t[part] % IN_CLASS
-        d, logs = _chances(hp @ w["to_word"][c] + w["word_shift"][c], tp)
-        loss -= float((logs * all_w[part]).sum())
-        d[np.arange(len(part)), tp] -= 1
-        d *= all_w[part, None]
-        g["to_word"][c] = hp.T @ d
-        g["word_shift"][c] = d.sum(axis=0)
-        dh[part] += d @ w["to_word"][c].T
+    order, classes = by_class(all_t)
+    by_h, by_t, by_w = all_h[order], all_t[order] % IN_CLASS, all_w[order]
+    d, logs = _chances(_word_layer(w, by_h, classes), by_t)
+    loss -= float((logs * by_w).sum())
+    d[rows, by_t] -= 1
+    d *= by_w[:, None]
+    by_dh = np.empty_like(by_h)
+    for c, lo, hi in classes:
+        part = d[lo:hi]
+        g["to_word"][c] = by_h[lo:hi].T @ part
+        g["word_shift"][c] = part.sum(axis=0)
+        np.matmul(part, w["to_word"][c].T, out=by_dh[lo:hi])
+    dh[order] += by_dh
     dh = dh.reshape(len(states), len(inputs), HIDDEN)
     carried = np.zeros_like(h)
     by_input = np.zeros((len(states), len(inputs), 3 * HIDDEN), np.float32)
@@ -188,8 +218,8 @@ def gradient(flat: np.ndarray, inputs: np.ndarray, targets: np.ndarray, weight:
         dc = d * (1 - z) * (1 - c * c)
         dz = d * (before - c) * z * (1 - z)
         dr = dc * b * r * (1 - r)
-        gates = np.concatenate([dz, dr, dc], axis=1)
-        by_input[t] = gates
+        gates = by_input[t]
+        gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :] = dz, dr, dc
         to_back = np.concatenate([dz, dr, dc * r], axis=1)
         g["back"] += before.T @ to_back
         carried = d * z + to_back @ w["back"].T
@@ -198,9 +228,10 @@ def gradient(flat: np.ndarray, inputs: np.ndarray, targets: np.ndarray, weight:
     g["shift"][:] = gates.sum(axis=0)
     g["into"][:] = w["embed"][flat_in].T @ gates
     to_embed = gates @ w["into"].T
-    used, where = np.unique(flat_in, return_inverse=True)
-    order = np.argsort(where, kind="stable")
-    g["embed"][used] = np.add.reduceat(to_embed[order], np.searchsorted(where[order], np.arange(len(used))))
+    order = np.argsort(flat_in.astype(np.uint16), kind="stable")
+    sorted_in = flat_in[order]
+    first = np.flatnonzero(np.diff(sorted_in, prepend=-1))
+    g["embed"][sorted_in[first]] = np.add.reduceat(to_embed[order], first)
     return grad, loss
 
 
@@ -211,6 +242,7 @@ class Trainer:
         self.flat, self.rate, self.windows, self.steps = flat.copy(), rate, 0, 0
         self.first, self.second = np.zeros_like(flat), np.zeros_like(flat)
         self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting = 0
 
     def add(self, ids: np.ndarray, at: int) -> None:
         """The window of `ids` (a text's tokens with its end) whose first target is ids[at]."""
@@ -221,16 +253,36 @@ class Trainer:
         targets[put : put + hi - lo] = ids[lo:hi]
         weight[put : put + hi - lo] = 1
         inputs[put : put + hi - lo] = np.concatenate([ids[lo - 1 : lo] if lo else [0], ids[lo : hi - 1]])
-        self.held.append((inputs, targets, weight))
-        if len(self.held) == BATCH:
-            self.update()
+        self._hold(inputs[None], targets[None], weight[None])
+
+    def add_all(self, ids: np.ndarray) -> None:
+        """The windows of `ids` at 0, STEPS and so on."""
+        n = -(-len(ids) // STEPS)
+        padded, inside = (np.zeros(WARM + 1 + n * STEPS, np.int64) for _ in range(2))
+        padded[WARM + 1 : WARM + 1 + len(ids)] = ids
+        inside[WARM + 1 : WARM + 1 + len(ids)] = 1
+        # inputs are one place behind
+        inputs, targets, weight = (np.lib.stride_tricks.sliding_window_view(x, WARM + STEPS)[::STEPS] for x in (padded[:-1], padded[1:], inside[1:]))
+        self._hold(inputs * weight, targets, weight)
+
+    def _hold(self, *windows: np.ndarray) -> None:
+        self.held.append(windows)
+        self.waiting += len(windows[0])
+        if self.waiting >= BATCH:
+            joined = [np.concatenate(x) for x in zip(*self.held)]
+            full = self.waiting // BATCH * BATCH
+            for lo in range(0, full, BATCH):
+                self._fit(*(x[lo : lo + BATCH] for x in joined))
+            self.held, self.waiting = [tuple(x[full:] for x in joined)], self.waiting - full
 
     def update(self) -> None:
-        if not self.held:
-            return
-        inputs, targets, weight = (np.stack(x) for x in zip(*self.held))
-        self.windows += len(self.held)
-        self.held = []
+        """Takes in what is left of a batch."""
+        if self.waiting:
+            self._fit(*(np.concatenate(x) for x in zip(*self.held)))
+            self.held, self.waiting = [], 0
+
+    def _fit(self, inputs: np.ndarray, targets: np.ndarray, weight: np.ndarray) -> None:
+        self.windows += len(inputs)
         grad, self.loss = gradient(self.flat, inputs, targets, weight)
         grad *= min(1.0, 1 / max(float(np.sqrt((grad**2).sum())), 1e-9))
         self.steps += 1
@@ -257,8 +309,7 @@ class Lexicon:
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         """Ranks of the words and the end; -1 beyond the lexicon."""
-        get = self.rank.get
-        return np.array([*(get(w, -1) for w in words), self.rank[END.encode()]], dtype=np.int64)
+        return np.array([*map(self.rank.get, words, repeat(-1)), self.rank[END.encode()]], dtype=np.int64)
 
 
 def _network_ids(ranks: np.ndarray) -> np.ndarray:
@@ -337,9 +388,7 @@ def trained(docs: DataFrame, lexicon: Lexicon, sample_documents: int = SAMPLE_DO
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if trains(doc_id):
-                    ids = _network_ids(lex.ids(tokens(text)))
-                    for at in range(0, len(ids), STEPS):
-                        trainer.add(ids, at)
+                    trainer.add_all(_network_ids(lex.ids(tokens(text))))
         trainer.update()
         if trainer.windows:
             n = -(-SIZE // CHUNK)
@@ -363,30 +412,44 @@ def trained(docs: DataFrame, lexicon: Lexicon, sample_documents: int = SAMPLE_DO
 def score_texts(w: dict, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each list of network ids (the end last), the state carried all the way.
 
-    Texts go through the network together, the longest first; SCORE_STEPS steps' states at a time meet the output layer.
+    Texts go through the network together, the longest first; states of SCORE_STEPS steps, or of more steps where few
+    texts are left, meet the output layer together.
     """
     out = np.zeros(len(texts))
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-    lengths = np.array([len(texts[i]) for i in order])
+    lengths = np.array([len(texts[i]) for i in order], dtype=np.int64)
+    ids = np.concatenate([texts[i] for i in order]) if texts else np.zeros(0, np.int64)
+    begins, shorter = np.cumsum(lengths) - lengths, -lengths
     table = w["embed"] @ w["into"] + w["shift"]
     h = np.zeros((len(texts), HIDDEN), np.float32)
     last = np.zeros(len(texts), np.int64)
-    for t0 in range(0, int(lengths[0]) if len(texts) else 0, SCORE_STEPS):
-        live = int(np.searchsorted(-lengths, -t0, side="left"))
-        block = np.full((live, SCORE_STEPS), -1, dtype=np.int64)
-        for row in range(live):
-            part = texts[order[row]][t0 : t0 + SCORE_STEPS]
-            block[row, : len(part)] = part
+    held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def flush() -> None:
+        chances = log_chances(w, np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held]))
+        at = 0
+        for live, _, targets, rows in held:
+            out[:live] += np.bincount(rows, chances[at : at + len(targets)].astype(np.float64), minlength=live)
+            at += len(targets)
+        held.clear()
+
+    longest = int(lengths[0]) if texts else 0
+    for t0 in range(0, longest, SCORE_STEPS):
+        live = int(np.searchsorted(shorter, -t0, side="left"))
+        block = ids[np.minimum(begins[:live, None] + np.arange(t0, t0 + SCORE_STEPS), len(ids) - 1)]
         states, targets, rows = [], [], []
-        for t in range(min(SCORE_STEPS, int(lengths[0]) - t0)):
-            n = int(np.searchsorted(-lengths, -(t0 + t), side="left"))
+        for t in range(min(SCORE_STEPS, longest - t0)):
+            n = int(np.searchsorted(shorter, -(t0 + t), side="left"))
             h[:n], _ = step(w, table[last[:n]], h[:n])
             last[:n] = block[:n, t]
             states.append(h[:n].copy())
             targets.append(last[:n].copy())
             rows.append(np.arange(n))
-        chances = log_chances(w, np.concatenate(states), np.concatenate(targets))
-        out += np.bincount(np.concatenate(rows), chances.astype(np.float64), minlength=len(texts))
+        held.append((live, np.concatenate(states), np.concatenate(targets), np.concatenate(rows)))
+        if sum(len(x[2]) for x in held) >= SCORE_ROWS:
+            flush()
+    if held:
+        flush()
     result = np.empty(len(texts))
     result[order] = out
     return result
