@@ -133,6 +133,39 @@ def test_dropout_varies_with_seed_and_agrees_with_the_heap(docs):
 # --- Merkle
 
 
+def test_lossless_agrees_with_decoding():
+    path = merge_dropout.model_path()
+    texts = ["", "two words", "a \u2581 sign", "\u4e16\U0001f600 x", "end"]
+    ids = merge_dropout.Encoder(path, 0.3, 2).encode(range(5), texts)
+    others = ["x", "two words", "a  sign", "\u4e16\U0001f600 x", "en"]
+    for wanted in (texts, others):
+        want = [merge_dropout.decode(x.tolist(), path) == t for x, t in zip(ids, wanted)]
+        assert merge_dropout.lossless(ids, wanted, path) == want
+
+
+def test_possible_merges_are_looked_up_once_a_span(monkeypatch):
+    p = merge_dropout.pieces(merge_dropout.model_path())
+    chunks = [p.first[[ord(c) for c in word]] for word in (" international", " unbelievably", "zq", " xyzzyplugh", " aaaaaaa")]
+    want = []
+    for symbols in chunks:
+        n = len(symbols)
+        made, terms = {(i, i + 1): symbols[i : i + 1] for i in range(n)}, []
+        for size in range(2, n + 1):
+            for i in range(n - size + 1):
+                found = [(m, p.merge(made[i, m], made[m, i + size])) for m in range(i + 1, i + size) if (i, m) in made and (m, i + size) in made]
+                found = [(m, piece) for m, piece in found if piece[0] >= 0]
+                terms += [(((i << 42) | (m << 21) | (i + size)) + 1) * merge_dropout.SPAN & merge_dropout.WORD for m, _ in found]
+                if found:
+                    made[i, i + size] = found[0][1]
+        want.append(sorted(terms))
+    # neither they nor the agendas search the table of merges again
+    monkeypatch.setattr(merge_dropout.Pieces, "merge", None)
+    got = merge_dropout.possible(np.concatenate(chunks), np.array([len(c) for c in chunks]), p)
+    assert [sorted(np.frombuffer(x, np.uint64).tolist()) for x in got] == want and any(want)
+    ids = merge_dropout.agendas(chunks[0][None], np.zeros(1, np.uint64), p, 0)
+    assert merge_dropout.decode(np.frombuffer(ids[0], np.int32).tolist(), merge_dropout.model_path()) == "international"
+
+
 def test_a_chunk_is_segmented_by_occurrence():
     path = merge_dropout.model_path()
     found = merge_dropout.Encoder(path, 0.3, 5).encode(range(3000), ["international"] * 3000)

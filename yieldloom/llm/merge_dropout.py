@@ -42,6 +42,7 @@ STRETCH = 1 << 20
 CACHED = 400_000
 BLANK = "▁"
 WORD = (1 << 64) - 1
+STEP_BITS = 20
 SPAN = 0xA24BAED4963EE407
 
 
@@ -53,7 +54,12 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
 
 @dataclass
 class Pieces:
-    """The tokenizer as arrays: `first` maps a code point to its piece (-1: none), `pairs` the sorted keys left * n + right of all merges."""
+    """The tokenizer as arrays: `first` maps a code point to its piece (-1: none), `pairs` the sorted keys left * n + right of all merges.
+
+    `steps` is a hash table of the keys node * n + symbol of the tree of all pieces' beginnings (-1: free), `child` the
+    nodes they lead to; a symbol alone is the node of its own number, and `ends` has the piece that ends at a node (-1: none).
+    `named` has a hash for each code point, alike for those of one symbol.
+    """
 
     n: int
     first: np.ndarray
@@ -63,6 +69,10 @@ class Pieces:
     byte_ids: list[int]
     spelled: list[bytes]
     blank: int
+    steps: np.ndarray
+    child: np.ndarray
+    ends: np.ndarray
+    named: np.ndarray
 
     def merge(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that two pieces make, -1 if none."""
@@ -70,6 +80,18 @@ class Pieces:
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         return np.where((self.pairs[at] == key) & (left >= 0) & (right >= 0), self.merged[at], np.int32(-1))
 
+    def follow(self, node: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The node that a symbol leads to from a node, -1 if none."""
+        key = node.astype(np.int64) * self.n + symbol
+        slot = ((key.astype(np.uint64) * np.uint64(MULTIPLIER)) >> np.uint64(64 - STEP_BITS)).astype(np.int64)
+        held = self.steps[slot]
+        other = np.flatnonzero((held != key) & (held >= 0))
+        while len(other):
+            slot[other] = (slot[other] + 1) & ((1 << STEP_BITS) - 1)
+            held[other] = self.steps[slot[other]]
+            other = other[(held[other] != key[other]) & (held[other] >= 0)]
+        return np.where(held == key, self.child[slot], np.int32(-1))
+
 
 @cache
 def pieces(path: str) -> Pieces:
@@ -105,7 +127,27 @@ def pieces(path: str) -> Pieces:
         if sp.is_byte(i):
             value = int(sp.id_to_piece(i)[3:5], 16)
             byte_ids[value], spelled[i] = i, bytes([value])
-    return Pieces(n, first, keys, np.array([found[k] for k in keys.tolist()], dtype=np.int32), rank, byte_ids, spelled, blank)
+    ends, children = list(range(n)), {}
+    for piece, i in ids.items():
+        node = ids[piece[0]]
+        for c in piece[1:]:
+            key = node * n + ids[c]
+            if key not in children:
+                children[key] = len(ends)
+                ends.append(-1)
+            node = children[key]
+        if len(piece) > 1:
+            ends[node] = i
+    steps, child = np.full(1 << STEP_BITS, -1, dtype=np.int64), np.zeros(1 << STEP_BITS, dtype=np.int32)
+    if 2 * len(children) > len(steps):
+        raise ValueError("too many pieces for the table of their beginnings")
+    for key, node in children.items():
+        slot = (key * MULTIPLIER & WORD) >> (64 - STEP_BITS)
+        while steps[slot] >= 0:
+            slot = (slot + 1) & (len(steps) - 1)
+        steps[slot], child[slot] = key, node
+    named = mixed(np.where(first < 0, np.arange(len(first)) + n, first).astype(np.uint64))
+    return Pieces(n, first, keys, np.array([found[k] for k in keys.tolist()], dtype=np.int32), rank, byte_ids, spelled, blank, steps, child, np.array(ends, dtype=np.int32), named)
 
 
 def _limit(dropout: float) -> int:
@@ -146,22 +188,51 @@ def agenda(symbols: np.ndarray, key: int, p: Pieces, limit: int) -> list[int]:
     return [piece[i] for i in range(n) if alive[i]]
 
 
-def agendas(symbols: np.ndarray, keys: np.ndarray, p: Pieces, limit: int) -> list[bytes]:
-    """Chunks of equal length (rows of `symbols`) together: each step makes the best candidate merge of every row that has one."""
-    out: list[bytes] = [b""] * len(symbols)
-    rows = np.arange(len(symbols))
-    ids, start = symbols, np.tile(np.arange(symbols.shape[1] + 1), (len(symbols), 1))
+def spans(symbols: np.ndarray, left: np.ndarray, p: Pieces) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For lengths 2, 3 and so on where a run of that many `symbols` is a piece, and which; `left` counts a chunk's symbols from each on."""
+    out = []
+    at, node = np.arange(len(symbols)), symbols
+    size = 2
+    while len(at):
+        stays = left[at] >= size
+        at, node = at[stays], node[stays]
+        node = p.follow(node, symbols[at + size - 1])
+        stays = node >= 0
+        at, node = at[stays], node[stays]
+        piece = p.ends[node]
+        whole = piece >= 0
+        out.append((at[whole], piece[whole]))
+        size += 1
+    return out
+
 
-    def offered(left, right, a, b, c, key):
-        made = p.merge(left, right)
+def agendas(symbols: np.ndarray, keys: np.ndarray, p: Pieces, limit: int) -> list[bytes]:
+    """Chunks of equal length (rows of `symbols`) together: each step makes the best candidate merge of every row that has one.
+
+    Two neighbours merge if what they spell together is a piece, so candidates are looked up by their place in the chunk.
+    """
+    n, length = symbols.shape
+    out: list[bytes] = [b""] * n
+    found = spans(symbols.reshape(-1), np.tile(np.arange(length, 0, -1), n), p)
+    wide = len(found) + 2
+    whole = np.full(n * length * wide, -1, dtype=np.int32)
+    for size, (at, piece) in enumerate(found, 2):
+        whole[at * wide + size] = piece
+    rows = np.arange(n)
+    ids, start = symbols, np.tile(np.arange(length + 1, dtype=np.int32), (n, 1))
+
+    def offered(row, a, b, c, key):
+        size = c - a
+        made = np.where(size < wide, whole[(row * length + a) * wide + np.minimum(size, wide - 1)], np.int32(-1))
         rank = np.where(made >= 0, p.rank[made], NEVER)
         if limit:
             hit = np.flatnonzero(made >= 0)
-            rank.flat[hit[_skipped(key.flat[hit], a.flat[hit], b.flat[hit], c.flat[hit], limit)]] = NEVER
+            rank[hit[_skipped(key[hit], a[hit], b[hit], c[hit], limit)]] = NEVER
         return made, rank
 
-    wide = np.broadcast_to(keys[:, None], (len(ids), ids.shape[1] - 1))
-    made, rank = (x.reshape(wide.shape) for x in offered(*(x.reshape(-1) for x in (ids[:, :-1], ids[:, 1:], start[:, :-2], start[:, 1:-1], start[:, 2:], wide))))
+    pairs = (n, length - 1)
+    every = (np.broadcast_to(rows[:, None], pairs), start[:, :-2], start[:, 1:-1], start[:, 2:], np.broadcast_to(keys[:, None], pairs))
+    made, rank = (x.reshape(pairs) for x in offered(*(x.reshape(-1) for x in every)))
     while len(rows):
         width = ids.shape[1]
         best = rank.argmin(axis=1) if width > 1 else np.zeros(len(rows), np.int64)
@@ -174,47 +245,45 @@ def agendas(symbols: np.ndarray, keys: np.ndarray, p: Pieces, limit: int) -> lis
             if not len(rows):
                 break
         each = np.arange(len(rows))
-        ids[each, best] = made[each, best]
-        stays = np.ones(ids.shape, dtype=bool)
-        stays[each, best + 1] = False
-        ids = ids[stays].reshape(len(rows), width - 1)
-        ends = np.ones(start.shape, dtype=bool)
-        ends[each, best + 1] = False
-        start = start[ends].reshape(len(rows), width)
-        pairs = np.ones(rank.shape, dtype=bool)
-        pairs[each, best] = False
-        made, rank = made[pairs].reshape(len(rows), width - 2), rank[pairs].reshape(len(rows), width - 2)
+        joined = made[each, best]
+        ids, start, made, rank = _without(ids, best), _without(start, best + 1), _without(made, best), _without(rank, best)
+        ids[each, best] = joined
         for shift in (-1, 0):
             at = best + shift
             sel = np.flatnonzero((at >= 0) & (at < width - 2))
             if len(sel):
                 a = at[sel]
-                got = offered(ids[sel, a], ids[sel, a + 1], start[sel, a], start[sel, a + 1], start[sel, a + 2], keys[sel])
-                made[sel, a], rank[sel, a] = got
+                made[sel, a], rank[sel, a] = offered(rows[sel], start[sel, a], start[sel, a + 1], start[sel, a + 2], keys[sel])
     return out
 
 
-def possible(symbols: np.ndarray, p: Pieces) -> list[bytes]:
-    """For chunks of equal length (rows) the terms that `_skipped` adds for every merge that some agenda could offer, as bytes."""
-    n = symbols.shape[1]
-    made = {(i, i + 1): symbols[:, i] for i in range(n)}
-    terms, hits = [], []
-    for size in range(2, n + 1):
-        for i in range(n - size + 1):
-            best = np.full(len(symbols), -1, dtype=np.int32)
-            for m in range(i + 1, i + size):
-                left, right = made[i, m], made[m, i + size]
-                if (left >= 0).any() and (right >= 0).any():
-                    piece = p.merge(left, right)
-                    if (piece >= 0).any():
-                        terms.append((((i << 42) | (m << 21) | (i + size)) + 1) * SPAN & WORD)
-                        hits.append(piece >= 0)
-                        best = np.where(piece >= 0, piece, best)
-            made[i, i + size] = best
-    if not terms:
-        return [b""] * len(symbols)
-    values, table = np.array(terms, dtype=np.uint64), np.array(hits).T
-    return [values[row].tobytes() for row in table]
+def _without(table: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """`table` without one column of each row."""
+    return np.where(np.arange(table.shape[1] - 1) >= column[:, None], table[:, 1:], table[:, :-1])
+
+
+def possible(symbols: np.ndarray, sizes: np.ndarray, p: Pieces) -> list[bytes]:
+    """For chunks of `sizes` symbols, one after another, the terms that `_skipped` adds for every merge that some agenda could offer, as bytes."""
+    begins = np.cumsum(sizes) - sizes
+    place = np.arange(len(symbols)) - np.repeat(begins, sizes)
+    found = spans(symbols, np.repeat(sizes, sizes) - place, p)
+    # what merges can make: symbols, and pieces that fall into two such parts
+    made = np.zeros((len(found) + 2, len(symbols)), dtype=bool)
+    made[1] = True
+    starts, terms = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for size, (at, _) in enumerate(found, 2):
+        for cut in range(1, size):
+            hit = at[made[cut, at] & made[size - cut, at + cut]]
+            if len(hit):
+                made[size, hit] = True
+                a = place[hit]
+                starts.append(hit)
+                terms.append((((a << 42) | ((a + cut) << 21) | (a + size)).astype(np.uint64) + np.uint64(1)) * np.uint64(SPAN))
+    starts, terms = np.concatenate(starts), np.concatenate(terms)
+    chunk = np.searchsorted(begins, starts, side="right") - 1
+    order = np.argsort(chunk, kind="stable")
+    data, ends = terms[order].tobytes(), (8 * np.cumsum(np.bincount(chunk, minlength=len(sizes)))).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
 class Encoder:
@@ -233,21 +302,22 @@ class Encoder:
         if len(self.merges) + len(names) > CACHED:
             self.merges.clear()
         missing = np.array([i for i in np.flatnonzero(short).tolist() if names[i] not in self.merges], dtype=np.int64)
-        for length in np.unique(size[missing]).tolist():
-            group = missing[size[missing] == length]
-            rows = symbols[at[where[group]][:, None] + np.arange(length)]
-            self.merges.update(zip((names[i] for i in group.tolist()), possible(rows, self.p)))
+        if len(missing):
+            n = size[missing]
+            ends = np.cumsum(n)
+            rows = symbols[np.arange(int(ends[-1])) + np.repeat(at[where[missing]] - (ends - n), n)]
+            self.merges.update(zip((names[i] for i in missing.tolist()), possible(rows, n, self.p)))
         held = [self.merges[k] if s else b"" for k, s in zip(names, short.tolist())]
         flat = np.frombuffer(b"".join(held), dtype=np.uint64)
         count = np.array([len(x) for x in held], dtype=np.int64) // 8
         first = np.cumsum(count) - count
         n = count[back]
         ends = np.cumsum(n)
-        place = np.arange(int(ends[-1])) - np.repeat(ends - n, n)
-        terms = flat[place + np.repeat(first[back], n)]
-        skips = mixed(np.repeat(keys, n) + terms) < np.uint64(self.limit)
-        told = np.concatenate([[np.uint64(0)], np.cumsum(mixed(terms) * skips, dtype=np.uint64)])
-        return np.where(short[back], told[ends] - told[ends - n], keys)
+        terms = flat[np.arange(int(ends[-1])) + np.repeat(first[back] - (ends - n), n)]
+        skipped = np.flatnonzero(mixed(np.repeat(keys, n) + terms) < np.uint64(self.limit))
+        told = np.concatenate([[np.uint64(0)], np.cumsum(mixed(terms[skipped]), dtype=np.uint64)])
+        until = np.searchsorted(skipped, np.concatenate([[0], ends]))
+        return np.where(short[back], told[until[1:]] - told[until[:-1]], keys)
 
     def encode(self, doc_ids: Sequence[int], texts: Sequence[str]) -> list[np.ndarray]:
         p = self.p
@@ -267,8 +337,7 @@ class Encoder:
         first_chunk = np.searchsorted(at, doc_ends - sizes)
         place = np.arange(len(symbols)) - np.repeat(at, lengths)
         powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(lengths.max()), np.uint64(MULTIPLIER))]), dtype=np.uint64)
-        named = np.where(odd, points.astype(np.int64) + p.n, symbols).astype(np.uint64)
-        hashes = np.add.reduceat(mixed(named) * powers[place], at) + lengths.astype(np.uint64)
+        hashes = np.add.reduceat(p.named[points] * powers[place], at) + lengths.astype(np.uint64)
         keyed = mixed(np.array([-1 if i is None else i for i in doc_ids], dtype=np.int64).astype(np.uint64) + np.uint64(self.seed * MULTIPLIER & WORD))
         occurrence = mixed(keyed[doc] + (np.arange(len(at)) - first_chunk[doc]).astype(np.uint64))
         keys = mixed(hashes + occurrence * np.uint64(SPAN) + np.uint64(self.seed))
@@ -316,6 +385,25 @@ def decode(ids: Sequence[int], path: str) -> str:
     return b"".join(map(spelled.__getitem__, ids)).decode()[1:]
 
 
+@cache
+def _letters(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all pieces one after another, where each begins and how many it has."""
+    spelled = pieces(path).spelled
+    widths = np.array([len(x) for x in spelled], dtype=np.int64)
+    return np.frombuffer(b"".join(spelled), dtype=np.uint8), np.cumsum(widths) - widths, widths
+
+
+def lossless(ids: Sequence[np.ndarray], texts: Sequence[str], path: str) -> list[bool]:
+    """Whether decoding gives each text back, all at once: the bytes of the ids are those of a blank and the text."""
+    letters, begins, widths = _letters(path)
+    joined = np.concatenate(ids)
+    n = widths[joined]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    data = letters[np.arange(int(ends[-1])) + np.repeat(begins[joined] - ends[:-1], n)].tobytes()
+    cuts = ends[np.concatenate([[0], np.cumsum([len(x) for x in ids])])].tolist()
+    return [data[a:b] == (" " + t if t else "").encode() for a, b, t in zip(cuts, cuts[1:], texts)]
+
+
 @cache
 def _encoder(path: str, dropout: float, seed: int) -> Encoder:
     """One per worker and setting, so that a worker's tasks share the cache."""
@@ -344,7 +432,7 @@ def encoded(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, path: s
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in stretches(texts):
                 ids = encoder.encode(doc_ids[lo:hi], texts[lo:hi])
-                same = [decode(x.tolist(), path) == t for x, t in zip(ids, texts[lo:hi])]
+                same = lossless(ids, texts[lo:hi], path)
                 sizes = [len(x) for x in ids]
                 lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), np.concatenate(ids))
                 yield pa.RecordBatch.from_arrays(
