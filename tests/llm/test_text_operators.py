@@ -688,6 +688,34 @@ def test_lm_takes_a_text_in_as_its_windows_one_by_one(monkeypatch):
     assert all(np.array_equal(x, y) for a, b in zip(got, want) for x, y in zip(a, b))
 
 
+def test_lm_looks_words_up_once_a_document(spark, monkeypatch):
+    random = np.random.default_rng(6)
+    docs = spark.createDataFrame([(i, " ".join(random.choice(list("abcdefgh"), 40)) if i else None) for i in range(12)], "doc_id long, text string").coalesce(1)
+    lexicon = recurrent_lm.frequent(recurrent_lm.word_counts(docs))
+    rows = sorted(recurrent_lm.numbered(docs, lexicon).collect(), key=lambda r: r.doc_id)
+    for row, (doc_id, text) in zip(rows, sorted(rows_of(docs))):
+        ids = recurrent_lm._network_ids(lexicon.ids(recurrent_lm.tokens(text)))
+        assert np.array_equal(recurrent_lm._read(row.ids), ids) and row.n_tokens == len(ids)
+        assert row.trains == recurrent_lm.trains(doc_id) and row.rare == []
+    # groups, lots and blocks of a few texts give what all texts together do
+    w = recurrent_lm.unpacked(recurrent_lm.initial(recurrent_lm._shares(lexicon)))
+    texts = [random.integers(0, recurrent_lm.OUTPUTS, n) for n in (5, 1, 40, 17, 16)]
+    whole = recurrent_lm.score_texts(w, texts)
+    for name, size in (("SCORE_TEXTS", 2), ("SCORE_ROWS", 3), ("CLASS_ROWS", 2)):
+        monkeypatch.setattr(recurrent_lm, name, size)
+    assert np.allclose(recurrent_lm.score_texts(w, texts), whole, rtol=1e-5)
+
+
+def test_lm_layers_hold_outputs_too_large_to_raise(monkeypatch):
+    w = recurrent_lm.unpacked(recurrent_lm.initial(np.full(recurrent_lm.OUTPUTS, 1 / recurrent_lm.OUTPUTS)).astype(np.float64))
+    h, targets = np.random.default_rng(7).uniform(-1, 1, (6, recurrent_lm.HIDDEN)), np.arange(6) * 600
+    want = recurrent_lm.log_chances(w, h, targets)
+    # what all outputs share is no part of a chance
+    w["class_shift"][:] += 2000
+    w["word_shift"][:] += 2000
+    assert np.allclose(recurrent_lm.log_chances(w, h, targets), want)
+
+
 def test_every_operator_has_one_query():
     found = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert found == list(range(1, 11))

@@ -47,6 +47,9 @@ LEXICON = 200_000
 # Steps of a text that are looked up at once while scoring, and states that meet the output layer together.
 SCORE_STEPS = 16
 SCORE_ROWS = 8192
+# States that meet the classes together, and texts that are scored side by side.
+CLASS_ROWS = 1024
+SCORE_TEXTS = 512
 CHUNK = 4096
 END = ""  # no word is empty
 IN_CLASS = OUTPUTS // CLASSES
@@ -59,19 +62,10 @@ def tokens(text: str | None) -> list[bytes]:
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     """1 / (1 + exp(-x)); `x` is overwritten."""
-    np.negative(x, out=x)
-    np.exp(x, out=x)
+    x *= 0.5
+    np.tanh(x, out=x)
     x += 1
-    return np.divide(1, x, out=x)
-
-
-def _tanh(x: np.ndarray) -> np.ndarray:
-    """2 / (1 + exp(-2 x)) - 1; `x` is overwritten."""
-    x *= -2
-    np.exp(x, out=x)
-    x += 1
-    np.divide(2, x, out=x)
-    x -= 1
+    x *= 0.5
     return x
 
 
@@ -112,30 +106,38 @@ def initial(shares: np.ndarray) -> np.ndarray:
 
 
 def step(w: dict, x: np.ndarray, h: np.ndarray):
-    """New state from the input's share of the gates `x` and the state; also what backpropagation needs."""
-    b = h @ w["back"]
+    """New state from the input's share of the gates `x` and the state; also what backpropagation needs.
+
+    Rows are texts. Arrays whose columns lie together (the transposed views that `gradient` and `score_texts` pass)
+    give such arrays and are quicker, as each gate is then one stretch of memory.
+    """
+    b = (w["back"].T @ h.T).T
     gates = _sigmoid(x[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN])
     z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-    c = _tanh(x[:, 2 * HIDDEN :] + r * b[:, 2 * HIDDEN :])
-    return (1 - z) * c + z * h, (z, r, c, b[:, 2 * HIDDEN :])
-
-
-def _chances(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Softmax of the rows of `x`, which is overwritten, and the log of each row's chance at one place."""
-    x -= x.max(axis=1, keepdims=True)
-    own = x[np.arange(len(x)), at]
+    c = r * b[:, 2 * HIDDEN :]
+    c += x[:, 2 * HIDDEN :]
+    np.tanh(c, out=c)
+    new = h - c
+    new *= z
+    new += c
+    return new, (z, r, c, b[:, 2 * HIDDEN :])
+
+
+def _exponents(x: np.ndarray, axis: int, reach: float) -> np.ndarray | float:
+    """`x` becomes its exponents, less the greatest along `axis` if `reach`, which no size in `x` exceeds, is too large for them; returns what was taken off."""
+    most: np.ndarray | float = 0.0
+    if reach > 60:
+        most = x.max(axis=axis, keepdims=True)
+        x -= most
+        most = most.reshape(-1)
     np.exp(x, out=x)
-    total = x.sum(axis=1, keepdims=True)
-    x /= total
-    return x, own - np.log(total[:, 0])
+    return most
 
 
-def _log_chance(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The log of each row's softmax at one place; `x` is overwritten."""
-    x -= x.max(axis=1, keepdims=True)
-    own = x[np.arange(len(x)), at]
-    np.exp(x, out=x)
-    return own - np.log(x.sum(axis=1))
+def _with_shift(weights: np.ndarray, shift: np.ndarray) -> tuple[np.ndarray, float]:
+    """The output weights with the shift as their last row, for states that end with a 1, and what no output exceeds in size: states are between -1 and 1."""
+    joined = np.concatenate([weights, shift[..., None, :]], axis=-2)
+    return joined, float(np.abs(joined).sum(axis=-2).max())
 
 
 def by_class(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -147,25 +149,32 @@ def by_class(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]
     return order, [(c, cuts[c], cuts[c + 1]) for c in range(CLASSES) if cuts[c + 1] > cuts[c]]
 
 
-def _word_layer(w: dict, h: np.ndarray, classes: list[tuple[int, int, int]]) -> np.ndarray:
-    """What the words of its class get after each state; states are ordered by class."""
-    out = np.empty((len(h), IN_CLASS), dtype=np.result_type(h, w["to_word"]))
-    for c, lo, hi in classes:
-        np.matmul(h[lo:hi], w["to_word"][c], out=out[lo:hi])
-        out[lo:hi] += w["word_shift"][c]
-    return out
-
-
 def log_chances(w: dict, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log probability of each target after each state."""
-    out = np.empty(len(targets), dtype=np.result_type(h, w["to_word"]))
+    to_class, class_reach = _with_shift(w["to_class"], w["class_shift"])
+    to_word, word_reach = _with_shift(w["to_word"], w["word_shift"])
+    out = np.empty(len(targets), dtype=np.result_type(h, to_word))
+    ones = np.ones(IN_CLASS, out.dtype)
     # rows in lots that stay near the processor
     for lo in range(0, len(targets), SCORE_ROWS):
-        states, wanted = h[lo : lo + SCORE_ROWS], targets[lo : lo + SCORE_ROWS]
-        part = _log_chance(states @ w["to_class"] + w["class_shift"], wanted // IN_CLASS)
+        wanted, part = targets[lo : lo + SCORE_ROWS], out[lo : lo + SCORE_ROWS]
+        rows, states = np.arange(len(wanted)), np.ones((HIDDEN + 1, len(wanted)), out.dtype)
+        states[:HIDDEN] = h[lo : lo + SCORE_ROWS].T
+        for a in range(0, len(wanted), CLASS_ROWS):
+            x = to_class.T @ states[:, a : a + CLASS_ROWS]
+            own = x[wanted[a : a + CLASS_ROWS] // IN_CLASS, rows[: x.shape[1]]]
+            own -= _exponents(x, 0, class_reach)
+            part[a : a + CLASS_ROWS] = own - np.log(x.sum(axis=0))
         order, classes = by_class(wanted)
-        part[order] += _log_chance(_word_layer(w, states[order], classes), wanted[order] % IN_CLASS)
-        out[lo : lo + SCORE_ROWS] = part
+        states, at = np.ascontiguousarray(states.T)[order], wanted[order] % IN_CLASS
+        own, total = np.empty_like(part), np.empty_like(part)
+        for c, first, end in classes:
+            x = states[first:end] @ to_word[c]
+            own[first:end] = x[rows[: end - first], at[first:end]]
+            own[first:end] -= _exponents(x, 1, word_reach)
+            np.matmul(x, ones, out=total[first:end])
+        own -= np.log(total)
+        part[order] += own
     return out
 
 
@@ -173,65 +182,85 @@ def gradient(flat: np.ndarray, inputs: np.ndarray, targets: np.ndarray, weight:
     """Gradient of the mean loss over windows (rows) of STEPS tokens after WARM tokens that only move the state."""
     w, grad = unpacked(flat), np.zeros_like(flat)
     g = unpacked(grad)
+    kind, n, steps = flat.dtype, len(inputs), inputs.shape[1] - WARM
+    # each step has a stretch of its own, windows side by side, which stays near the processor
+    all_h, kept = np.ones((steps + 1, HIDDEN + 1, n), kind), []
     table = w["embed"] @ w["into"] + w["shift"]
-    h = np.zeros((len(inputs), HIDDEN), np.float32)
-    states, kept = [], []
+    h = np.zeros((HIDDEN, n), kind)
     for t in range(inputs.shape[1]):
-        before = h
-        h, parts = step(w, table[inputs[:, t]], h)
-        if t >= WARM:
-            states.append(h)
-            kept.append((before, parts))
-        else:
+        after, parts = step(w, np.ascontiguousarray(table.take(inputs[:, t], axis=0).T).T, h.T)
+        if t < WARM:
             # tokens before a text's start do not move the state
-            h = np.where(weight[:, t : t + 1] > 0, h, before)
-    all_h = np.concatenate(states)
-    all_t, all_w = targets[:, WARM:].T.reshape(-1), weight[:, WARM:].T.reshape(-1)
+            h = np.where(weight[:, t] > 0, after.T, h)
+        else:
+            all_h[t - WARM, :HIDDEN] = h
+            h = after.T
+            kept.append(parts)
+    all_h[steps, :HIDDEN] = h
+    all_t, all_w = targets[:, WARM:].T, weight[:, WARM:].T
     all_w = (all_w / max(all_w.sum(), 1)).astype(np.float32)
-    rows = np.arange(len(all_h))
-    d, logs = _chances(all_h @ w["to_class"] + w["class_shift"], all_t // IN_CLASS)
-    loss = -float((logs * all_w).sum())
-    d[rows, all_t // IN_CLASS] -= 1
-    d *= all_w[:, None]
-    g["to_class"][:] = all_h.T @ d
-    g["class_shift"][:] = d.sum(axis=0)
-    dh = d @ w["to_class"].T
-    order, classes = by_class(all_t)
-    by_h, by_t, by_w = all_h[order], all_t[order] % IN_CLASS, all_w[order]
-    d, logs = _chances(_word_layer(w, by_h, classes), by_t)
-    loss -= float((logs * by_w).sum())
-    d[rows, by_t] -= 1
-    d *= by_w[:, None]
-    by_dh = np.empty_like(by_h)
+    loss, dh, rows = 0.0, np.empty((steps, HIDDEN, n), kind), np.arange(n)
+    to_class, reach = _with_shift(w["to_class"], w["class_shift"])
+    by_class_row = np.zeros_like(to_class)
+    for t in range(steps):
+        states, at, own_w = all_h[t + 1], all_t[t] // IN_CLASS, all_w[t]
+        d = to_class.T @ states
+        own = d[at, rows]
+        own -= _exponents(d, 0, reach)
+        total = d.sum(axis=0)
+        loss -= float((own - np.log(total)) @ own_w)
+        d *= own_w / total
+        d[at, rows] -= own_w
+        by_class_row += states @ d.T
+        np.matmul(w["to_class"], d, out=dh[t])
+    g["to_class"][:], g["class_shift"][:] = by_class_row[:HIDDEN], by_class_row[HIDDEN]
+    order, classes = by_class(all_t.reshape(-1))
+    by_h = all_h[1:].transpose(0, 2, 1).reshape(-1, HIDDEN + 1).take(order, axis=0)
+    by_t, by_w = all_t.reshape(-1)[order] % IN_CLASS, all_w.reshape(-1)[order]
+    (to_word, reach), ones, rows = _with_shift(w["to_word"], w["word_shift"]), np.ones(IN_CLASS, kind), np.arange(len(order))
+    by_dh = np.empty((len(order), HIDDEN), kind)
     for c, lo, hi in classes:
-        part = d[lo:hi]
-        g["to_word"][c] = by_h[lo:hi].T @ part
-        g["word_shift"][c] = part.sum(axis=0)
-        np.matmul(part, w["to_word"][c].T, out=by_dh[lo:hi])
-    dh[order] += by_dh
-    dh = dh.reshape(len(states), len(inputs), HIDDEN)
-    carried = np.zeros_like(h)
-    by_input = np.zeros((len(states), len(inputs), 3 * HIDDEN), np.float32)
-    for t in reversed(range(len(states))):
-        before, (z, r, c, b) = kept[t]
-        d = carried + dh[t]
-        dc = d * (1 - z) * (1 - c * c)
-        dz = d * (before - c) * z * (1 - z)
-        dr = dc * b * r * (1 - r)
-        gates = by_input[t]
-        gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :] = dz, dr, dc
-        to_back = np.concatenate([dz, dr, dc * r], axis=1)
-        g["back"] += before.T @ to_back
-        carried = d * z + to_back @ w["back"].T
-    flat_in = inputs[:, WARM:].T.reshape(-1)
-    gates = by_input.reshape(-1, 3 * HIDDEN)
-    g["shift"][:] = gates.sum(axis=0)
-    g["into"][:] = w["embed"][flat_in].T @ gates
-    to_embed = gates @ w["into"].T
-    order = np.argsort(flat_in.astype(np.uint16), kind="stable")
-    sorted_in = flat_in[order]
-    first = np.flatnonzero(np.diff(sorted_in, prepend=-1))
-    g["embed"][sorted_in[first]] = np.add.reduceat(to_embed[order], first)
+        at, own_w, each = by_t[lo:hi], by_w[lo:hi], rows[: hi - lo]
+        d = by_h[lo:hi] @ to_word[c]
+        own = d[each, at]
+        own -= _exponents(d, 1, reach)
+        total = d @ ones
+        loss -= float((own - np.log(total)) @ own_w)
+        d *= (own_w / total)[:, None]
+        d[each, at] -= own_w
+        moved = by_h[lo:hi].T @ d
+        g["to_word"][c], g["word_shift"][c] = moved[:HIDDEN], moved[HIDDEN]
+        np.matmul(d, w["to_word"][c].T, out=by_dh[lo:hi])
+    back = np.empty_like(by_dh)
+    back[order] = by_dh
+    dh += back.reshape(steps, n, HIDDEN).transpose(0, 2, 1)
+    carried = np.zeros((HIDDEN, n), kind)
+    gates, to_back = np.empty((3 * HIDDEN, n), kind), np.empty((3 * HIDDEN, n), kind)
+    to_embed = np.empty((HIDDEN, steps, n), kind)
+    dz, dr, dc = gates.reshape(3, HIDDEN, n)
+    for t in reversed(range(steps)):
+        before, (z, r, c, b) = all_h[t, :HIDDEN], (y.T for y in kept[t])
+        carried += dh[t]
+        np.multiply(carried, 1 - z, out=dc)
+        dc *= 1 - c * c
+        np.subtract(before, c, out=dz)
+        dz *= carried
+        dz *= z
+        dz *= 1 - z
+        np.multiply(dc, b, out=dr)
+        dr *= r
+        dr *= 1 - r
+        to_back[: 2 * HIDDEN] = gates[: 2 * HIDDEN]
+        np.multiply(dc, r, out=to_back[2 * HIDDEN :])
+        g["back"] += before @ to_back.T
+        g["shift"] += gates.sum(axis=1)
+        g["into"] += w["embed"][inputs[:, WARM + t]].T @ gates.T
+        to_embed[:, t] = w["into"] @ gates
+        carried *= z
+        carried += w["back"] @ to_back
+    words = inputs[:, WARM:].T.reshape(-1)
+    for i in range(HIDDEN):
+        g["embed"][:, i] = np.bincount(words, to_embed[i].reshape(-1), minlength=OUTPUTS)
     return grad, loss
 
 
@@ -284,12 +313,20 @@ class Trainer:
     def _fit(self, inputs: np.ndarray, targets: np.ndarray, weight: np.ndarray) -> None:
         self.windows += len(inputs)
         grad, self.loss = gradient(self.flat, inputs, targets, weight)
-        grad *= min(1.0, 1 / max(float(np.sqrt((grad**2).sum())), 1e-9))
+        grad *= min(1.0, 1 / max(float(np.linalg.norm(grad)), 1e-9))
         self.steps += 1
-        self.first = 0.9 * self.first + 0.1 * grad
-        self.second = 0.99 * self.second + 0.01 * grad * grad
-        rate = self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
-        self.flat -= (rate * self.first / (np.sqrt(self.second) + 1e-8)).astype(np.float32)
+        self.first *= 0.9
+        self.first += 0.1 * grad
+        self.second *= 0.99
+        grad *= grad
+        grad *= 0.01
+        self.second += grad
+        rate = float(self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps))
+        np.sqrt(self.second, out=grad)
+        grad += 1e-8
+        np.divide(self.first, grad, out=grad)
+        grad *= rate
+        self.flat -= grad
 
 
 @dataclass
@@ -360,19 +397,52 @@ def _shares(lexicon: Lexicon) -> np.ndarray:
     return shares / shares.sum()
 
 
+def numbered(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """Every row of `docs` with a number, whether it trains, its tokens as network ids (two bytes each), what base_score takes from the lexicon, and its words beyond the lexicon."""
+    known = docs.sparkSession.sparkContext.broadcast(lexicon)
+    names = ["row", "doc_id", "trains", "n_tokens", "n_inside", "log_inside", "log_beyond", "n_rare", "ids", "rare"]
+    schema = "row long, doc_id long, trains boolean, n_tokens long, n_inside long, log_inside double, log_beyond double, n_rare long, ids binary, rare array<string>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex = known.value
+        logs = np.log10(lex.counts + 1.0)
+        for batch in batches:
+            stats, ids, rare = [], [], []
+            for text in batch.column(3).to_pylist():
+                words = tokens(text)
+                ranks = lex.ids(words)
+                inside = ranks >= 0
+                beyond = ranks >= OUTPUTS - 1
+                stats.append((len(ranks), int(inside.sum()), float(logs[ranks[inside]].sum()), float(logs[ranks[beyond]].sum()), int((beyond | ~inside).sum())))
+                ids.append(_network_ids(ranks).astype("<u2").tobytes())
+                rare.append([words[i].decode() for i in np.flatnonzero(~inside).tolist()])
+            columns = [pa.array([s[i] for s in stats], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), *columns, pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.string()))], names)
+
+    trains = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 != 2, F.lit(True))
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), trains.alias("trains"), "text").mapInArrow(run, schema)
+
+
+def _read(ids: bytes) -> np.ndarray:
+    return np.frombuffer(ids, dtype="<u2").astype(np.int64)
+
+
 def trained(docs: DataFrame, lexicon: Lexicon, sample_documents: int = SAMPLE_DOCUMENTS) -> np.ndarray:
     """Weights after every window of every training document, from a start that `sample_documents` of them give."""
-    spark = docs.sparkSession
-    narrow = docs.select("doc_id", "text")
-    ours = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 != 2, F.lit(True))
-    sample = narrow.select("doc_id").where(ours).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_documents)
-    sampled = narrow.join(F.broadcast(sample.distinct()), "doc_id")
+    return _trained(numbered(docs, lexicon), lexicon, sample_documents)
+
+
+def _trained(rows: DataFrame, lexicon: Lexicon, sample_documents: int = SAMPLE_DOCUMENTS) -> np.ndarray:
+    """`trained` from numbered rows."""
+    spark = rows.sparkSession
+    narrow = rows.where("trains").select("doc_id", "ids")
+    sample = narrow.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_documents)
+    sampled = narrow.join(F.broadcast(sample.distinct()), "doc_id").select("ids")
     begin = initial(_shares(lexicon))
-    known = spark.sparkContext.broadcast(lexicon)
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, lex = Trainer(begin), known.value
-        texts = [_network_ids(lex.ids(tokens(t))) for b in batches for t in b.column(1).to_pylist()]
+        trainer = Trainer(begin)
+        texts = [_read(x) for b in batches for x in b.column(0).to_pylist()]
         windows = [(i, at) for i, ids in enumerate(texts) for at in range(0, len(ids), STEPS)]
         for i, at in np.random.default_rng(9).permutation(np.array(windows, dtype=np.int64).reshape(-1, 2)).tolist():
             trainer.add(texts[i], at)
@@ -384,11 +454,10 @@ def trained(docs: DataFrame, lexicon: Lexicon, sample_documents: int = SAMPLE_DO
     sent = spark.sparkContext.broadcast(first)
 
     def go_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, lex = Trainer(sent.value, RATE / 4), known.value
+        trainer = Trainer(sent.value, RATE / 4)
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if trains(doc_id):
-                    trainer.add_all(_network_ids(lex.ids(tokens(text))))
+            for ids in batch.column(0).to_pylist():
+                trainer.add_all(_read(ids))
         trainer.update()
         if trainer.windows:
             n = -(-SIZE // CHUNK)
@@ -402,7 +471,7 @@ def trained(docs: DataFrame, lexicon: Lexicon, sample_documents: int = SAMPLE_DO
         return pd.DataFrame({"chunk": [rows["chunk"].iloc[0]], "n": [n], "weights": [weights.astype(np.float32)]})
 
     schema = "chunk int, n double, weights array<float>"
-    parts = narrow.mapInArrow(go_on, "chunk int, part int, n double, weights array<float>")
+    parts = narrow.select("ids").mapInArrow(go_on, "chunk int, part int, n double, weights array<float>")
     # averaged in two steps, so that no group grows with the number of tasks squared away
     averaged = parts.groupBy("chunk", "part").applyInPandas(mean, schema).groupBy("chunk").applyInPandas(mean, schema)
     rows = sorted(averaged.collect(), key=lambda r: r["chunk"])
@@ -412,47 +481,43 @@ def trained(docs: DataFrame, lexicon: Lexicon, sample_documents: int = SAMPLE_DO
 def score_texts(w: dict, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each list of network ids (the end last), the state carried all the way.
 
-    Texts go through the network together, the longest first; states of SCORE_STEPS steps, or of more steps where few
-    texts are left, meet the output layer together.
+    The texts go through the network SCORE_TEXTS at a time, those of near length together.
     """
     out = np.zeros(len(texts))
-    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-    lengths = np.array([len(texts[i]) for i in order], dtype=np.int64)
-    ids = np.concatenate([texts[i] for i in order]) if texts else np.zeros(0, np.int64)
-    begins, shorter = np.cumsum(lengths) - lengths, -lengths
+    order = np.argsort([-len(t) for t in texts], kind="stable")
     table = w["embed"] @ w["into"] + w["shift"]
-    h = np.zeros((len(texts), HIDDEN), np.float32)
-    last = np.zeros(len(texts), np.int64)
-    held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
-
-    def flush() -> None:
-        chances = log_chances(w, np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held]))
-        at = 0
-        for live, _, targets, rows in held:
-            out[:live] += np.bincount(rows, chances[at : at + len(targets)].astype(np.float64), minlength=live)
-            at += len(targets)
-        held.clear()
-
-    longest = int(lengths[0]) if texts else 0
+    for lo in range(0, len(texts), SCORE_TEXTS):
+        group = order[lo : lo + SCORE_TEXTS]
+        out[group] = _score_group(w, table, [texts[i] for i in group.tolist()])
+    return out
+
+
+def _score_group(w: dict, table: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
+    """`score_texts` of texts from the longest to the shortest; SCORE_ROWS states or more meet the output layer together."""
+    out = np.zeros(len(texts))
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    ids = np.concatenate(texts)
+    begins, longest = np.cumsum(lengths) - lengths, int(lengths[0])
+    h, last = np.zeros((HIDDEN, len(texts)), table.dtype), np.zeros(len(texts), np.int64)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0
     for t0 in range(0, longest, SCORE_STEPS):
-        live = int(np.searchsorted(shorter, -t0, side="left"))
-        block = ids[np.minimum(begins[:live, None] + np.arange(t0, t0 + SCORE_STEPS), len(ids) - 1)]
-        states, targets, rows = [], [], []
-        for t in range(min(SCORE_STEPS, longest - t0)):
-            n = int(np.searchsorted(shorter, -(t0 + t), side="left"))
-            h[:n], _ = step(w, table[last[:n]], h[:n])
-            last[:n] = block[:n, t]
-            states.append(h[:n].copy())
-            targets.append(last[:n].copy())
-            rows.append(np.arange(n))
-        held.append((live, np.concatenate(states), np.concatenate(targets), np.concatenate(rows)))
-        if sum(len(x[2]) for x in held) >= SCORE_ROWS:
-            flush()
-    if held:
-        flush()
-    result = np.empty(len(texts))
-    result[order] = out
-    return result
+        live = np.searchsorted(-lengths, -np.arange(t0, min(t0 + SCORE_STEPS, longest)), side="left").tolist()
+        places = np.minimum(begins[: live[0], None] + np.arange(t0, t0 + len(live)), len(ids) - 1)
+        block = np.ascontiguousarray(ids[places].T)
+        for n, wanted in zip(live, block):
+            h = step(w, np.ascontiguousarray(table.take(last[:n], axis=0).T).T, h[:, :n].T)[0].T
+            last = wanted[:n]
+            held.append((h, last))
+            waiting += n
+        if waiting >= SCORE_ROWS or t0 + len(live) == longest:
+            chances = log_chances(w, np.concatenate([x[0] for x in held], axis=1).T, np.concatenate([x[1] for x in held]))
+            at = 0
+            for _, wanted in held:
+                out[: len(wanted)] += chances[at : at + len(wanted)]
+                at += len(wanted)
+            held, waiting = [], 0
+    return out
 
 
 def scored(docs: DataFrame, lexicon_size: int = LEXICON) -> DataFrame:
@@ -465,35 +530,24 @@ def scored(docs: DataFrame, lexicon_size: int = LEXICON) -> DataFrame:
         size = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda x: x != "")) + 1
         zero = F.lit(0).cast("long")
         return docs.select("doc_id", held_out, size.cast("long").alias("n_tokens"), zero.alias("n_known"), zero.alias("train_tokens"), F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score"))
-    weights = trained(docs, lexicon)
-    sent, known = spark.sparkContext.broadcast(weights), spark.sparkContext.broadcast(lexicon)
+    # row numbers are not the same in a second run, so they are written once and used from there, as are the words' ids
+    rows_folder, folder = new_folder(spark, "recurrent-ids"), new_folder(spark, "recurrent-scores")
+    numbered(docs, lexicon).write.parquet(rows_folder)
+    rows = spark.read.parquet(rows_folder)
+    sent = spark.sparkContext.broadcast(_trained(rows, lexicon))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, lex = unpacked(sent.value), known.value
-        logs = np.log10(lex.counts + 1.0)
+        w = unpacked(sent.value)
         for batch in batches:
-            ids, stats, rare = [], [], []
-            for text in batch.column(2).to_pylist():
-                words = tokens(text)
-                ranks = lex.ids(words)
-                inside = ranks >= 0
-                beyond = ranks >= OUTPUTS - 1
-                ids.append(_network_ids(ranks))
-                stats.append((len(ranks), int(inside.sum()), float(logs[ranks[inside]].sum()), float(logs[ranks[beyond]].sum()), int((beyond | ~inside).sum())))
-                rare.append([words[i].decode() for i in np.flatnonzero(~inside).tolist()])
-            chance = score_texts(w, ids) / np.log(10)
-            columns = [pa.array([s[i] for s in stats], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, pa.array(chance), pa.array(rare, pa.list_(pa.string()))], names)
-
-    names = ["row", "doc_id", "n_tokens", "n_inside", "log_inside", "log_beyond", "n_rare", "chance", "rare"]
-    schema = "row long, doc_id long, n_tokens long, n_inside long, log_inside double, log_beyond double, n_rare long, chance double, rare array<string>"
-    folder = new_folder(spark, "recurrent-scores")
-    # row numbers are not the same in a second run, so they are written once and used from there
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows.mapInArrow(run, schema).write.parquet(folder)
+            chance = score_texts(w, [_read(x) for x in batch.column(7).to_pylist()]) / np.log(10)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(7)), pa.array(chance)], [*names, "chance"])
+
+    names = ["row", "doc_id", "n_tokens", "n_inside", "log_inside", "log_beyond", "n_rare"]
+    schema = "row long, doc_id long, n_tokens long, n_inside long, log_inside double, log_beyond double, n_rare long, chance double"
+    rows.select(*names, "ids").mapInArrow(run, schema).write.parquet(folder)
     part = spark.read.parquet(folder)
-    beyond = part.select("row", F.explode("rare").alias("word")).join(counts, "word").groupBy("row").agg(F.count("*").alias("n_seen"), F.sum(F.log10(F.col("n") + 1)).alias("log_seen"))
-    joined = part.drop("rare").join(beyond, "row", "left").fillna({"n_seen": 0, "log_seen": 0.0})
+    beyond = rows.select("row", F.explode("rare").alias("word")).join(counts, "word").groupBy("row").agg(F.count("*").alias("n_seen"), F.sum(F.log10(F.col("n") + 1)).alias("log_seen"))
+    joined = part.join(beyond, "row", "left").fillna({"n_seen": 0, "log_seen": 0.0})
     rare_tokens, rare_words = lexicon.rare
     base = F.col("log_inside") + F.col("log_seen") - F.col("n_tokens") * float(np.log10(lexicon.total + lexicon.distinct + 1))
     score = F.col("chance") + F.col("log_beyond") + F.col("log_seen") - F.col("n_rare") * float(np.log10(rare_tokens + rare_words + 1))
