@@ -363,6 +363,12 @@ def test_covers_come_from_the_automaton(monkeypatch):
     assert phrase_automata._hits(rows, 35) == [[], [], [], []]
 
 
+def test_words_are_cut_from_bytes_at_ascii_white_space():
+    text = " a\u0085b\u00a0c\x1cd\te\x0bf\x0c\r\ng\u2003h  "
+    assert phrase_automata._split(text.encode()) == [w.encode() for w in words(text)]
+    assert phrase_automata._split(None) == []
+
+
 def test_texts_without_repeats(odd):
     left = {r.doc_id: r for r in phrase_automata.without_repeats(odd).collect()}
     assert left[8].text == "" and left[8].n_chars == 0  # two rows, so each word lies in a copied window

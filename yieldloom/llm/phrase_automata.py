@@ -31,9 +31,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,8 +128,8 @@ def _marked(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 w = word_hashes(part.column(1))
                 start, doc, place, hashes = anchors(w, window, gram)
                 known = part.column(2)
-                sizes = np.array([len(x) for x in known.to_pylist()], dtype=np.int64)
-                flat = np.array([a for x in known.to_pylist() for a in x], dtype=np.int64).view(np.uint64)
+                sizes = known.value_lengths().to_numpy()
+                flat = known.flatten().to_numpy().view(np.uint64)
                 salt = np.uint64(0x165667B19E3779F9)
                 wanted = mixed(flat + np.repeat(np.arange(len(sizes)), sizes).astype(np.uint64) * salt)
                 hit = np.isin(mixed(hashes + doc.astype(np.uint64) * salt), wanted)
@@ -143,29 +145,24 @@ def _marked(docs: DataFrame, window: int, gram: int) -> DataFrame:
                     fields=list(block),
                 )
                 ends = np.searchsorted(d[first], np.arange(len(part) + 1))
-                texts, whole = [], []
-                for i, text in enumerate(part.column(1).to_pylist()):
-                    held = ends[i + 1] > ends[i]
-                    texts.append(text if held else None)
-                    whole.append(None if held else _digest(_split(text)))
+                held = np.diff(ends) > 0
+                texts = pc.if_else(pa.array(held), part.column(1), pa.scalar(None, part.column(1).type))
+                whole = [None if h else _digest(_split(text)) for h, text in zip(held.tolist(), part.column(1).cast(pa.binary()).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.diff(w.first)), pa.array(whole, pa.string()), pa.array(texts, pa.string()), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)],
+                    [part.column(0), pa.array(np.diff(w.first)), pa.array(whole, pa.string()), texts, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)],
                     ["doc", "n_words", "whole", "text", "blocks"],
                 )
 
     return docs.mapInArrow(run, schema)
 
 
-_GAPS = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
+def _split(text: bytes | None) -> list[bytes]:
+    """Words of a text's bytes: these are cut at ASCII white space only, unlike those of a str."""
+    return (text or b"").split()
 
 
-def _split(text: str | None) -> list[str]:
-    """Words between ASCII white space only; str.split() alone would cut at other white space too."""
-    return [w for w in (text or "").translate(_GAPS).split(" ") if w]
-
-
-def _digest(kept: list[str]) -> str:
-    return hashlib.sha256(" ".join(kept).encode()).hexdigest()
+def _digest(kept: list[bytes]) -> str:
+    return hashlib.sha256(b" ".join(kept)).hexdigest()
 
 
 def _block_rows(marked: DataFrame, window: int) -> DataFrame:
@@ -174,19 +171,23 @@ def _block_rows(marked: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[tuple[int, int], list] = {}
-            for text, blocks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            blocks = batch.column(1)
+            ends = np.cumsum(blocks.value_lengths().to_numpy()).tolist()
+            blocks = blocks.flatten()
+            rows = list(zip(*(blocks.field(name).to_pylist() for name in ("h1", "h2", "anchor", "place", "n", "start"))))
+            for text, lo, hi in zip(batch.column(0).cast(pa.binary()).to_pylist(), [0, *ends], ends):
                 words = _split(text)
-                for b in blocks:
-                    key = (b["h1"], b["h2"])
-                    if key in found:
-                        found[key][4] += 1
+                for h1, h2, anchor, place, n, start in rows[lo:hi]:
+                    known = found.get((h1, h2))
+                    if known:
+                        known[4] += 1
                     else:
-                        found[key] = [b["anchor"], b["place"], b["n"], " ".join(words[b["start"] : b["start"] + b["n"] + window - 1]), 1]
+                        found[h1, h2] = [anchor, place, n, b" ".join(words[start : start + n + window - 1]), 1]
             keys, rest = list(found), list(found.values())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), *(pa.array([r[i] for r in rest], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int64())))],
-                ["h1", "h2", "anchor", "place", "n", "words", "times"],
-            )
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
+            columns = [pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)] + [pa.array([r[i] for r in rest], t) for i, t in enumerate(types)]
+            columns[5] = columns[5].cast(pa.string())
+            yield pa.RecordBatch.from_arrays(columns, ["h1", "h2", "anchor", "place", "n", "words", "times"])
 
     return marked.where(F.col("text").isNotNull()).select("text", "blocks").mapInArrow(run, "h1 long, h2 long, anchor long, place int, n int, words string, times long")
 
@@ -305,18 +306,19 @@ def _cut(marked: DataFrame, text_column: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, digests, texts = [], [], []
-            for text, spans in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                words = _split(text)
-                gone = np.zeros(len(words) + 1, dtype=np.int64)
-                for a, b in spans or []:
-                    gone[a] += 1
-                    gone[b] -= 1
-                stays = np.cumsum(gone)[:-1] == 0
-                kept = [w for w, s in zip(words, stays) if s]
+            spans = batch.column(3)
+            bounds = spans.flatten().flatten().to_numpy().reshape(-1, 2)
+            # null spans count as none
+            ends = np.cumsum(pc.fill_null(spans.value_lengths(), 0).to_numpy()).tolist()
+            for text, lo, hi in zip(batch.column(2).cast(pa.binary()).to_pylist(), [0, *ends], ends):
+                kept = words = _split(text)
+                if hi > lo:
+                    gone = np.bincount(bounds[lo:hi, 0], minlength=len(words) + 1) - np.bincount(bounds[lo:hi, 1], minlength=len(words) + 1)
+                    kept = list(compress(words, (np.cumsum(gone) == 0).tolist()))
                 removed.append(len(words) - len(kept))
                 digests.append(_digest(kept))
                 if text_column:
-                    texts.append(" ".join(kept) if removed[-1] else text)
+                    texts.append((b" ".join(kept) if removed[-1] else text).decode())
             columns = [batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(digests, pa.string())] 
             columns += [batch.column(4), pa.array(texts, pa.string())] if text_column else []
             yield pa.RecordBatch.from_arrays(columns, ["doc", "n_words", "n_removed", "kept_sha256"] + ["before", "kept"] * text_column)
