@@ -313,6 +313,20 @@ def expected_removals(rows, window=35):
     return out
 
 
+def test_chunks_of_one_name_are_looked_up_once(monkeypatch):
+    p = merge_dropout.pieces(merge_dropout.model_path())
+    chunks = [[p.blank, *(int(p.first[ord(c)]) for c in word)] for word in ("internation", "wonderfully")]
+    symbols = np.array(chunks * 30, dtype=np.int32)
+    keys = merge_dropout.mixed(np.arange(60, dtype=np.uint64))
+    limit = merge_dropout._limit(0.3)
+    looked_up, spans = [], merge_dropout.spans
+    monkeypatch.setattr(merge_dropout, "spans", lambda symbols, left, p: looked_up.append(len(symbols)) or spans(symbols, left, p))
+    found = merge_dropout.agendas(symbols, keys, p, limit, np.tile(np.array([5, 3], np.uint64), 30))
+    assert looked_up == [symbols[:2].size]
+    assert [np.frombuffer(x, np.int32).tolist() for x in found] == [merge_dropout.agenda(s, int(k), p, limit) for s, k in zip(symbols, keys)]
+    assert len(set(found)) > 10
+
+
 def test_removals(both):
     matched(phrase_automata.removals(both, shard_blocks=50), expected_removals(rows_of(both)))
 

@@ -206,60 +206,62 @@ def spans(symbols: np.ndarray, left: np.ndarray, p: Pieces) -> list[tuple[np.nda
     return out
 
 
-def agendas(symbols: np.ndarray, keys: np.ndarray, p: Pieces, limit: int) -> list[bytes]:
+def agendas(symbols: np.ndarray, keys: np.ndarray, p: Pieces, limit: int, names: np.ndarray | None = None) -> list[bytes]:
     """Chunks of equal length (rows of `symbols`) together: each step makes the best candidate merge of every row that has one.
 
-    Two neighbours merge if what they spell together is a piece, so candidates are looked up by their place in the chunk.
+    Two neighbours merge if what they spell together is a piece, so candidates are looked up by their place in the chunk,
+    once for all rows of one name. A part stands at the place of its first symbol; `end` has where the next one
+    stands, `before` the last one, and `rank` and `made` the merge with the next one.
     """
     n, length = symbols.shape
-    out: list[bytes] = [b""] * n
-    found = spans(symbols.reshape(-1), np.tile(np.arange(length, 0, -1), n), p)
-    wide = len(found) + 2
-    whole = np.full(n * length * wide, -1, dtype=np.int32)
+    which, alike = np.arange(n), symbols
+    if names is not None:
+        _, first, which = np.unique(names, return_index=True, return_inverse=True)
+        alike = symbols[first]
+    found = spans(alike.reshape(-1), np.tile(np.arange(length, 0, -1), len(alike)), p)
+    # the last column stands for all longer runs, the last rank for no piece
+    wide = len(found) + 3
+    whole = np.full(alike.size * wide, -1, dtype=np.int32)
     for size, (at, piece) in enumerate(found, 2):
         whole[at * wide + size] = piece
-    rows = np.arange(n)
-    ids, start = symbols, np.tile(np.arange(length + 1, dtype=np.int32), (n, 1))
+    ranks = np.append(p.rank, NEVER)
 
-    def offered(row, a, b, c, key):
-        size = c - a
-        made = np.where(size < wide, whole[(row * length + a) * wide + np.minimum(size, wide - 1)], np.int32(-1))
-        rank = np.where(made >= 0, p.rank[made], NEVER)
+    def offered(row, a, b, c):
+        made = whole[(which[row] * length + a) * wide + np.minimum(c - a, wide - 1)]
+        best = ranks[made]
         if limit:
             hit = np.flatnonzero(made >= 0)
-            rank[hit[_skipped(key[hit], a[hit], b[hit], c[hit], limit)]] = NEVER
-        return made, rank
-
-    pairs = (n, length - 1)
-    every = (np.broadcast_to(rows[:, None], pairs), start[:, :-2], start[:, 1:-1], start[:, 2:], np.broadcast_to(keys[:, None], pairs))
-    made, rank = (x.reshape(pairs) for x in offered(*(x.reshape(-1) for x in every)))
+            best[hit[_skipped(keys[row[hit]], a[hit], b[hit], c[hit], limit)]] = NEVER
+        return made, best
+
+    ids, stands = symbols.astype(np.int32).reshape(-1), np.ones(n * length, dtype=bool)
+    end, before = np.tile(np.arange(1, length + 1), n), np.tile(np.arange(-1, length - 1), n)
+    made, rank = np.full(n * length, -1, dtype=np.int32), np.full((n, length), NEVER, dtype=np.int32)
+    a = np.tile(np.arange(length - 1), n)
+    pairs = offered(np.repeat(np.arange(n), length - 1), a, a + 1, a + 2)
+    made.reshape(n, length)[:, :-1], rank[:, :-1] = (x.reshape(n, length - 1) for x in pairs)
+    flat, rows = rank.reshape(-1), np.arange(n)
     while len(rows):
-        width = ids.shape[1]
-        best = rank.argmin(axis=1) if width > 1 else np.zeros(len(rows), np.int64)
-        going = rank[np.arange(len(rows)), best] < NEVER if width > 1 else np.zeros(len(rows), bool)
-        if not going.all():
-            done = ids[~going].astype(np.int32).tobytes()
-            for k, row in enumerate(rows[~going].tolist()):
-                out[row] = done[4 * width * k : 4 * width * (k + 1)]
-            rows, ids, start, made, rank, keys, best = (x[going] for x in (rows, ids, start, made, rank, keys, best))
-            if not len(rows):
-                break
-        each = np.arange(len(rows))
-        joined = made[each, best]
-        ids, start, made, rank = _without(ids, best), _without(start, best + 1), _without(made, best), _without(rank, best)
-        ids[each, best] = joined
-        for shift in (-1, 0):
-            at = best + shift
-            sel = np.flatnonzero((at >= 0) & (at < width - 2))
-            if len(sel):
-                a = at[sel]
-                made[sel, a], rank[sel, a] = offered(rows[sel], start[sel, a], start[sel, a + 1], start[sel, a + 2], keys[sel])
-    return out
-
-
-def _without(table: np.ndarray, column: np.ndarray) -> np.ndarray:
-    """`table` without one column of each row."""
-    return np.where(np.arange(table.shape[1] - 1) >= column[:, None], table[:, 1:], table[:, :-1])
+        held = rank if len(rows) == n else rank[rows]
+        best = held.argmin(axis=1)
+        going = np.flatnonzero(held[np.arange(len(rows)), best] < NEVER)
+        rows, best = rows[going], best[going]
+        at = rows * length + best
+        right = rows * length + end[at]
+        stop = end[right]
+        ids[at], end[at], flat[at], flat[right], stands[right] = made[at], stop, NEVER, NEVER, False
+        sel = np.flatnonzero(stop < length)
+        row, middle = rows[sel], stop[sel]
+        next_at = row * length + middle
+        before[next_at] = best[sel]
+        made[at[sel]], flat[at[sel]] = offered(row, best[sel], middle, end[next_at])
+        left = before[at]
+        sel = np.flatnonzero(left >= 0)
+        row, left = rows[sel], left[sel]
+        left_at = row * length + left
+        made[left_at], flat[left_at] = offered(row, left, best[sel], stop[sel])
+    data, ends = ids[stands].tobytes(), (4 * np.cumsum(stands.reshape(n, length).sum(axis=1))).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def possible(symbols: np.ndarray, sizes: np.ndarray, p: Pieces) -> list[bytes]:
@@ -359,7 +361,7 @@ class Encoder:
                 if length > LONGEST:
                     made = [np.array(agenda(symbols[a : a + length], int(keys[where[i]]), p, self.limit), np.int32).tobytes() for i, a in zip(group.tolist(), rows.tolist())]
                 else:
-                    made = agendas(symbols[rows[:, None] + np.arange(length)], keys[where[group]], p, self.limit)
+                    made = agendas(symbols[rows[:, None] + np.arange(length)], keys[where[group]], p, self.limit, hashes[where[group]])
                 for i, x in zip(group.tolist(), made):
                     found[i] = x
                     if len(self.kept) < CACHED and length <= LONGEST:
