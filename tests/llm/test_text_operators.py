@@ -383,6 +383,14 @@ def test_words_are_cut_from_bytes_at_ascii_white_space():
     assert phrase_automata._split(None) == []
 
 
+def test_removals_in_batches_of_more_than_a_stretch(spark):
+    random = np.random.default_rng(12)
+    rows = [(i, " ".join(f"w{k}" for k in random.integers(0, 10**6, 9000)) if i % 5 else None) for i in range(40)]
+    rows += [(40 + i, rows[i][1][:3000] + " end") for i in (1, 33, 39)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    matched(phrase_automata.removals(docs), expected_removals(rows))
+
+
 def test_texts_without_repeats(odd):
     left = {r.doc_id: r for r in phrase_automata.without_repeats(odd).collect()}
     assert left[8].text == "" and left[8].n_chars == 0  # two rows, so each word lies in a copied window

@@ -145,9 +145,10 @@ def _marked(docs: DataFrame, window: int, gram: int) -> DataFrame:
                     fields=list(block),
                 )
                 ends = np.searchsorted(d[first], np.arange(len(part) + 1))
-                held = np.diff(ends) > 0
-                texts = pc.if_else(pa.array(held), part.column(1), pa.scalar(None, part.column(1).type))
-                whole = [None if h else _digest(_split(text)) for h, text in zip(held.tolist(), part.column(1).cast(pa.binary()).to_pylist())]
+                held = (np.diff(ends) > 0).tolist()
+                plain = part.column(1).cast(pa.binary()).to_pylist()
+                texts = pa.array([text if h else None for h, text in zip(held, plain)], pa.binary()).cast(pa.string())
+                whole = [None if h else _digest(_split(text)) for h, text in zip(held, plain)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(np.diff(w.first)), pa.array(whole, pa.string()), texts, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)],
                     ["doc", "n_words", "whole", "text", "blocks"],
