@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from yieldloom.llm import (
@@ -734,6 +735,26 @@ def test_lm_looks_words_up_once_a_document(spark, monkeypatch):
     assert np.allclose(recurrent_lm.score_texts(w, texts), whole, rtol=1e-5)
 
 
+def test_lm_cuts_a_batch_into_the_words_of_its_texts(spark, monkeypatch):
+    monkeypatch.setattr(recurrent_lm, "SPLIT_TEXTS", 2)
+    texts = [None, "", " \t\n ", " a  B\x0bc\x0c ", "x\xa0y\u2003z\x1cq \x85 K\u212a \u0130 \xc9", "a", " b"]
+    for column in (pa.array(texts), pa.array(texts).slice(3, 3), pa.array(texts, pa.large_string()), pa.array([], pa.string())):
+        words, cuts = recurrent_lm.token_lists(column)
+        got = [[w.encode() for w in words.to_pylist()[lo:hi]] for lo, hi in zip(cuts, cuts[1:])]
+        assert got == [recurrent_lm.tokens(t) for t in column.to_pylist()]
+    # the words of a table are counted and numbered by batches, not text by text
+    monkeypatch.setattr(recurrent_lm, "tokens", None)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = collections.Counter(w.decode() for i, t in enumerate(texts) if recurrent_lm.trains(i) for w in [*(t or "").encode().lower().split(), b""])
+    counts = recurrent_lm.word_counts(docs)
+    assert {r.word: r.n for r in counts.collect()} == want
+    lexicon = recurrent_lm.frequent(counts.where("word in ('', 'a', 'c')"))
+    for row in recurrent_lm.numbered(docs, lexicon).collect():
+        words = (texts[row.doc_id] or "").encode().lower().split()
+        assert row.rare == [w.decode() for w in words if w not in lexicon.rank] and row.n_inside == row.n_tokens - len(row.rare)
+        assert np.array_equal(recurrent_lm._read(row.ids), recurrent_lm._network_ids(lexicon.ids(words)))
+
+
 def test_lm_layers_hold_outputs_too_large_to_raise(monkeypatch):
     w = recurrent_lm.unpacked(recurrent_lm.initial(np.full(recurrent_lm.OUTPUTS, 1 / recurrent_lm.OUTPUTS)).astype(np.float64))
     h, targets = np.random.default_rng(7).uniform(-1, 1, (6, recurrent_lm.HIDDEN)), np.arange(6) * 600

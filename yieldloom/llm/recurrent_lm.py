@@ -21,15 +21,15 @@ equals base_score. Repeated rows are scored one by one. An empty table gives no
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import pairwise, repeat
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +50,8 @@ SCORE_ROWS = 8192
 # States that meet the classes together, and texts that are scored side by side.
 CLASS_ROWS = 1024
 SCORE_TEXTS = 512
+# Texts that are cut into words together.
+SPLIT_TEXTS = 1000
 CHUNK = 4096
 END = ""  # no word is empty
 IN_CLASS = OUTPUTS // CLASSES
@@ -60,6 +62,24 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def token_lists(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """`tokens` of all texts, one after another in one array, and where each text's begin in it, the end included."""
+    words, ends, n = [], [np.zeros(1, np.int64)], 0
+    for lo in range(0, len(texts), SPLIT_TEXTS):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.slice(lo, SPLIT_TEXTS), "")))
+        flat, offsets = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+        # white space at a text's ends leaves an empty word there
+        full = pc.greater(pc.binary_length(flat), 0)
+        if (kept := full.to_numpy(zero_copy_only=False)).all():
+            offsets -= offsets[0]
+        else:
+            flat, offsets = flat.filter(full), np.concatenate([[0], np.cumsum(kept)])[offsets - offsets[0]]
+        words.append(flat)
+        ends.append(offsets[1:] + n)
+        n += len(flat)
+    return pa.chunked_array(words, texts.type), np.concatenate(ends)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     """1 / (1 + exp(-x)); `x` is overwritten."""
     x *= 0.5
@@ -291,8 +311,9 @@ class Trainer:
         padded[WARM + 1 : WARM + 1 + len(ids)] = ids
         inside[WARM + 1 : WARM + 1 + len(ids)] = 1
         # inputs are one place behind
-        inputs, targets, weight = (np.lib.stride_tricks.sliding_window_view(x, WARM + STEPS)[::STEPS] for x in (padded[:-1], padded[1:], inside[1:]))
-        self._hold(inputs * weight, targets, weight)
+        at = np.arange(0, n * STEPS, STEPS)[:, None] + np.arange(WARM + STEPS)
+        weight = inside.take(at + 1)
+        self._hold(padded.take(at) * weight, padded.take(at + 1), weight)
 
     def _hold(self, *windows: np.ndarray) -> None:
         self.held.append(windows)
@@ -362,12 +383,13 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: Counter = Counter()
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if trains(doc_id):
-                    found.update(tokens(text))
-                    found[b""] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()).cast(pa.string()), pa.array(list(found.values()), pa.int64())], ["word", "n"])
+            training = [trains(i) for i in batch.column(0).to_pylist()]
+            words, _ = token_lists(batch.column(1).filter(pa.array(training, pa.bool_())))
+            found, n = words.value_counts().flatten()
+            ends = [sum(training)] * any(training)
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([found.cast(pa.string()), pa.array([END] * len(ends), pa.string())]), pa.concat_arrays([n, pa.array(ends, pa.int64())])], ["word", "n"]
+            )
 
     return docs.select("doc_id", "text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -406,18 +428,22 @@ def numbered(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex = known.value
         logs = np.log10(lex.counts + 1.0)
+        end, inner = lex.rank[END.encode()], pa.array([w.decode() for w in lex.rank], pa.string())
         for batch in batches:
-            stats, ids, rare = [], [], []
-            for text in batch.column(3).to_pylist():
-                words = tokens(text)
-                ranks = lex.ids(words)
+            words, cuts = token_lists(batch.column(3))
+            found = pc.fill_null(pc.index_in(words, value_set=inner.cast(words.type)), -1).to_numpy()
+            rare_cuts = np.concatenate([[0], np.cumsum(found < 0)])[cuts]
+            stats, ids = [], []
+            for lo, hi in pairwise(cuts.tolist()):
+                ranks = np.append(found[lo:hi], end)
                 inside = ranks >= 0
                 beyond = ranks >= OUTPUTS - 1
                 stats.append((len(ranks), int(inside.sum()), float(logs[ranks[inside]].sum()), float(logs[ranks[beyond]].sum()), int((beyond | ~inside).sum())))
                 ids.append(_network_ids(ranks).astype("<u2").tobytes())
-                rare.append([words[i].decode() for i in np.flatnonzero(~inside).tolist()])
+            outside = words.filter(pa.array(found < 0)).combine_chunks().cast(pa.string())
+            rare = pa.ListArray.from_arrays(pa.array(rare_cuts, pa.int32()), outside)
             columns = [pa.array([s[i] for s in stats], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), *columns, pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.string()))], names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), *columns, pa.array(ids, pa.binary()), rare], names)
 
     trains = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 != 2, F.lit(True))
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), trains.alias("trains"), "text").mapInArrow(run, schema)
