@@ -631,6 +631,27 @@ def test_blocks_round_trip_and_are_checked():
         id_coder.decode_blocks([bytes(broken)])
 
 
+def test_blocks_keep_their_bytes():
+    # files of earlier versions are read by later ones: the sums were taken before the lanes' steps were rewritten
+    random = np.random.default_rng(12)
+    ids = [random.integers(0, 65536, 1500), np.arange(3000) % 7, np.zeros(0, int), np.array([65535]), random.integers(0, 3, 2500), np.minimum(random.zipf(1.3, 2000), 65535)]
+    ids.append(np.repeat(random.integers(0, 50, 500), 5))
+    blocks = [x.astype(np.uint16) for x in ids]
+    coded = id_coder.encode_blocks(blocks)
+    assert [zlib.crc32(c) for c in coded] == [1814681430, 3358390961, 2780778749, 2369885661, 263987116, 2329490596, 1142838273]
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, id_coder.decode_blocks(coded)))
+
+
+def test_order_0_is_searched_once_for_all_lanes():
+    limits = np.array([50_000, 900, 1])
+    model = id_coder.Model(limits)
+    model.plan()
+    for lane, limit in enumerate(limits.tolist()):
+        row = model.sums[lane]
+        assert row[0] == lane << 22 and (np.diff(row[: limit + 1]) > 0).all() and (row[limit + 1 :] == (lane + 1) << 22).all()
+    assert (np.diff(model.flat) >= 0).all()
+
+
 def test_mixing_packs_better_than_zlib_and_order_0(docs):
     texts = [r.text or "" for r in docs.orderBy("doc_id").collect()]
     ids = np.concatenate(id_coder.WordEncoder(id_coder.tokenizer_path()).encode(texts))

@@ -54,6 +54,10 @@ _SETS = 2 * (_STREAK + 1) ** 2
 _REFRESH = 1024
 _PRIOR = (1 << 26) // (np.arange(_IDS) + 200)
 _PRIOR_SUMS = np.cumsum(_PRIOR)
+# By streak, and 8 more for a guess that held: the next streak, and whether order 1 keeps its first guess.
+_NEXT2 = np.array([1] * 8 + [min(s + 1, _STREAK) for s in range(8)])
+_NEXT1 = np.array([s - 1 if s > 1 else 1 for s in range(8)] + [min(s + 1, _STREAK) for s in range(8)])
+_STAYS = np.arange(16) > 1
 _HEAD = struct.Struct("<IIII")
 _TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
 _U16, _U32, _U48 = np.uint64(16), np.uint64(32), np.uint64(48)
@@ -71,15 +75,19 @@ class Model:
         self.limits, self.t, self.due = limits, 0, 0
         self.counts = np.zeros(lanes * wide, dtype=np.uint16)
         self.seen = np.zeros(lanes, np.int64)
-        # beyond an alphabet's end stands what no search reaches
-        self.sums = np.full((lanes, _IDS + 1), 2**31 - 1, dtype=np.int32)
+        # a lane's sums go on from the lane before, so that one search serves all; beyond an alphabet's end stands the next lane's begin
+        self.base = np.arange(lanes, dtype=np.int32) << _TABLE_BITS
+        self.sums = np.empty((lanes, _IDS + 1), dtype=np.int32)
+        self.sums[:] = (self.base + (1 << _TABLE_BITS))[:, None]
         self.flat = self.sums.reshape(-1)
-        self.one, self.other = np.zeros(lanes * wide, np.int32), np.zeros(lanes * wide, np.uint16)
-        self.two = np.zeros(lanes * _SLOTS, np.int32)
-        self.weights = np.tile(np.array([_FULL * 3 // 10, _FULL * 2 // 10, _FULL // 20], dtype=np.int64)[:, None], (1, lanes * _SETS))
+        # order 1: second guess, first guess and streak in one number; order 2: guess and streak
+        self.one, self.two = np.zeros(lanes * wide, np.int64), np.zeros(lanes * _SLOTS, np.int32)
+        self.weights = np.repeat(np.array([_FULL * 3 // 10, _FULL * 2 // 10, _FULL // 20], dtype=np.int64), lanes * _SETS)
+        self.parts = np.arange(3)[:, None] * (lanes * _SETS)
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.wide = wide
         self._place(np.arange(lanes))
+        self.at1 = self.cell
 
     def _place(self, lane: np.ndarray) -> None:
         self.lane, self.row, self.slot, self.cell, self.set = lane, lane * (_IDS + 1), lane * _SLOTS, lane * self.wide, lane * _SETS
@@ -87,7 +95,7 @@ class Model:
     def shrink(self, n: int) -> None:
         """Lanes are sorted by length; the shorter ones end first."""
         self._place(self.lane[:n])
-        self.seen, self.last, self.before = self.seen[:n], self.last[:n], self.before[:n]
+        self.seen, self.last, self.before, self.at1, self.base = self.seen[:n], self.last[:n], self.before[:n], self.at1[:n], self.base[:n]
 
     def _refresh(self) -> None:
         """Order-0 shares from the counts: one for each id, the rest by count; new ids share by the prior what is kept for them."""
@@ -99,7 +107,8 @@ class Model:
             share = self.counts[lane * self.wide : lane * self.wide + limit].astype(np.int64)
             share *= each
             share += 1 + _PRIOR[:limit] * kept // int(_PRIOR_SUMS[limit - 1])
-            self.sums[lane, 0] = 0
+            share[0] += self.base[lane]
+            self.sums[lane, 0] = self.base[lane]
             np.cumsum(share, out=self.sums[lane, 1 : limit + 1])
         self.due = max(32, min(2 * self.t, self.t + _REFRESH))
 
@@ -107,58 +116,70 @@ class Model:
         if self.t == self.due:
             self._refresh()
         self.at2 = self.slot + ((self.before * 40503 + self.last * 30011) >> 3 & (_SLOTS - 1))
-        self.at1 = self.cell + self.last
-        two, one = self.two[self.at2], self.one[self.at1]
+        two, one = self.two.take(self.at2), self.one.take(self.at1)
         self.sure2, self.sure1 = two & 7, one & 7
-        self.ids = np.stack([two >> 3, one >> 3, self.other[self.at1]]).astype(np.int64)
-        self.chosen = self.set + ((self.sure2 * (_STREAK + 1) + self.sure1) * 2 + (self.ids[0] == self.ids[1]))
-        self.weight = self.weights[:, self.chosen]
+        self.ids = ids = np.empty((3, len(two)), np.int64)
+        np.right_shift(two, 3, out=ids[0])
+        np.right_shift(one, 3, out=ids[1])
+        ids[1] &= _IDS - 1
+        np.right_shift(one, 19, out=ids[2])
+        chosen = (self.sure2 * (_STREAK + 1) + self.sure1) * 2
+        chosen += ids[0] == ids[1]
+        chosen += self.set
+        self.chosen = self.parts + chosen
+        self.weight = self.weights.take(self.chosen)
         self.shares = self.weight >> (16 - _MIX_BITS)
-        self.zero = (1 << _MIX_BITS) - self.shares.sum(axis=0)
+        self.zero = (1 << _MIX_BITS) - np.add.reduce(self.shares, axis=0)
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = self.row + ids
-        low = self.flat[at].astype(np.int64)
+        low = self.flat.take(at)
         self.hit = self.ids == ids
         self.named = (self.shares * self.hit) << _TABLE_BITS
-        self.freq = self.zero * (self.flat[at + 1] - low) + self.named.sum(axis=0)
-        return self.zero * low + ((self.shares * (self.ids < ids)).sum(axis=0) << _TABLE_BITS), self.freq
+        self.freq = self.zero * (self.flat.take(at + 1) - low) + np.add.reduce(self.named, axis=0)
+        return self.zero * (low - self.base) + (np.add.reduce(self.shares * (self.ids < ids), axis=0) << _TABLE_BITS), self.freq
 
     def find(self, value: np.ndarray) -> np.ndarray:
         """The id whose interval holds `value`."""
         guesses = np.sort((self.ids << _MIX_BITS) | self.shares, axis=0)
-        below = np.zeros(len(value), np.int64)
-        found = np.full(len(value), -1, dtype=np.int64)
-        for g in guesses:
-            ids, share = g >> _MIX_BITS, (g & ((1 << _MIX_BITS) - 1)) << _TABLE_BITS
-            at = self.row + ids
-            begin = self.zero * self.flat[at] + below
-            end = self.zero * self.flat[at + 1] + below + share
-            found = np.where((found < 0) & (value >= begin) & (value < end), ids, found)
-            below += share * (value >= end)
-        rest = (value - below) // self.zero
-        at = self.row.copy()
-        for bit in range(15, -1, -1):
-            further = at + (1 << bit)
-            at = np.where(self.flat[further] <= rest, further, at)
-        return np.where(found >= 0, found, np.minimum(at - self.row, self.limits[: len(value)] - 1))
+        ids, share = guesses >> _MIX_BITS, (guesses & ((1 << _MIX_BITS) - 1)) << _TABLE_BITS
+        at, end = self.row + ids, np.add.accumulate(share, axis=0)
+        begin = end - share
+        begin += self.zero * (self.flat.take(at) - self.base)
+        at += 1
+        end += self.zero * (self.flat.take(at) - self.base)
+        over = value >= end
+        found = np.maximum.reduce(np.where((value >= begin) & ~over, ids, -1), axis=0)
+        others = (found < 0).nonzero()[0]
+        if len(others):
+            rest = (value - np.add.reduce(share * over, axis=0)).take(others) // self.zero.take(others)
+            key = np.minimum(rest, (1 << _TABLE_BITS) - 1).astype(np.int32) + self.base.take(others)
+            at = self.flat.searchsorted(key, side="right") - 1
+            found[others] = np.minimum(at - self.row.take(others), self.limits.take(others) - 1)
+        return found
 
     def learn(self, ids: np.ndarray) -> None:
         """To be called after `interval` of the same ids."""
-        weight = self.weight + (((self.named << 16) // self.freq - self.weight) >> 5)
-        weight = np.maximum(weight, 32)
-        total = weight.sum(axis=0)
-        self.weights[:, self.chosen] = np.where(total > _MOST, weight * _MOST // total, weight)
+        weight = (self.named << 16).view(np.uint64) // self.freq.view(np.uint64)
+        weight = weight.view(np.int64) - self.weight
+        weight >>= 5
+        weight += self.weight
+        np.maximum(weight, 32, out=weight)
+        total = np.add.reduce(weight, axis=0)
+        if np.maximum.reduce(total) > _MOST:
+            weight = np.where(total > _MOST, weight * _MOST // total, weight)
+        self.weights[self.chosen] = weight
         hit2, hit1, _ = self.hit
-        self.two[self.at2] = (ids << 3) | np.where(hit2, np.minimum(self.sure2 + 1, _STREAK), 1)
-        stays = hit1 | (self.sure1 > 1)
-        streak = np.where(hit1, np.minimum(self.sure1 + 1, _STREAK), np.where(stays, self.sure1 - 1, 1))
-        self.one[self.at1] = (np.where(stays, self.ids[1], ids) << 3) | streak
-        self.other[self.at1] = np.where(hit1, self.ids[2], np.where(stays, ids, self.ids[1]))
-        at = self.cell + ids
-        n = self.counts[at]
-        self.counts[at] = n + 1
+        self.two[self.at2] = (ids << 3) | _NEXT2.take(self.sure2 + (hit2 << 3))
+        state = self.sure1 + (hit1 << 3)
+        stays, named = _STAYS.take(state), self.ids[1]
+        other = np.where(hit1, self.ids[2], np.where(stays, ids, named))
+        self.one[self.at1] = (other << 19) | (np.where(stays, named, ids) << 3) | _NEXT1.take(state)
+        self.at1 = self.cell + ids
+        n = self.counts.take(self.at1)
         self.seen = self.seen + (n == 0)
+        n += 1
+        self.counts[self.at1] = n
         self.before, self.last, self.t = self.last, ids, self.t + 1
 
 
@@ -174,23 +195,24 @@ def encode_blocks(blocks: Sequence[np.ndarray]) -> list[bytes]:
             grid[: sizes[k], k] = blocks[i]
         n = len(lanes)
         low, size = np.zeros(n, np.uint64), np.full(n, 2**64 - 1, dtype=np.uint64)
-        words, filled = np.zeros((n, 2 * len(grid) + 8), dtype=np.uint16), np.zeros(n, np.int64)
+        words = np.zeros((n, 2 * len(grid) + 8), dtype=np.uint16)
+        begins = np.arange(n) * words.shape[1]
+        filled = begins.copy()
         limits = np.array([int(np.max(blocks[i], initial=0)) + 1 for i in lanes])
         model = Model(limits)
-        for t in range(len(grid)):
-            live = int(np.searchsorted(-sizes, -t, side="left"))
+        for t, live in enumerate(np.searchsorted(-sizes, -np.arange(len(grid)), side="left").tolist()):
             if live < len(model.lane):
                 model.shrink(live)
             ids = grid[t, :live].astype(np.int64)
             model.plan()
             cum, freq = model.interval(ids)
             step = size[:live] >> _U32
-            low[:live] += step * cum.astype(np.uint64)
-            size[:live] = step * freq.astype(np.uint64)
-            _shift_out(low, size, words, filled, live)
+            low[:live] += step * cum.view(np.uint64)
+            np.multiply(step, freq.view(np.uint64), out=size[:live])
+            _shift_out(low, size, words.reshape(-1), filled, live)
             model.learn(ids)
         for k, i in enumerate(lanes):
-            at = int(filled[k])
+            at = int(filled[k] - begins[k])
             for part in range(4):
                 words[k, at + part] = (int(low[k]) >> (48 - 16 * part)) & 0xFFFF
             payload = words[k, : at + 4].astype("<u2").tobytes()
@@ -203,24 +225,29 @@ def _crc(ids: np.ndarray) -> int:
 
 
 def _small(low: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lanes that have a word to move, and which of the lanes have one that is settled."""
     settled_top = (low ^ (low + size)) < _TOP
-    return settled_top, ~settled_top & (size < _BOTTOM)
+    return (settled_top | (size < _BOTTOM)).nonzero()[0], settled_top
+
+
+def _moved(low: np.ndarray, size: np.ndarray, at: np.ndarray, settled_top: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Moves the lanes `at` by a word; returns their lows before, and what `_small` says of them after."""
+    a = low.take(at)
+    s = np.where(settled_top, size.take(at), (np.uint64(0) - a) & (_BOTTOM - np.uint64(1))) << _U16
+    b = a << _U16
+    low[at], size[at] = b, s
+    again, settled_top = _small(b, s)
+    return a, at.take(again), settled_top.take(again)
 
 
 def _shift_out(low, size, words, filled, live: int) -> None:
-    top, short = _small(low[:live], size[:live])
-    at = np.flatnonzero(top | short)
-    short = short[at]
+    at, settled_top = _small(low[:live], size[:live])
+    settled_top = settled_top.take(at)
     while len(at):
-        a = low[at]
-        s = np.where(short, (np.uint64(0) - a) & (_BOTTOM - np.uint64(1)), size[at])
-        words[at, filled[at]] = (a >> _U48).astype(np.uint16)
-        filled[at] += 1
-        a, s = a << _U16, s << _U16
-        low[at], size[at] = a, s
-        top, short = _small(a, s)
-        more = top | short
-        at, short = at[more], short[more]
+        put = filled.take(at)
+        filled[at] = put + 1
+        a, at, settled_top = _moved(low, size, at, settled_top)
+        words[put] = a >> _U48
 
 
 def decode_blocks(blocks: Sequence[bytes]) -> list[np.ndarray]:
@@ -241,33 +268,27 @@ def decode_blocks(blocks: Sequence[bytes]) -> list[np.ndarray]:
         low, size = np.zeros(n, np.uint64), np.full(n, 2**64 - 1, dtype=np.uint64)
         first = words[:, :4].astype(np.uint64)
         code = (first[:, 0] << _U48) | (first[:, 1] << _U32) | (first[:, 2] << _U16) | first[:, 3]
-        read = np.full(n, 4, dtype=np.int64)
+        flat_words, read = words.reshape(-1), np.arange(n) * words.shape[1] + 4
+        ends = read + words.shape[1] - 5
         grid = np.zeros((int(sizes[0]), n), dtype=np.uint16)
         model = Model(np.array([heads[i][3] for i in lanes]))
-        for t in range(len(grid)):
-            live = int(np.searchsorted(-sizes, -t, side="left"))
+        for t, live in enumerate(np.searchsorted(-sizes, -np.arange(len(grid)), side="left").tolist()):
             if live < len(model.lane):
                 model.shrink(live)
             model.plan()
             step = size[:live] >> _U32
-            value = np.minimum((code[:live] - low[:live]) // step, np.uint64(2**32 - 1)).astype(np.int64)
+            value = np.minimum((code[:live] - low[:live]) // step, np.uint64(2**32 - 1)).view(np.int64)
             ids = model.find(value)
             cum, freq = model.interval(ids)
-            low[:live] += step * cum.astype(np.uint64)
-            size[:live] = step * freq.astype(np.uint64)
-            top, short = _small(low[:live], size[:live])
-            at = np.flatnonzero(top | short)
-            short = short[at]
+            low[:live] += step * cum.view(np.uint64)
+            np.multiply(step, freq.view(np.uint64), out=size[:live])
+            at, settled_top = _small(low[:live], size[:live])
+            settled_top = settled_top.take(at)
             while len(at):
-                a = low[at]
-                s = np.where(short, (np.uint64(0) - a) & (_BOTTOM - np.uint64(1)), size[at])
-                code[at] = (code[at] << _U16) | words[at, np.minimum(read[at], words.shape[1] - 1)]
-                read[at] += 1
-                a, s = a << _U16, s << _U16
-                low[at], size[at] = a, s
-                top, short = _small(a, s)
-                more = top | short
-                at, short = at[more], short[more]
+                put = read.take(at)
+                code[at] = (code.take(at) << _U16) | flat_words.take(np.minimum(put, ends.take(at)))
+                read[at] = put + 1
+                _, at, settled_top = _moved(low, size, at, settled_top)
             grid[t, :live] = ids
             model.learn(ids)
         for k, i in enumerate(lanes):
