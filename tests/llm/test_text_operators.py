@@ -2,13 +2,16 @@
 
 import collections
 import hashlib
+import json
 import math
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from yieldloom.llm import (
     block_mixing,
@@ -675,6 +678,71 @@ def test_ids_in_files(both):
     matched(id_coder.encoded_ids(both), want)
 
 
+def test_ids_are_coded_and_read_in_the_jvm(docs):
+    folder = id_coder.written(docs)
+    plan = id_coder.read_back(docs.sparkSession, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InPandas" not in plan and "InArrow" not in plan and "inline" in plan
+    # what stands in the files is what the Python reader reads
+    pages = docs.sparkSession.read.parquet(folder).orderBy("part", "page").collect()
+    found = [(i, ids.tolist()) for page in id_coder.unpacked_pages([bytes(r.ids) for r in pages]) for i, ids in zip(*page)]
+    rows = sorted(rows_of(docs))
+    want = id_coder.WordEncoder(id_coder.tokenizer_path()).encode([t for _, t in rows])
+    assert found == [(i, ids.tolist()) for (i, _), ids in zip(rows, want)]
+
+
+def test_java_pages_are_those_of_python(spark, monkeypatch):
+    monkeypatch.setattr(id_coder, "BLOCK_IDS", 2600)
+    random = np.random.default_rng(21)
+    texts = [random.integers(0, 65536, 9000), np.arange(6000) % 7, np.array([65535]), np.zeros(2700, int), random.zipf(1.2, 9000) % 49408, np.repeat(random.integers(0, 50, 900), 5)]
+    # a model that changes halfway, so that every streak ends
+    texts.append(np.concatenate([np.tile(random.integers(0, 300, 40), 60), np.tile(random.integers(0, 300, 40), 60)]))
+    texts = [t.astype(np.uint16) for t in texts]
+    pages = [([7], texts[:1]), ([None, -5, 2**40], texts[1:4]), ([0, 0], texts[4:6]), ([1], texts[6:])]
+    functions = id_coder._functions(spark)
+    packed = id_coder.packed_pages(pages)
+    plain = spark.createDataFrame([(k, bytearray(p)) for k, p in enumerate(id_coder.packed_pages(pages, id_coder.plain_blocks))], "k int, ids binary")
+    coded = plain.repartition(2).select("k", F.call_function(functions["Coded"], "ids").alias("ids"))
+    assert [bytes(r.ids) for r in sorted(coded.collect())] == packed
+    for (doc_ids, texts), row in zip(pages, sorted(coded.select("k", F.call_function(functions["Documents"], "ids").alias("d")).collect())):
+        starts = np.cumsum([0, *map(len, texts)])
+        assert [tuple(d) for d in row.d] == [(i, at, len(t), zlib.crc32(t.astype("<u4").tobytes())) for i, at, t in zip(doc_ids, starts, texts)]
+    broken = bytearray(packed[0])
+    broken[400] ^= 255
+    for page, why in ((broken, "checksum"), (bytearray(b"no page at all"), "not a page")):
+        with pytest.raises(Exception, match=why):
+            spark.createDataFrame([(page,)], "ids binary").repartition(2).select(F.call_function(functions["Documents"], "ids")).collect()
+
+
+def test_java_ids_are_those_of_the_tokenizer(spark):
+    random = np.random.default_rng(4)
+    points = [c for c in [*range(0x600), *random.choice(0x20000, 3000), *range(0x1100, 0x1210), *range(0x2000, 0x2070), 0x20000, 0x10FFFF] if not 0xD800 <= c < 0xE000]
+    texts = [f"a{chr(c)}B {chr(c)}'s{chr(c)} 1{chr(c)}" for c in map(int, points)]
+    simple = ["don't we'LL they've I'm it'd you're 's 'T !'s '' 'tis o'r o'v o'l", "Ein Gefäß Ça va ÉTÉ", "12³ Ⅷ 3.5% ½", "日本語 テスト", "“q” … – \U0001f600", "हिन्दी", "x" * 256 + " " + "ab1" * 200, None, "", " \t\n\x0b\x0c\r "]
+    others = ["e\u0301 \u1112\u1161\u11ab", "q\u0301\u0323", "<|endoftext|>", "a<|startoftext|>b <|", "y" * 257, "1" * 70_000, "İ"]
+    whole = "".join(chr(c) for c in random.integers(0x20, 0x2000, 4000).tolist())
+    texts += [*simple, *others, whole, *(whole[k : k + 9] for k in range(0, 4000, 9))]
+    path = id_coder.tokenizer_path()
+    frame = spark.createDataFrame(list(enumerate(texts)), "k long, text string").repartition(3)
+    got = dict(frame.select("k", id_coder.word_ids(spark, path)).collect())
+    for k, (text, ids) in enumerate(zip(texts, id_coder.WordEncoder(path).encode(texts))):
+        assert bytes(got[k]) in (b"\0" + ids[:-1].tobytes(), b"\1" + (text or "").encode()), text
+        assert got[k][0] == (text in others) or text not in simple + others, text
+
+
+def test_ids_of_another_tokenizer_and_session(both, tmp_path):
+    spec = json.loads(Path(id_coder.tokenizer_path()).read_text(encoding="utf-8"))
+    spec["normalizer"]["normalizers"].pop()
+    path = str(tmp_path / "cased.json")
+    Path(path).write_text(json.dumps(spec), encoding="utf-8")
+    assert id_coder.tokenizer_tables(path) is None
+    session = both.sparkSession.newSession()
+    for p in (path, id_coder.tokenizer_path()):
+        docs = session.createDataFrame(rows_of(both), "doc_id long, text string")
+        texts = [t for _, t in sorted(rows_of(both), key=lambda r: (-(2**63) if r[0] is None else r[0], r[1] or ""))]
+        want = [(len(x), zlib.crc32(x.astype("<u4").tobytes())) for x in id_coder.WordEncoder(p).encode(texts)]
+        assert [(r.n_tokens, r.ids_crc32) for r in sorted(id_coder.encoded_ids(docs, p).collect(), key=lambda r: r.start)] == want
+
+
 # --- all
 
 

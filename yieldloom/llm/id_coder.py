@@ -8,8 +8,10 @@ of streaks, moved towards the part that each predictor had in the id that came.
 carry-less range coder. Model and coder start anew in each block, so blocks can be read alone and in any order;
 a block's head has its id count, its payload's length, the CRC-32 of its ids and the size of its alphabet.
 
-All blocks of a batch advance together, one id per step, as numpy lanes. Only integers are used, so a
-reader on another machine follows exactly.
+Coding is one id after another, so within a job it is done by the Java functions of IdCoder.java (see
+jvm_functions.py), as is the cutting of texts into ids. The same model and coder stand here in Python for reading and
+writing files without Spark; there all blocks of a batch advance together, one id per step, as numpy lanes. Both
+write the same bytes. Only integers are used, so a reader on another machine follows exactly.
 
 Files: documents are sorted by id into range partitions; a page holds whole documents, their ids (null
 marked) and lengths, and the blocks of their ids. Pages are the rows of Parquet files, so that any store
@@ -21,17 +23,22 @@ after another, ordered by text; a null doc_id comes first. An empty table gives
 
 from __future__ import annotations
 
+import json
 import os
 import struct
-from collections.abc import Iterator, Sequence
+import unicodedata
+from collections.abc import Callable, Iterator, Sequence
 from functools import cache
-from zlib import crc32
+from pathlib import Path
+from zlib import compress, crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from yieldloom.llm import jvm_functions
 from yieldloom.operators.ranking import prefix_sums
 from yieldloom.sources.workspace import new_folder
 
@@ -42,6 +49,8 @@ PAGE_IDS = 56_000
 END_ID = 2
 MAGIC = b"IDCM2\0"
 CACHED_WORDS = 600_000
+# Pages on their way from Python to the coder at a time.
+PAGES = 16
 
 _IDS = 1 << 16
 _SLOTS = 1 << 16  # of order 2, per lane
@@ -299,13 +308,18 @@ def decode_blocks(blocks: Sequence[bytes]) -> list[np.ndarray]:
     return out
 
 
-def packed_pages(pages: list[tuple[list, list[np.ndarray]]]) -> list[bytes]:
+def plain_blocks(blocks: Sequence[np.ndarray]) -> list[bytes]:
+    """Each block's ids as they are, behind a head with their number, for the coder in Java."""
+    return [_HEAD.pack(len(b), 2 * len(b), 0, 0) + b.astype("<u2").tobytes() for b in blocks]
+
+
+def packed_pages(pages: list[tuple[list, list[np.ndarray]]], code: Callable[[Sequence[np.ndarray]], list[bytes]] = encode_blocks) -> list[bytes]:
     """Pages of (doc ids, their token ids) as bytes; the blocks of all pages are coded together."""
     cut = []
     for _, texts in pages:
         ids = np.concatenate(texts)
         cut.append([ids[a : a + BLOCK_IDS] for a in range(0, len(ids), BLOCK_IDS)])
-    coded = iter(encode_blocks([b for blocks in cut for b in blocks]))
+    coded = iter(code([b for blocks in cut for b in blocks]))
     out = []
     for (doc_ids, texts), blocks in zip(pages, cut):
         head = MAGIC + struct.pack("<II", len(doc_ids), len(blocks))
@@ -376,18 +390,115 @@ def _word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+#: The only kind of tokenizer that the Java function knows; others are left to their library.
+_KNOWN = {
+    **dict.fromkeys(("truncation", "padding", "post_processor")),
+    "added_tokens": ["<|endoftext|>", "<|startoftext|>"],
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "model": {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "fuse_unk": False, "byte_fallback": False, "ignore_merges": False},
+}
+_POINTS = 0x20000
+
+
+def _composing() -> set[str]:
+    """Characters that may join the one before them into a third."""
+    found = {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}
+    for c in map(chr, range(0x110000)):
+        parts = unicodedata.decomposition(c).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            found.add(chr(int(parts[1], 16)))
+    return found
+
+
+def _code_points(tokenizer) -> np.ndarray:
+    """For each code point what the tokenizer makes of it, as IdCoder.Tables says: the top bit where it is simple, its
+    combining class, whether it is a blank, letter, number or another sign (0 to 3), and what it becomes.
+
+    A code point is simple if a text of simple ones in the order of their combining classes is its own NFC, and if it becomes one other.
+    """
+    composing, simple = _composing(), {}
+    for c in map(chr, range(_POINTS)):
+        if unicodedata.category(c) not in ("Cn", "Cs") and c not in composing and unicodedata.is_normalized("NFC", c):
+            became = tokenizer.normalizer.normalize_str(c)
+            if len(became) == 1:
+                simple[c] = became
+    kinds = {c: 0 for c in simple.values()}
+    several = sorted(kinds)
+    for lo in range(0, len(several), 4096):
+        # a letter joins the a before it, a sign the ! behind it, a number neither, and a blank belongs to no part
+        part = several[lo : lo + 4096]
+        for _, (begin, end) in tokenizer.pre_tokenizer.pre_tokenize_str("".join(f" a{c}! " for c in part)):
+            for k in range(begin // 5, (end - 1) // 5 + 1):
+                at = 5 * k + 2
+                if begin <= at < end:
+                    kinds[part[k]] = 1 if begin < at else 3 if end > at + 1 else 2
+    held = np.zeros(_POINTS, np.uint32)
+    for c, became in simple.items():
+        held[ord(c)] = 1 << 31 | unicodedata.combining(c) << 23 | kinds[became] << 21 | ord(became)
+    return held
+
+
+def _byte_signs() -> list[str]:
+    """The signs that the tokenizer's vocabulary has for bytes."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
+
+
+@cache
+def tokenizer_tables(path: str) -> bytes | None:
+    """The tokenizer for IdCoder.WordIds; None if it is of another kind."""
+    spec = json.loads(Path(path).read_text(encoding="utf-8"))
+    model = spec["model"]
+    vocab, merges = model.pop("vocab", {}), [m.split(" ") if isinstance(m, str) else m for m in model.pop("merges", [])]
+    spec["added_tokens"] = sorted(t["content"] for t in spec.get("added_tokens", ()))
+    spelled = [s + end for end in ("", "</w>") for s in _byte_signs()]
+    if any(spec.get(k) != v for k, v in _KNOWN.items()) or max(vocab.values()) >= _IDS or any(s not in vocab for s in spelled) or len({*map(tuple, merges)}) < len(merges):
+        return None
+    from tokenizers import Tokenizer
+
+    points = _code_points(Tokenizer.from_file(path))
+    joined = [i for a, b in merges for i in (vocab[a], vocab[b], vocab[a + b])]
+    return compress(b"".join([struct.pack(">I", len(points)), points.astype(">u4").tobytes(), np.array([vocab[s] for s in spelled], ">u2").tobytes(), struct.pack(">I", len(merges)), np.array(joined, ">u2").tobytes()]))
+
+
+_DOCUMENTS = T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "at", "n_tokens", "ids_crc32")]))
+
+
+def _functions(spark: SparkSession, path: str | None = None) -> dict[str, str]:
+    tables = tokenizer_tables(path) if path else None
+    known = {"tokenizer.bin": tables} if tables else {}
+    returns = {"Coded": T.BinaryType(), "Documents": _DOCUMENTS} | ({"WordIds": T.BinaryType()} if tables else {})
+    return jvm_functions.registered(spark, Path(__file__).with_name("IdCoder.java"), known, returns)
+
+
+def word_ids(spark: SparkSession, path: str, text: str = "text"):
+    """A column of the ids of texts behind a 0, or behind a 1 the texts that are left to the tokenizer's library."""
+    functions = _functions(spark, path)
+    if "WordIds" in functions:
+        return F.call_function(functions["WordIds"], F.col(text).cast("binary"))
+    return F.concat(F.lit(bytearray(b"\1")), F.coalesce(F.col(text), F.lit("")).cast("binary"))
+
+
 def written(docs: DataFrame, path: str | None = None, end_id: int = END_ID) -> str:
     """Writes the ids of all texts, in doc_id order, and returns the folder: rows (part, page, n_ids, ids)."""
     path = path or tokenizer_path()
     spark = docs.sparkSession
-    # the number of ranges is left to AQE: a task with many blocks codes them side by side
+    # the number of ranges is left to AQE
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id")
     # the bounds are sampled from ids alone; texts order only the rows of one id, which share a partition
-    ordered = ordered.sortWithinPartitions("doc_id", "text").select(F.spark_partition_id().alias("part"), "doc_id", "text")
+    ordered = ordered.sortWithinPartitions("doc_id", "text").select(F.spark_partition_id().alias("part"), "doc_id", word_ids(spark, path).alias("words"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _word_encoder(path)
         pages, doc_ids, texts, size, number, part = [], [], [], 0, 0, 0
+        end = np.array([end_id], dtype="<u2").tobytes()
 
         def flush() -> pa.RecordBatch:
             nonlocal pages, number
@@ -395,7 +506,7 @@ def written(docs: DataFrame, path: str | None = None, end_id: int = END_ID) -> s
             numbers = range(number, number + len(pages))
             number += len(pages)
             batch = pa.RecordBatch.from_arrays(
-                [pa.array([part] * len(pages), pa.int32()), pa.array(numbers, pa.int64()), pa.array(sizes, pa.int64()), pa.array(packed_pages(pages), pa.binary())], ["part", "page", "n_ids", "ids"]
+                [pa.array([part] * len(pages), pa.int32()), pa.array(numbers, pa.int64()), pa.array(sizes, pa.int64()), pa.array(packed_pages(pages, plain_blocks), pa.binary())], ["part", "page", "n_ids", "ids"]
             )
             pages = []
             return batch
@@ -405,45 +516,35 @@ def written(docs: DataFrame, path: str | None = None, end_id: int = END_ID) -> s
             for lo in range(0, rows, step):
                 piece = batch.slice(lo, step)
                 part = piece.column(0)[0].as_py()
-                for doc_id, ids in zip(piece.column(1).to_pylist(), encoder.encode(piece.column(2).to_pylist(), end_id)):
+                coded = piece.column(2).to_pylist()
+                left = [w[1:].decode() for w in coded if w[0]]
+                others = iter(_word_encoder(path).encode(left, end_id) if left else ())
+                for doc_id, words in zip(piece.column(1).to_pylist(), coded):
+                    ids = next(others) if words[0] else np.frombuffer(words[1:] + end, dtype="<u2")
                     doc_ids.append(doc_id)
                     texts.append(ids)
                     size += len(ids)
                     if size >= PAGE_IDS:
                         pages.append((doc_ids, texts))
                         doc_ids, texts, size = [], [], 0
-                if len(pages) >= LANES:
-                    yield flush()
+                    if len(pages) >= PAGES:
+                        yield flush()
         if doc_ids:
             pages.append((doc_ids, texts))
         if pages:
             yield flush()
 
+    plain = ordered.mapInArrow(run, "part int, page long, n_ids long, ids binary")
     folder = new_folder(spark, "token-ids")
-    ordered.mapInArrow(run, "part int, page long, n_ids long, ids binary").write.option("compression", "none").parquet(folder)
+    plain.withColumn("ids", F.call_function(_functions(spark, path)["Coded"], "ids")).write.option("compression", "none").parquet(folder)
     return folder
 
 
 def read_back(spark, folder: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document in the files, start counting all ids before it."""
     files = spark.read.parquet(folder)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, LANES):
-                piece = batch.slice(lo, LANES)
-                keys, doc_ids, offsets, sizes, sums = [], [], [], [], []
-                for key, (ids, texts) in zip(piece.column(0).to_pylist(), unpacked_pages(piece.column(1).to_pylist())):
-                    n = [len(t) for t in texts]
-                    keys += [key] * len(n)
-                    doc_ids += ids
-                    offsets += np.concatenate([[0], np.cumsum(n)[:-1]]).tolist()
-                    sizes += n
-                    sums += [_crc(t) for t in texts]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (keys, doc_ids, offsets, sizes, sums)], ["key", "doc_id", "at", "n_tokens", "ids_crc32"])
-
     key = (F.shiftleft(F.col("part").cast("long"), 40) + F.col("page")).alias("key")
-    found = files.select(key, "ids").mapInArrow(run, "key long, doc_id long, at long, n_tokens long, ids_crc32 long")
+    found = files.select(key, F.inline(F.call_function(_functions(spark)["Documents"], "ids")))
     starts = prefix_sums(files.select(key, "n_ids"), [], "key", ["n_ids"]).select("key", F.col("n_ids_before").alias("before"))
     return found.join(starts, "key").select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
